@@ -16,6 +16,18 @@ def op2_nearest_neighbours(spark, sf_dir):
     return search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op3_quality_rules(spark, sf_dir):
+    from .quality import judge
+
+    return judge(_docs(spark, sf_dir))
+
+
+def op5_ngram_join(spark, sf_dir):
+    from .ngram_join import join
+
+    return join(_docs(spark, sf_dir))
+
+
 def op6_packing(spark, sf_dir):
     import public_tokenizers
 
@@ -24,6 +36,18 @@ def op6_packing(spark, sf_dir):
     return pack(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_substring_dedup(spark, sf_dir):
+    from .passages import remove_repeats
+
+    return remove_repeats(_docs(spark, sf_dir))
+
+
+def op9_licence_scan(spark, sf_dir):
+    from .licences import scan
+
+    return scan(_docs(spark, sf_dir))
+
+
 def op10_mixing(spark, sf_dir):
     from .mixing import mix
 
