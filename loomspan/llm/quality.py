@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import stored, words
 
 #: Ratios judged, each by an upper fence; mean word length by a lower one as well.
 RATIOS = ("mean_word", "symbol_ratio", "dup_line_ratio", "repeat_ratio")
@@ -117,21 +117,22 @@ def thresholds(rows: DataFrame, reach: float = 6.0, enough: int = 200) -> DataFr
     fine = good.groupBy("lang_key", "source_key").agg(
         F.count("*").alias("n"), *[F.kll_sketch_agg_double(r).alias(f"{r}_sketch") for r in RATIOS]
     )
+    fine = stored(fine, "sketches")  # a few KB a group; short plans keep the optimiser quick
     merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(c).alias(c) for c in names]]
 
     def fences(df: DataFrame, keys: list[str]) -> DataFrame:
-        return df.select(*keys, "n", F.struct(*_fences({r: F.col(f"{r}_sketch") for r in RATIOS}, reach)).alias("fences"))
+        return stored(df.select(*keys, "n", F.struct(*_fences({r: F.col(f"{r}_sketch") for r in RATIOS}, reach)).alias("fences")), "fences")
 
     by_lang = fences(fine.groupBy("lang_key").agg(*merged), ["lang_key"])
     overall = fences(fine.groupBy(F.lit(1).alias("one")).agg(*merged), ["one"])
-    groups = rows.select(*key).distinct().withColumn("one", F.lit(1))
+    groups = rows.select(*key).distinct().withColumn("one", F.lit(1))  # counts are pruned away here: only the two columns are read
     pick = lambda df, keys, to: df.where(F.col("n") >= enough).select(*keys, F.col("fences").alias(to))
     groups = (
         groups.join(pick(fences(fine, ["lang_key", "source_key"]), ["lang_key", "source_key"], "f1"), ["lang_key", "source_key"], "left")
         .join(pick(by_lang, ["lang_key"], "f2"), "lang_key", "left")
         .join(overall.select("one", F.col("fences").alias("f3")), "one", "left")
     )
-    return groups.select("lang_key", "source_key", F.coalesce("f1", "f2", "f3").alias("fences"))
+    return stored(groups.select("lang_key", "source_key", F.coalesce("f1", "f2", "f3").alias("fences")), "bounds")
 
 
 def judge(docs: DataFrame, columns: tuple = (), reach: float = 6.0, enough: int = 200) -> DataFrame:
