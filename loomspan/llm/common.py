@@ -25,7 +25,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/loomspan/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    tidy = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # the table is whole: its shuffle files can go
+    before = spark.conf.get(tidy, "false")
+    spark.conf.set(tidy, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(tidy, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -156,14 +156,17 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     )
     entries = stored(entries.where("rows > 1").drop("rows"), "blocks")
 
-    wanted = entries.select("doc_id").distinct()
-    sets = stored(_full(rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), n), "sets")
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "pairs")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        sets = stored(_full(rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), n), "sets")
+        return stored(_linked(pairs, sets, percent), "links")
 
     heads = entries.alias("e").where((F.col("doc_id") != F.col("head.doc_id")) & _bounded("e", "head", percent))
     heads = heads.groupBy("doc_id", F.col("head.doc_id").alias("head")).count()
     first = heads.groupBy("doc_id").agg(F.min(F.struct(-F.col("count"), "head")).alias("x"))
     first = first.select(F.col("doc_id").alias("a"), F.col("x.head").alias("b"))
-    links = stored(_linked(first, sets, percent), "links")
+    links = verified(first)
     found = components(links)
 
     held = entries.drop("head").join(found.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
@@ -176,7 +179,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
         .distinct()
     )
-    links = links.union(stored(_linked(pairs, sets, percent), "links"))
+    links = links.union(verified(pairs))
     found = components(links)
 
     labels = classes.join(found.select(F.col("id").alias("class"), "component"), "class", "left")
