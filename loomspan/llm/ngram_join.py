@@ -7,7 +7,8 @@ places discards pairs that can't reach it. A kept column with two rows or more i
 
 Blocks multiply in two passes, so that a large group of near copies costs its size and not its square. First every
 row meets the row it shares most blocks with among the blocks' leading rows, and links found make components. Then
-only pairs of different components are multiplied. Overlaps are counted on full n-gram sets.
+only pairs of different components are multiplied, and those whose accumulated counts can't reach the threshold go.
+Overlaps of the rest are counted on full n-gram sets.
 
 Defined results: a null, empty or blank text has no n-grams and links with nothing; a text with fewer words than n
 is one n-gram; repeated rows and equal sets are linked; a row with a null doc_id links with nothing and its
@@ -176,9 +177,12 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     pairs = (
         held.alias("x")
         .join(held.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.component") != F.col("y.component")) & _bounded("x", "y", percent))
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-        .distinct()
+        .groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+        .agg(F.count("*").alias("shared"), F.first("x.size").alias("size_a"), F.first("y.size").alias("size_b"))
     )
+    # every n-gram that both kept is counted by now; beyond the earlier end of the two only one's rest can be shared
+    rest = F.greatest(*[F.ceil(percent * F.col(c) / 100) - 1 for c in ("size_a", "size_b")])
+    pairs = pairs.where((100 + percent) * (F.col("shared") + rest) >= percent * (F.col("size_a") + F.col("size_b"))).select("a", "b")
     links = links.union(verified(pairs))
     found = components(links)
 

@@ -19,7 +19,7 @@ from .common import stored, words
 #: Ratios judged, each by an upper fence; mean word length by a lower one as well.
 RATIOS = ("mean_word", "symbol_ratio", "dup_line_ratio", "repeat_ratio")
 #: A fence never lies closer than this to the group's 90 % (or 10 %) quantile.
-SLACK = {"mean_word": 1.5, "symbol_ratio": 0.02, "dup_line_ratio": 0.15, "repeat_ratio": 0.05}
+SLACK = {"mean_word": 2.0, "symbol_ratio": 0.1, "dup_line_ratio": 0.35, "repeat_ratio": 0.2}
 _WINDOW = 5
 
 
@@ -71,7 +71,8 @@ def measured(docs: DataFrame, columns: tuple = ()) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("lang").cast("string").alias("lang"),
         F.col("source").cast("string").alias("source"),
-        F.transform(words(text), lambda w: F.xxhash64(w)).alias("_words"),
+        # exploding one array a row keeps filters above from being worked into the lambdas below
+        F.explode(F.array(F.transform(words(text), lambda w: F.xxhash64(w)))).alias("_words"),
         F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
@@ -80,7 +81,7 @@ def measured(docs: DataFrame, columns: tuple = ()) -> DataFrame:
     )
     rows = rows.select(
         "doc_id", "lang", "source", F.size("_words").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
-        _repeat_words(F.col("_words")).alias("n_repeat_words"), "_lines", *own,
+        F.explode(F.array(_repeat_words(F.col("_words")))).alias("n_repeat_words"), "_lines", *own,
     )
     some = F.greatest(F.col("n_words"), F.lit(1))
     return rows.select(
@@ -137,10 +138,10 @@ def thresholds(rows: DataFrame, reach: float = 6.0, enough: int = 200) -> DataFr
 
 def judge(docs: DataFrame, columns: tuple = (), reach: float = 6.0, enough: int = 200) -> DataFrame:
     """doc_id, counts, base_failed and kept, then the named columns."""
-    rows = measured(docs, columns).withColumns(
-        {f"{c}_key": F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in ("lang", "source")}
-    )
-    bounds = thresholds(measured(docs), reach, enough)
+    narrow = stored(measured(docs), "measured")
+    bounds = thresholds(narrow, reach, enough)
+    rows = measured(docs, columns) if columns else narrow
+    rows = rows.withColumns({f"{c}_key": F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in ("lang", "source")})
     inside = F.lit(True)
     for r in RATIOS:
         inside &= F.col(r) <= F.col(f"fences.{r}_most")

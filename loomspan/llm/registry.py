@@ -10,6 +10,12 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_line_dedup(spark, sf_dir):
+    from .line_dedup import removed_lines
+
+    return removed_lines(_docs(spark, sf_dir))
+
+
 def op2_nearest_neighbours(spark, sf_dir):
     from .neighbours import search
 
@@ -22,6 +28,13 @@ def op3_quality_rules(spark, sf_dir):
     return judge(_docs(spark, sf_dir))
 
 
+def op4_chat_formatting(spark, sf_dir):
+    from .chat import neighbours, preference_pairs
+
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return preference_pairs(turns, neighbours(turns))
+
+
 def op5_ngram_join(spark, sf_dir):
     from .ngram_join import join
 
@@ -42,6 +55,12 @@ def op7_substring_dedup(spark, sf_dir):
     return remove_repeats(_docs(spark, sf_dir))
 
 
+def op8_pii_surrogates(spark, sf_dir):
+    from .surrogates import replace
+
+    return replace(_docs(spark, sf_dir))
+
+
 def op9_licence_scan(spark, sf_dir):
     from .licences import scan
 
@@ -59,4 +78,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {}
+    from . import chat
+
+    return {"op4_chat_formatting": chat.ORACLE_SQL}
