@@ -74,7 +74,10 @@ def op10_mixing(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
+    import corpus_pipeline
+
+    found = {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
