@@ -50,7 +50,7 @@ def pruned(hits: DataFrame, share: float = 0.3) -> DataFrame:
     so_far = Window.partitionBy("q").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
     strong = hits.withColumn("strong", F.col("bits") > share * F.max("bits").over(so_far))
     seen = F.max(F.col("strong").cast("int")).over(Window.partitionBy("q", "t").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0))
-    return strong.where(seen == 1).drop("strong")
+    return strong.withColumn("seen", seen).where("seen = 1").drop("strong", "seen")
 
 
 def pair_table(sums: DataFrame, lengths: DataFrame, tiny: float = 25.0) -> DataFrame:

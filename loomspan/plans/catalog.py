@@ -1,6 +1,8 @@
-"""Registry of the queries over the driver tables and of their SQL."""
+"""All queries over the driver tables and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import class_queries, gene_queries, hit_queries, interval_queries, sequence_queries, statistics_queries  # noqa: F401
+from .registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
