@@ -35,6 +35,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(table: DataFrame) -> None:
+    """Delete the files of a stored table that nothing reads any more; what was made of it must be stored."""
+    spark = table.sparkSession
+    jvm = spark.sparkContext._jvm
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def words(text: Column) -> Column:
     """Words of a text; null and blank texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")

@@ -7,7 +7,7 @@ sizes or the word's places rule them out (length and positional filters). Jaccar
 
 A line is removed when an earlier one (by doc_id, then line number) reaches the threshold, removed itself or not.
 Candidates are verified in two passes, so that a large group of near copies costs its size and not its square:
-first against the earliest line that shares a word of the prefix, then, for lines still unmatched, against all.
+first against one earliest line of a block, then, for lines still unmatched, against all that share a block.
 
 Defined results: a null text has no lines; lines with fewer than least words, blank ones among them, stay and match
 nothing; repeated rows of one doc_id don't count against each other; a row with a null doc_id loses nothing;
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, stored
+from .common import SPACES, dropped, stored
 
 #: log2 of the sketch's counters: fixed, 4 MB, whatever the corpus holds.
 SKETCH_BITS = 20
@@ -32,7 +32,7 @@ def _let(value: Column, body) -> Column:
 
 def _hashes(line: Column) -> Column:
     """Hashes of a line's words; equal words once. The empty parts around the line are no words."""
-    return F.transform(F.array_remove(F.array_distinct(F.split(line, SPACES)), ""), lambda w: F.xxhash64(w))
+    return F.array_remove(F.array_distinct(F.transform(F.split(line, SPACES), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def _bucket(h: Column) -> Column:
@@ -62,32 +62,58 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _bounded(early: str, late: str, percent: int) -> Column:
+    """What sizes and places allow if the word is the first in the common order that both lines hold.
+
+    Every other shared word then stands behind it in both, so a pair that reaches the threshold passes at that word.
+    """
     size_a, size_b, at_a, at_b = (F.col(f"{x}.{c}") for c in ("size", "at") for x in (early, late))
-    most = F.least(at_a, at_b) + F.least(size_a - at_a, size_b - at_b)
-    fits = (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) & ((100 + percent) * most >= percent * (size_a + size_b))
+    fits = (100 + percent) * F.least(size_a - at_a, size_b - at_b) >= percent * (size_a + size_b)
     return fits & (F.struct(F.col(f"{early}.doc_id"), F.col(f"{early}.line_no")) < F.struct(F.col(f"{late}.doc_id"), F.col(f"{late}.line_no")))
 
 
-def _pairs(rows: DataFrame, early: str, late: str) -> DataFrame:
-    named = [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in ((early, "a"), (late, "b")) for c in ("doc_id", "line_no")]
-    return rows.select(*named).distinct()
+def _ends(early: str, late: str) -> list[Column]:
+    return [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in ((early, "a"), (late, "b")) for c in ("doc_id", "line_no")]
+
+
+_PAIR = ("a_doc_id", "a_line_no", "b_doc_id", "b_line_no")
+
+
+def _head_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """Each line with the block leader it shares most blocks with."""
+    rows = entries.alias("e").where(_bounded("head", "e", percent)).select(*_ends("head", "e")).groupBy(*_PAIR).count()
+    best = rows.groupBy("b_doc_id", "b_line_no").agg(F.min(F.struct(-F.col("count"), "a_doc_id", "a_line_no")).alias("x"))
+    return best.select("x.a_doc_id", "x.a_line_no", "b_doc_id", "b_line_no")
+
+
+def _all_pairs(entries: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a line and an earlier one whose accumulated words and last places still allow the threshold."""
+    rows = entries.alias("x").join(open_.alias("y"), (F.col("x.word") == F.col("y.word")) & _bounded("x", "y", percent))
+    held = [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in (("x", "a"), ("y", "b")) for c in ("size", "at")]
+    rows = rows.select(*_ends("x", "y"), *held).groupBy(*_PAIR).agg(
+        F.count("*").alias("shared"), F.first("a_size").alias("a"), F.first("b_size").alias("b"), F.max("a_at").alias("a_at"), F.max("b_at").alias("b_at")
+    )
+    # places count from 0: shared words that aren't counted fail the bound in one of the lines and stand behind all that pass there
+    most = F.col("shared") + F.greatest(F.col("a") - F.col("a_at"), F.col("b") - F.col("b_at")) - 1
+    return rows.where((100 + percent) * most >= percent * (F.col("a") + F.col("b"))).select(*_PAIR)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
-    """The later lines (doc_id, line_no) of the pairs that reach the threshold."""
+def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The later lines (doc_id, line_no) of the pairs that reach the threshold, by whole sets of words."""
     pairs = stored(pairs, "pairs")
     ends = F.explode(F.array(*[F.struct(F.col(f"{k}_doc_id").alias("doc_id"), F.col(f"{k}_line_no").alias("line_no")) for k in "ab"])).alias("x")
     wanted = pairs.select(ends).select("x.*").groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))  # within one document
     lines = docs.select("doc_id", "text").join(wanted, "doc_id")
     lines = lines.select("doc_id", F.split("text", "\n").alias("parts"), F.explode("wanted").alias("line_no"))
-    lines = lines.select("doc_id", "line_no", F.get("parts", "line_no").alias("line"))
-    sets = stored(_ordered(lines, sketch).select("doc_id", "line_no", "tokens").dropDuplicates(["doc_id", "line_no"]), "lines")
+    lines = lines.select("doc_id", "line_no", F.get("parts", "line_no").alias("line")).dropDuplicates(["doc_id", "line_no"])
+    sets = stored(lines, "lines")
     for k in "ab":
-        pairs = pairs.join(sets.select(F.col("doc_id").alias(f"{k}_doc_id"), F.col("line_no").alias(f"{k}_line_no"), F.col("tokens").alias(f"{k}_tokens")), [f"{k}_doc_id", f"{k}_line_no"])
-    same = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    both = F.size("a_tokens") + F.size("b_tokens")
-    found = pairs.where(100 * same >= percent * (both - same))
-    return stored(found.select(F.col("b_doc_id").alias("doc_id"), F.col("b_line_no").alias("line_no")).distinct(), "matched")
+        pairs = pairs.join(sets.select(F.col("doc_id").alias(f"{k}_doc_id"), F.col("line_no").alias(f"{k}_line_no"), F.col("line").alias(f"{k}_line")), [f"{k}_doc_id", f"{k}_line_no"])
+    pairs = pairs.select("b_doc_id", "b_line_no", _hashes(F.col("a_line")).alias("a"), _hashes(F.col("b_line")).alias("b"))
+    same = F.size(F.array_intersect("a", "b"))
+    found = pairs.where((100 + percent) * same >= percent * (F.size("a") + F.size("b")))
+    found = stored(found.select(F.col("b_doc_id").alias("doc_id"), F.col("b_line_no").alias("line_no")).distinct(), "matched")
+    dropped(sets)
+    return found
 
 
 def removed_lines(docs: DataFrame, percent: int = 80, least: int = 5) -> DataFrame:
@@ -95,25 +121,27 @@ def removed_lines(docs: DataFrame, percent: int = 80, least: int = 5) -> DataFra
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = stored(_sketch(docs), "sketch")
     lines = _ordered(_lines(docs), sketch).withColumn("size", F.size("tokens")).where(F.col("size") >= least)
-    prefix = F.slice("tokens", 1, (F.col("size") - F.ceil(percent * F.col("size") / 100) + 1).cast("int"))
+    # blocks need no more than 31 bits of a word: others that share them only add candidates
+    kept = F.slice("tokens", 1, (F.col("size") - F.ceil(percent * F.col("size") / 100) + 1).cast("int"))
+    prefix = F.transform(kept, lambda t: (t.bitwiseXOR(F.shiftrightunsigned(t, 32)).bitwiseAND(0x7FFFFFFF)).cast("int"))
     lines = lines.select("doc_id", "line_no", "size", F.xxhash64("tokens").alias("s1"), F.xxhash64("tokens", F.lit(1)).alias("s2"), prefix.alias("prefix"))
     lines = stored(lines, "prefixes")
     same = ["s1", "s2", "size"]
     classes = lines.groupBy(*same).agg(F.min(F.struct("doc_id", "line_no", "prefix")).alias("first"))
-    entries = classes.select("first.doc_id", "first.line_no", "size", F.posexplode("first.prefix").alias("at", "word"))
+    classes = stored(classes.select(*same, "first.*"), "classes")
+    entries = classes.select("doc_id", "line_no", "size", F.posexplode("prefix").alias("at", "word"))
     column = Window.partitionBy("word")
     head = F.min(F.struct("doc_id", "line_no", "size", "at")).over(column)
     entries = entries.select("*", F.count("*").over(column).alias("rows"), head.alias("head"))
     entries = stored(entries.where("rows > 1").drop("rows"), "blocks")
 
-    first = _pairs(entries.alias("e").where(_bounded("head", "e", percent)), "head", "e")
-    matched = _verified(first, docs, sketch, percent)
+    matched = _verified(_head_pairs(entries, percent), docs, percent)
     entries = entries.drop("head")
     open_ = entries.join(matched, ["doc_id", "line_no"], "left_anti")
-    rest = entries.alias("x").join(open_.alias("y"), (F.col("x.word") == F.col("y.word")) & _bounded("x", "y", percent))
-    matched = matched.union(_verified(_pairs(rest, "x", "y"), docs, sketch, percent))
+    matched = matched.union(_verified(_all_pairs(entries, open_, percent), docs, percent))
+    dropped(entries)
 
-    firsts = stored(classes.select(*same, "first.doc_id", "first.line_no"), "firsts")
+    firsts = classes.select(*same, "doc_id", "line_no")
     goes = matched.select("doc_id", "line_no", F.lit(True).alias("goes"))
     firsts = firsts.join(goes, ["doc_id", "line_no"], "left").select(*same, F.col("doc_id").alias("first_doc"), F.col("line_no").alias("first_line"), "goes")
     own = (F.col("doc_id") == F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
