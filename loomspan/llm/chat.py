@@ -78,13 +78,13 @@ p AS (
          least(len(a.turns), len(b.turns)) AS n
   FROM c a JOIN c b ON b.conv_id = a.conv_id + 1 WHERE a.conv_id % 2 = 0),
 q AS (
-  SELECT *, coalesce(list_min(list_filter(range(1, n + 1), i -> ct[i].role <> rt[i].role OR ct[i].text <> rt[i].text)) - 1, n) AS k FROM p),
+  SELECT *, coalesce(list_min(list_filter(range(1, n + 1), lambda i: ct[i].role <> rt[i].role OR ct[i].text <> rt[i].text)) - 1, n) AS k FROM p),
 r AS (SELECT *, ct[1:k] AS pt, ct[k + 1:] AS cc, rt[k + 1:] AS rc FROM q)
 SELECT CAST(pair_id AS BIGINT) AS pair_id, chosen_id, rejected_id, CAST(k AS BIGINT) AS prompt_turns,
-  array_to_string(list_transform(pt, x -> '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS prompt,
-  array_to_string(list_transform(cc, x -> '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS chosen,
-  array_to_string(list_transform(cc, x -> CASE WHEN x.role = 'assistant' THEN '1:' ELSE '0:' END || (length(x.role) + length(x.text) + 13)), ',') AS chosen_mask,
-  array_to_string(list_transform(rc, x -> '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS rejected,
-  array_to_string(list_transform(rc, x -> CASE WHEN x.role = 'assistant' THEN '1:' ELSE '0:' END || (length(x.role) + length(x.text) + 13)), ',') AS rejected_mask
+  array_to_string(list_transform(pt, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS prompt,
+  array_to_string(list_transform(cc, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS chosen,
+  array_to_string(list_transform(cc, lambda x: CASE WHEN x.role = 'assistant' THEN '1:' ELSE '0:' END || (length(x.role) + length(x.text) + 13)), ',') AS chosen_mask,
+  array_to_string(list_transform(rc, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS rejected,
+  array_to_string(list_transform(rc, lambda x: CASE WHEN x.role = 'assistant' THEN '1:' ELSE '0:' END || (length(x.role) + length(x.text) + 13)), ',') AS rejected_mask
 FROM r
 """
