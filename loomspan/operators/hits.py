@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspan.session import cut
+
 _SPANS = "q string, t string, bits double, ident double, aln double, n_spans int"
 
 
@@ -118,19 +120,17 @@ def clusters(edges: DataFrame, inflation: float = 1.5, rounds: int = 12, least:
     """Markov clustering of weighted edges (a, b, w): rows (node, cluster), cluster being its smallest node.
 
     The matrix is a table (i, j, p) with columns j summing to 1; a round squares it by a join, raises entries to
-    inflation and drops those under least. Rounds are cut by checkpoint() or a table where the session has a folder.
+    inflation and drops those under least. Each round is cut by a checkpoint.
     """
     both = edges.select(F.col("a").alias("i"), F.col("b").alias("j"), "w").union(edges.select(F.col("b").alias("i"), F.col("a").alias("j"), "w"))
     loops = both.groupBy("j").agg(F.max("w").alias("w")).select(F.col("j").alias("i"), "j", "w")
     share = lambda df: df.withColumn("p", F.col("w") / F.sum("w").over(Window.partitionBy("j"))).select("i", "j", "p")
     m = share(both.union(loops).groupBy("i", "j").agg(F.sum("w").alias("w")))
-    cut = edges.sparkSession.sparkContext.getCheckpointDir() is not None
     for _ in range(rounds):
         left = m.select("i", F.col("j").alias("k"), F.col("p").alias("pl"))
         right = m.select(F.col("i").alias("k"), "j", F.col("p").alias("pr"))
         squared = left.join(right, "k").groupBy("i", "j").agg(F.sum(F.col("pl") * F.col("pr")).alias("p"))
-        m = share(squared.where(F.col("p") > least).withColumn("w", F.pow("p", F.lit(inflation))).select("i", "j", "w"))
-        m = m.checkpoint() if cut else m
+        m = cut(share(squared.where(F.col("p") > least).withColumn("w", F.pow("p", F.lit(inflation))).select("i", "j", "w")))
     drawn = m.groupBy("j").agg(F.min_by("i", F.struct(-F.round("p", 6), "i")).alias("attractor"))
     smallest = Window.partitionBy("attractor")
     return drawn.select(F.col("j").alias("node"), F.min("j").over(smallest).alias("cluster"))

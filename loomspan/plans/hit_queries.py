@@ -71,11 +71,11 @@ def pair_table(spark, sf):
     return h.pair_table(sums, lengths)
 
 
-_E = "*, CASE WHEN power >= 100 THEN 0 ELSE pow(10, -power) END AS evalue"
+_E = "*, CASE WHEN power >= 150 THEN 0 ELSE pow(10, -power) END AS evalue"
 
 
 def _taxon(spark, sf):
-    return taxon_hits(spark, sf).withColumn("evalue", F.when(F.col("power") >= 100, 0.0).otherwise(F.pow(F.lit(10.0), -F.col("power"))))
+    return taxon_hits(spark, sf).withColumn("evalue", F.when(F.col("power") >= 150, 0.0).otherwise(F.pow(F.lit(10.0), -F.col("power"))))
 
 
 _ORTHO = ctes("taxon_hits", e=f"SELECT {_E} FROM taxon_hits", first="SELECT * FROM (SELECT *, rank() OVER (PARTITION BY q, t_sp ORDER BY evalue) AS r FROM e WHERE q_sp <> t_sp) WHERE r = 1")

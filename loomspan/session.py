@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,6 +26,14 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
     return spark
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df by checkpoint() in the folder of spark.checkpoint.dir; a temporary one is set only where there is none (tests)."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="loomspan-"))
+    return df.checkpoint()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table, read by Spark so that any file system it knows will do."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 def attribute_map(text: Column) -> Column:
     """key=value;... as a map; blanks around parts go, empty parts too, of repeated keys the first stays."""
-    parts = F.filter(F.transform(F.split(text, ";"), F.trim), lambda x: x.contains("="))
-    pairs = F.transform(parts, lambda x: F.struct(F.substring_index(x, "=", 1).alias("key"), F.regexp_replace(x, "^[^=]*=", "").alias("value")))
-    first = F.filter(pairs, lambda p, i: F.array_position(F.transform(pairs, lambda o: o["key"]), p["key"]) == i + 1)
-    return F.map_from_entries(first)
+    parts = F.filter(F.transform(F.split(text, ";"), lambda x: F.trim(x)), lambda x: x.contains("="))
+    key = lambda x: F.substring_index(x, "=", 1)
+    keys = F.transform(parts, key)
+    first = F.filter(parts, lambda x, i: F.array_position(keys, key(x)) == i + 1)
+    return F.map_from_entries(F.transform(first, lambda x: F.struct(key(x).alias("key"), x.substr(F.locate("=", x) + 1, F.length(x)).alias("value"))))
 
 
 def attribute_text(attrs: Column) -> Column:
