@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspan.operators import graphs
+
 #: Words are maximal runs of anything but these six ASCII space characters.
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -58,29 +60,5 @@ def n_words(text: Column) -> Column:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of edges (a, b): rows (id, component), component being the smallest id reached.
-
-    Each round points every node at its smallest neighbour, follows that pointer once more, and contracts
-    the edges. At least half of the labels in every unfinished component go each round.
-    """
-    spark = edges.sparkSession
-    left = stored(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    labels = None
-    while not left.isEmpty():
-        both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("to")).select("id", F.least("id", "to").alias("to"))
-        further = step.select(F.col("id").alias("to"), F.col("to").alias("further"))
-        step = stored(step.join(further, "to", "left").select("id", F.least("to", F.coalesce("further", "to")).alias("to")), "step")
-        if labels is None:
-            labels = step.select("id", F.col("to").alias("component"))
-        else:
-            labels = labels.join(step.select(F.col("id").alias("component"), "to"), "component", "left").select(
-                "id", F.coalesce("to", "component").alias("component")
-            )
-        labels = stored(labels, "labels")
-        for end in ("a", "b"):
-            left = left.join(step.select(F.col("id").alias(end), "to"), end).drop(end).withColumnRenamed("to", end)
-        left = stored(left.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    if labels is None:
-        return spark.createDataFrame([], "id long, component long")
-    return labels
+    """Connected components of edges (a, b): rows (id, component), component being the smallest id reached."""
+    return graphs.components(edges, keep=lambda df: stored(df, "graph"))
