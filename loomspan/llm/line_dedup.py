@@ -16,7 +16,7 @@ doc_id is otherwise taken as unique; an empty table gives none; other columns ar
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .common import SPACES, dropped, stored
@@ -52,8 +52,9 @@ def _sketch(docs: DataFrame) -> DataFrame:
 def _ordered(lines: DataFrame, sketch: DataFrame) -> DataFrame:
     """Adds tokens: a line's distinct words as numbers whose order is rare first, then hash."""
     # the sketch, one bounded row, joins the lines as a scalar subquery; Spark merges both projections
-    key = lambda h: F.shiftleft(F.get("_sketch", _bucket(h)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-    tokens = F.sort_array(F.transform(_hashes(F.col("line")), key)).alias("tokens")
+    key = lambda w: F.shiftleft(F.get("_sketch", _bucket(F.xxhash64(w))).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 8))
+    keys = F.array_distinct(F.transform(F.split(F.col("line"), SPACES), key))
+    tokens = F.sort_array(F.array_remove(keys, key(F.lit("")))).alias("tokens")
     return lines.select("*", sketch.scalar().alias("_sketch")).select(*[c for c in lines.columns if c != "line"], tokens)
 
 
@@ -71,6 +72,19 @@ def _bounded(early: str, late: str, percent: int) -> Column:
     return fits & (F.struct(F.col(f"{early}.doc_id"), F.col(f"{early}.line_no")) < F.struct(F.col(f"{late}.doc_id"), F.col(f"{late}.line_no")))
 
 
+def _exploded(classes: DataFrame) -> DataFrame:
+    """One row for each word of a prefix, with its place."""
+    return classes.select("doc_id", "line_no", "size", F.posexplode("prefix").alias("at", "word"))
+
+
+def _meets(by_size: WindowSpec, percent: int) -> Column:
+    """False for entries whose block holds no other line of a size that their own size and place allow."""
+    size, below, above = F.col("size"), F.lag("size").over(by_size), F.lead("size").over(by_size)
+    # the bound solved for the partner's size
+    largest = F.least(100 * size, (100 + percent) * (size - F.col("at")) - percent * size)
+    return F.coalesce(100 * below >= percent * size, F.lit(False)) | F.coalesce(percent * above <= largest, F.lit(False))
+
+
 def _ends(early: str, late: str) -> list[Column]:
     return [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in ((early, "a"), (late, "b")) for c in ("doc_id", "line_no")]
 
@@ -129,16 +143,15 @@ def removed_lines(docs: DataFrame, percent: int = 80, least: int = 5) -> DataFra
     same = ["s1", "s2", "size"]
     classes = lines.groupBy(*same).agg(F.min(F.struct("doc_id", "line_no", "prefix")).alias("first"))
     classes = stored(classes.select(*same, "first.*"), "classes")
-    entries = classes.select("doc_id", "line_no", "size", F.posexplode("prefix").alias("at", "word"))
     column = Window.partitionBy("word")
-    head = F.min(F.struct("doc_id", "line_no", "size", "at")).over(column)
-    entries = entries.select("*", F.count("*").over(column).alias("rows"), head.alias("head"))
-    entries = stored(entries.where("rows > 1").drop("rows"), "blocks")
+    entries = _exploded(classes)
+    entries = entries.withColumn("meets", _meets(column.orderBy("size", "doc_id", "line_no"), percent)).where("meets").drop("meets")
+    entries = entries.withColumn("head", F.min(F.struct("doc_id", "line_no", "size", "at")).over(column))
+    entries = stored(entries, "blocks")
 
     matched = _verified(_head_pairs(entries, percent), docs, percent)
-    entries = entries.drop("head")
-    open_ = entries.join(matched, ["doc_id", "line_no"], "left_anti")
-    matched = matched.union(_verified(_all_pairs(entries, open_, percent), docs, percent))
+    open_ = _exploded(classes.select("doc_id", "line_no", "size", "prefix").join(matched, ["doc_id", "line_no"], "left_anti"))
+    matched = matched.union(_verified(_all_pairs(entries.drop("head"), open_, percent), docs, percent))
     dropped(entries)
 
     firsts = classes.select(*same, "doc_id", "line_no")
