@@ -2,8 +2,8 @@
 
 Documents with equal n-gram sets collapse into one row of the matrix. Columns are ordered from rare to frequent
 by a fixed-size count sketch over all documents, ties by hash. Each row keeps the first entries of that order, as
-many as its size demands: two rows that reach the threshold must share one of them, and a bound from sizes and
-places discards pairs that can't reach it. A kept column with two rows or more is a block of the product.
+many as its size demands: two rows that reach the threshold must share one of them, and a bound from sizes and the
+places of their first shared entry discards pairs that can't reach it. A kept column with two rows or more is a block of the product.
 
 Blocks multiply in two passes, so that a large group of near copies costs its size and not its square. First every
 row meets the row it shares most blocks with among the blocks' leading rows, and links found make components. Then
@@ -127,13 +127,14 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _bounded(a: str, b: str, percent: int):
-    """What sizes and places allow: places are those of one shared n-gram in the common order."""
+    """What sizes and places allow if the n-gram is the first in the common order that both rows hold.
+
+    Every other shared one then stands behind it in both. A linked pair passes at its first shared n-gram, so none is
+    lost; pairs that only share frequent n-grams, with enough of their own before them, never pass.
+    """
     size_a, size_b, at_a, at_b = (F.col(f"{x}.{c}") for c in ("size", "at") for x in (a, b))
-    most = F.least(at_a, at_b) + 1 + F.least(size_a - at_a, size_b - at_b) - 1
-    return (
-        (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b))
-        & ((100 + percent) * most >= percent * (size_a + size_b))
-    )
+    most = F.least(size_a - at_a, size_b - at_b)
+    return (100 + percent) * most >= percent * (size_a + size_b)
 
 
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -178,10 +179,13 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         held.alias("x")
         .join(held.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.component") != F.col("y.component")) & _bounded("x", "y", percent))
         .groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-        .agg(F.count("*").alias("shared"), F.first("x.size").alias("size_a"), F.first("y.size").alias("size_b"))
+        .agg(
+            F.count("*").alias("shared"), F.first("x.size").alias("size_a"), F.first("y.size").alias("size_b"),
+            F.max("x.at").alias("last_a"), F.max("y.at").alias("last_b"),
+        )
     )
-    # every n-gram that both kept is counted by now; beyond the earlier end of the two only one's rest can be shared
-    rest = F.greatest(*[F.ceil(percent * F.col(c) / 100) - 1 for c in ("size_a", "size_b")])
+    # the count holds every shared n-gram up to the last places; whatever else is shared stands behind them in both rows
+    rest = F.least(F.col("size_a") - F.col("last_a"), F.col("size_b") - F.col("last_b")) - 1
     pairs = pairs.where((100 + percent) * (F.col("shared") + rest) >= percent * (F.col("size_a") + F.col("size_b"))).select("a", "b")
     links = links.union(verified(pairs))
     found = components(links)
