@@ -38,6 +38,7 @@ def main() -> None:
             if os.environ.get("BENCH_COLD") != "1":
                 timed(spark, name, sf)
             seconds[name] = round(timed(spark, name, sf), 3)
+            print(name, seconds[name], file=sys.stderr, flush=True)
         except Exception as e:  # one failed query must not hide the others' figures
             print(f"{name}: {str(e)[:300]}", file=sys.stderr)
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": os.path.basename(sf.rstrip("/"))}))
