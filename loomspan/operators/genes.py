@@ -160,9 +160,12 @@ class _Placed:
 def _greedy(most: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         kept, out = _Placed(), []
-        genes = rows.sort_values(["begin", "end"]).groupby("gid", sort=False)
-        order = sorted(((-int(g["total"].iloc[0]), int(g["begin"].min()), int(g["end"].max()), gid) for gid, g in genes))
-        spans_of = {gid: list(zip(g["begin"], g["end"])) for gid, g in genes}
+        spans_of: dict[int, list[tuple[int, int]]] = {}
+        total: dict[int, int] = {}
+        for gid, b, e, score in zip(*[rows[c].tolist() for c in ("gid", "begin", "end", "total")]):
+            spans_of.setdefault(gid, []).append((b, e))
+            total[gid] = score
+        order = sorted((-total[gid], min(own)[0], max(e for _, e in own), gid) for gid, own in spans_of.items())
         for minus, _, _, gid in order:
             own = spans_of[gid]
             size = sum(e - b + 1 for b, e in own)

@@ -11,28 +11,38 @@ from loomspan.session import cut
 _SPANS = "q string, t string, bits double, ident double, aln double, n_spans int"
 
 
-def _chain(rows: pd.DataFrame) -> pd.DataFrame:
-    """Accept hits in row order; one joins unless it overlaps an accepted one beyond the slop on query and target."""
-    rows = rows.sort_values("row_no", kind="stable")
-    kept: list[tuple[int, int, int, int]] = []
-    bits = ident = aln = 0.0
-    for h in rows.itertuples():
-        slop_q, slop_t = (max(6, int(0.02 * (1 + e - b))) for b, e in ((h.qb, h.qe), (h.tb, h.te)))
-        clash = any((h.qb < qe - slop_q + 1 and h.qe > qb + slop_q - 1) or (h.tb < te - slop_t + 1 and h.te > tb + slop_t - 1) for qb, qe, tb, te in kept)
-        if not clash:
-            kept.append((h.qb, h.qe, h.tb, h.te))
-            bits, ident, aln = bits + h.bits, ident + h.ident, aln + h.aln
-    first = rows.iloc[0]
-    return pd.DataFrame({"q": [first.q], "t": [first.t], "bits": [bits], "ident": [ident], "aln": [aln], "n_spans": [len(kept)]})
+def _chains(batches):
+    """Rows come sorted by q, t and row_no. A hit joins its pair's chain unless it overlaps an accepted one beyond the slop on query and target."""
+    now, kept, sums = None, [], [0.0, 0.0, 0.0]
+    names = ["q", "t", "bits", "ident", "aln", "n_spans"]
+    for batch in batches:
+        out = []
+        for q, t, qb, qe, tb, te, bits, ident, aln in zip(*[batch[c].tolist() for c in _HIT]):
+            if (q, t) != now:
+                if now is not None:
+                    out.append((*now, *sums, len(kept)))
+                now, kept, sums = (q, t), [], [0.0, 0.0, 0.0]
+            slop_q, slop_t = (max(6, int(0.02 * (1 + e - b))) for b, e in ((qb, qe), (tb, te)))
+            clash = any((qb < e - slop_q + 1 and qe > b + slop_q - 1) or (tb < f - slop_t + 1 and te > a + slop_t - 1) for b, e, a, f in kept)
+            if not clash:
+                kept.append((qb, qe, tb, te))
+                sums = [x + y for x, y in zip(sums, (bits, ident, aln))]
+        yield pd.DataFrame(out, columns=names)
+    if now is not None:
+        yield pd.DataFrame([(*now, *sums, len(kept))], columns=names)
+
+
+_HIT = ["q", "t", "qb", "qe", "tb", "te", "bits", "ident", "aln"]
 
 
 def chain_sums(hits: DataFrame) -> DataFrame:
     """Per (q, t): summed bits, ident and aln over hits that don't overlap accepted ones. hits: q, t, qb, qe, tb, te, bits, ident, aln, row_no.
 
-    A pair's hits are the group: two sequences bound it.
+    Pairs meet in one partition and are read in order, so a task holds one pair's accepted spans at a time.
     """
-    rows = hits.select(F.col("q").cast("string"), F.col("t").cast("string"), "qb", "qe", "tb", "te", F.col("bits").cast("double"), F.col("ident").cast("double"), F.col("aln").cast("double"), "row_no")
-    return rows.groupBy("q", "t").applyInPandas(_chain, _SPANS)
+    scores = [F.col(c).cast("double") for c in ("bits", "ident", "aln")]
+    rows = hits.select(F.col("q").cast("string"), F.col("t").cast("string"), "qb", "qe", "tb", "te", *scores, "row_no")
+    return rows.repartition("q", "t").sortWithinPartitions("q", "t", "row_no").mapInPandas(_chains, _SPANS)
 
 
 def best_targets(sums: DataFrame, k: int = 1) -> DataFrame:
