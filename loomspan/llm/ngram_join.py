@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import components, dropped, probably_in, stored
 from .grams import Words, chunks, mix
 
 #: log2 of the sketch's counters: fixed, 2 MB, whatever the corpus holds.
@@ -161,8 +161,12 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = stored(_full(rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), n), "sets")
-        return stored(_linked(pairs, sets, percent), "links")
+        wanted = stored(wanted, "wanted")
+        texts = probably_in(rows, wanted).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        sets = stored(_full(texts, n), "sets")
+        found = stored(_linked(pairs, sets, percent), "links")
+        dropped(sets)
+        return found
 
     heads = entries.alias("e").where((F.col("doc_id") != F.col("head.doc_id")) & _bounded("e", "head", percent))
     heads = heads.groupBy("doc_id", F.col("head.doc_id").alias("head")).count()
