@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from .common import SPACES, dropped, stored
+from .common import SPACES, dropped, probably_in, stored
 
 #: log2 of the sketch's counters: fixed, 4 MB, whatever the corpus holds.
 SKETCH_BITS = 20
@@ -116,7 +116,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     pairs = stored(pairs, "pairs")
     ends = F.explode(F.array(*[F.struct(F.col(f"{k}_doc_id").alias("doc_id"), F.col(f"{k}_line_no").alias("line_no")) for k in "ab"])).alias("x")
     wanted = pairs.select(ends).select("x.*").groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))  # within one document
-    lines = docs.select("doc_id", "text").join(wanted, "doc_id")
+    wanted = stored(wanted, "wanted")
+    lines = probably_in(docs.select("doc_id", "text"), wanted).join(wanted, "doc_id")
     lines = lines.select("doc_id", F.split("text", "\n").alias("parts"), F.explode("wanted").alias("line_no"))
     lines = lines.select("doc_id", "line_no", F.get("parts", "line_no").alias("line")).dropDuplicates(["doc_id", "line_no"])
     sets = stored(lines, "lines")
