@@ -34,13 +34,17 @@ def _codon_map() -> Column:
     return F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
 
 
+def codons(seq: Column) -> Column:
+    """The codons of frame 1; a short tail is nothing."""
+    return F.regexp_extract_all(seq, F.lit("(?s)(...)"), F.lit(1))
+
+
 def translate(seq: Column, frame: int = 1) -> Column:
     """Protein of frame 1, 2 or 3, or -1, -2, -3 on the other strand. Unknown codons are X, a short tail is nothing."""
     s = F.upper(seq if frame > 0 else reverse_complement(seq))
     s = F.substring(s, abs(frame), 1 << 30)
-    codons = F.regexp_extract_all(s, F.lit("(...)"), F.lit(1))
     table = _codon_map()
-    return F.array_join(F.transform(codons, lambda c: F.coalesce(table[c], F.lit("X"))), "")
+    return F.array_join(F.transform(codons(s), lambda c: F.coalesce(table[c], F.lit("X"))), "")
 
 
 def back_translate(protein: Column) -> Column:
@@ -129,7 +133,8 @@ def quality_score(grade: Column, pcds: Column) -> Column:
 
 def hexamers(rows: DataFrame, key: str) -> DataFrame:
     """(key, hexamer, n): in-frame six-base words."""
-    words = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("seq") - 6) / 3)).cast("int")), lambda i: F.col("seq").substr(i * 3 + 1, F.lit(6)))
+    each = codons(F.col("seq"))
+    words = F.zip_with(F.slice(each, 1, F.size(each) - 1), F.slice(each, 2, F.size(each) - 1), lambda a, b: F.concat(a, b))
     return rows.where(F.length("seq") >= 6).select(key, F.explode(words).alias("hexamer")).groupBy(key, "hexamer").agg(F.count("*").alias("n"))
 
 

@@ -35,8 +35,8 @@ def fragments(sequences: DataFrame, k: int = 24) -> DataFrame:
     """
     rows = sequences.where(F.length("seq") >= k)
     seeds = rows.select("id", F.length("seq").alias("n"), F.substring("seq", 1, k).alias("word"), F.col("seq").alias("short"))
-    at = F.sequence(F.lit(1), F.length("seq") - k + 1)
-    words = rows.select(F.col("id").alias("holder"), F.length("seq").alias("m"), F.explode(F.array_distinct(F.transform(at, lambda i: F.col("seq").substr(i, F.lit(k))))).alias("word"))
+    every = F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))  # one pass over the letters
+    words = rows.select(F.col("id").alias("holder"), F.length("seq").alias("m"), F.explode(F.array_distinct(every)).alias("word"))
     found = seeds.select("id", "n", "word").join(words, "word").where("m > n").select("id", "holder")
     pairs = found.join(rows.select("id", F.col("seq").alias("short")), "id").join(rows.select(F.col("id").alias("holder"), F.col("seq").alias("long")), "holder")
     return pairs.where(F.contains("long", "short")).groupBy("id").agg(F.min("holder").alias("holder"))

@@ -53,7 +53,7 @@ _BACK = "MAP {" + ", ".join(f"'{a}': '{c}'" for a, c in sq.BACK.items()) + "}"
 @query("seq08_back_translate", ctes("sequences", p=f"SELECT id, {_protein('substr(seq, 1, 300)')} AS aa FROM sequences") + f"SELECT id, array_to_string(list_transform(range(1, length(aa) + 1), lambda i: {_BACK}[substr(aa, i, 1)]), '') AS cds FROM p")
 def back_translate(spark, sf):
     """SEQ-08: a coding sequence of each protein."""
-    return sequences(spark, sf).select("id", sq.back_translate(sq.translate(F.substring("seq", 1, 300))).alias("cds"))
+    return sequences(spark, sf).select("id", sq.back_translate(sq.translate(F.col("seq"))).alias("cds"))
 
 
 @query("seq09_letter_counts", ctes("sequences") + "SELECT id, length(seq) AS bases, CAST(0 AS BIGINT) AS gaps, round((length(seq) - length(translate(seq, 'GC', ''))) / greatest(length(seq), 1), 6) AS gc FROM sequences")
@@ -84,7 +84,7 @@ _ASYM = ", ".join(
 @query("seq11_position_asymmetry", ctes("sequences", s="SELECT id, substr(seq, 1, 600) AS seq FROM sequences") + f"SELECT id, {_ASYM} FROM s")
 def position_asymmetry(spark, sf):
     """SEQ-11: asymmetry of bases over codon places."""
-    return sequences(spark, sf).withColumn("seq", F.substring("seq", 1, 600)).select("id", *sq.position_asymmetry(F.col("seq")))
+    return sequences(spark, sf).select("id", *sq.position_asymmetry(F.col("seq")))
 
 
 @query("seq12_class_consensus", ctes("sequences", s="SELECT id, length(seq) % 100 / 100 AS a, id % 10 / 10 AS b, (length(seq) + id) % 7 / 6 AS c FROM sequences",
@@ -117,12 +117,11 @@ d AS (SELECT *, CASE k WHEN 0 THEN alt || old[2:3] WHEN 1 THEN old[1] || alt ||
 SELECT id, pos, {_TABLE}[old] AS before, {_TABLE}[new] AS after, {_TABLE}[old] = {_TABLE}[new] AS synonymous FROM d""")
 def snp_effects(spark, sf):
     """SEQ-15: what a changed base does to its codon."""
-    whole = F.length("seq") - F.length("seq") % 3
-    places = F.filter(F.sequence(F.lit(3), F.lit(89), F.lit(7)), lambda i: i < whole)
-    rows = sequences(spark, sf).select("id", "seq", F.explode(places).alias("at")).withColumn("at", F.col("at").cast("long"))
-    first = F.col("at") - F.col("at") % 3
-    old = F.col("seq").substr((first + 1).cast("int"), F.lit(3))
-    alt = F.translate(F.col("seq").substr((F.col("at") + 1).cast("int"), F.lit(1)), "ACGT", "GTAC")
+    rows = sequences(spark, sf).select("id", F.posexplode(sq.codons(F.col("seq"))).alias("codon", "old"))
+    first = 3 * F.col("codon").cast("long")
+    rows = rows.withColumn("at", first + F.pmod(3 - first, F.lit(7))).where(F.col("at") < first + 3)  # every seventh place from 3: one a codon at most
+    old = F.col("old")
+    alt = F.translate(old.substr((F.col("at") % 3 + 1).cast("int"), F.lit(1)), "ACGT", "GTAC")
     new = F.overlay(old, alt, (F.col("at") % 3 + 1).cast("int"))
     rows = rows.select("id", F.col("at").alias("pos"), sq.translate(old).alias("before"), sq.translate(new).alias("after"))
     return rows.withColumn("synonymous", F.col("before") == F.col("after"))
