@@ -3,7 +3,9 @@
 Entities are found by patterns. An entity's canonical form (digits of a number, lower case of the rest) and a key
 decide its surrogate, so one entity gets one surrogate in every document. A surrogate has its entity's type, length,
 script and, for titled names, gender. Surrogates are checked over all entities of the corpus: one that another
-entity has, or that is itself an entity of the corpus, is drawn anew, so different entities stay different.
+entity has, or that is itself an entity of the corpus, is drawn anew, so different entities stay different. Names get
+a further syllable and addresses wider reserved blocks with each further draw, so that few names to draw from can't run
+out; numbers keep their digits, so theirs outnumber entities while those take less than half of their numbers.
 
 Defined results: a null text stays null and has no entities; texts without entities stay as they are; repeated rows
 are rewritten one by one; rows with a null doc_id are rewritten too; an empty table gives none; other columns are
@@ -27,6 +29,9 @@ GIVEN = {
 }
 FAMILY_PARTS = {"latin": (("Al", "Ber", "Cor", "Del", "Fen", "Gar", "Hol", "Lin", "Mar", "Nor", "Ros", "Sten"), ("ba", "den", "field", "kin", "lo", "man", "ra", "son", "ta", "vik")),
                 "cyrillic": (("Бел", "Вол", "Гор", "Дуб", "Кор", "Лес", "Мор", "Сол"), ("енко", "ин", "ов", "ский", "ук"))}
+#: Added to a family name for each turn after the first, at most so many that it stays a name of the pattern.
+SYLLABLES = {"latin": ("be", "da", "fi", "go", "ka", "li", "mo", "nu", "pe", "ro", "sa", "ti"), "cyrillic": ("ба", "ве", "ди", "ко", "ла", "ми", "ро", "ту")}
+MOST_SYLLABLES = 10
 
 _TITLE = "|".join(t for group in TITLES.values() for t in group)
 #: Type and pattern, in the order in which they claim text. Every run is bounded, so long texts cost their length.
@@ -52,11 +57,17 @@ def canonical(kind: Column, value: Column) -> Column:
     return F.when(kind.isin("card", "phone"), F.regexp_replace(value, r"\D", "")).otherwise(F.lower(value))
 
 
-def _pick(names: tuple, h: Column, at: int) -> Column:
+def _pick(names: tuple, h: Column, at: int | Column) -> Column:
     number = F.conv(F.substring(h, at, 6), 16, 10).cast("int")
     return F.element_at(F.array(*[F.lit(x) for x in names]), (number % len(names) + 1).cast("int"))
 
 
+def _syllables(names: tuple, h: Column, turn: Column) -> Column:
+    """None in turn 0, then one a turn: the pool grows by the factor len(names) with each."""
+    picked = F.transform(F.sequence(F.lit(1), F.least(F.greatest(turn, F.lit(1)), F.lit(MOST_SYLLABLES))), lambda i: _pick(names, h, i * 6 - 5))
+    return F.when(turn > 0, F.array_join(picked, "")).otherwise(F.lit(""))
+
+
 def _surrogate(kind: Column, value: Column, key: str, turn: Column) -> Column:
     """A canonical surrogate of a canonical value: same type, length class and script."""
     h = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, value, turn.cast("string")), 256)
@@ -65,7 +76,10 @@ def _surrogate(kind: Column, value: Column, key: str, turn: Column) -> Column:
     octet = lambda at: F.conv(F.substring(h, at, 2), 16, 10)
     local = F.concat(F.translate(F.substring(h, 1, 2), "0123456789", "ghijklmnop"), F.substring(h, 3, 10))
     out = F.when(kind == "email", F.concat(local, F.lit("@mail."), _pick(("com", "org", "net"), h, 20), F.lit(".example")))
-    out = out.when(kind == "ip", F.concat_ws(".", F.lit("10"), octet(1), octet(3), octet(5)))
+    # private addresses, then reserved ones, and any only where both are used up
+    some = F.conv(F.substring(h, 7, 2), 16, 10).cast("int")
+    first = F.when(turn <= 3, F.lit("10")).when(turn <= 8, (240 + some % 16).cast("string")).otherwise(some.cast("string"))
+    out = out.when(kind == "ip", F.concat_ws(".", first, octet(1), octet(3), octet(5)))
     hexes = F.substring(F.concat(h, more), 1, 100)
     head = F.regexp_extract(value, r"^(akia|ghp_|sk-)?", 0)
     out = out.when(kind == "secret", F.concat(head, hexes.substr(F.lit(1), F.length(value) - F.length(head))))
@@ -80,6 +94,7 @@ def _surrogate(kind: Column, value: Column, key: str, turn: Column) -> Column:
     family = F.when(cyrillic, F.concat(_pick(FAMILY_PARTS["cyrillic"][0], h, 8), _pick(FAMILY_PARTS["cyrillic"][1], h, 15))).otherwise(
         F.concat(_pick(FAMILY_PARTS["latin"][0], h, 8), _pick(FAMILY_PARTS["latin"][1], h, 15), F.substring(F.translate(h, "0123456789", "aeioulnrst"), 30, 2))
     )
+    family = F.concat(family, F.when(cyrillic, _syllables(SYLLABLES["cyrillic"], more, turn)).otherwise(_syllables(SYLLABLES["latin"], more, turn)))
     several = F.size(F.split(value, " ")) > 2
     return out.otherwise(F.concat(F.initcap(title), F.lit(" "), F.when(several, F.concat(given, F.lit(" "))).otherwise(F.lit("")), family))
 
