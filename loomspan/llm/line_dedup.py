@@ -9,8 +9,8 @@ A line is removed when an earlier one (by doc_id, then line number) reaches the
 Candidates are verified in two passes, so that a large group of near copies costs its size and not its square:
 first against one earliest line of a block, then, for lines still unmatched, against all that share a block.
 
-Defined results: a null text has no lines; lines with fewer than least words, blank ones among them, stay and match
-nothing; repeated rows of one doc_id don't count against each other; a row with a null doc_id loses nothing;
+Defined results: a null text has no lines; blank lines stay and match nothing; all others take part, however
+short (equal sets collapse, so a frequent short line costs one entry a block); repeated rows of one doc_id don't count against each other; a row with a null doc_id loses nothing;
 doc_id is otherwise taken as unique; an empty table gives none; other columns are kept by apply and ignored here.
 """
 
@@ -131,8 +131,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return found
 
 
-def removed_lines(docs: DataFrame, percent: int = 80, least: int = 5) -> DataFrame:
-    """One row a document: doc_id, n_lines, n_removed and removed, the numbers (from 0) of the lines that go."""
+def removed_lines(docs: DataFrame, percent: int = 80, least: int = 1) -> DataFrame:
+    """One row a document: doc_id, n_lines, n_removed and removed, the numbers (from 0) of the lines that go.
+
+    Lines with fewer than least words take no part.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = stored(_sketch(docs), "sketch")
     lines = _ordered(_lines(docs), sketch).withColumn("size", F.size("tokens")).where(F.col("size") >= least)
@@ -167,7 +170,7 @@ def removed_lines(docs: DataFrame, percent: int = 80, least: int = 5) -> DataFra
     return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
-def apply(docs: DataFrame, percent: int = 80, least: int = 5) -> DataFrame:
+def apply(docs: DataFrame, percent: int = 80, least: int = 1) -> DataFrame:
     """docs with removed lines taken out of text. Every column and row stays; a null text stays null."""
     gone = removed_lines(docs, percent, least).where("n_removed > 0").select(F.col("doc_id").alias("_doc_id"), "removed").dropDuplicates(["_doc_id"])
     rows = docs.join(gone, F.col("doc_id") == F.col("_doc_id"), "left")
