@@ -46,20 +46,23 @@ def dropped(table: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def probably_in(df: DataFrame, ids: DataFrame, key: str = "doc_id", bits: int = 23) -> DataFrame:
-    """Rows of df whose key may be among ids: a bitmap of hashed keys, fixed at 2**bits bits, lets none of them go.
+def maybe_in(ids: DataFrame, keys: list[str], bits: int = 23) -> Column:
+    """False only for rows whose keys are not among those of ids: a bitmap of hashed keys, fixed at 2**bits bits.
 
     It spares a following join the shuffle of most other rows. Once ids fill the bitmap it only stops helping.
     """
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
-    word = lambda c: F.shiftright(place(c), 6).cast("int")
-    bit = lambda c: place(c).bitwiseAND(63).cast("int")
-    held = ids.select(word(key).alias("w"), bit(key).alias("b")).select("w", F.expr("shiftleft(1L, b)").alias("m"))
-    every = df.sparkSession.range(1 << (bits - 6)).select(F.col("id").cast("int").alias("w"), F.lit(0).cast("long").alias("m"))
+    place = F.pmod(F.xxhash64(*keys), F.lit(1 << bits))
+    word, bit = F.shiftright(place, 6).cast("int"), place.bitwiseAND(63).cast("int")
+    held = ids.select(word.alias("w"), bit.alias("b")).select("w", F.expr("shiftleft(1L, b)").alias("m"))
+    every = ids.sparkSession.range(1 << (bits - 6)).select(F.col("id").cast("int").alias("w"), F.lit(0).cast("long").alias("m"))
     dense = held.unionByName(every).groupBy("w").agg(F.bit_or("m").alias("m"))
     row = dense.groupBy().agg(F.transform(F.sort_array(F.collect_list(F.struct("w", "m"))), lambda x: x["m"]).alias("bitmap"))
-    row = stored(row, "bitmap")
-    return df.where(F.bit_get(F.get(row.scalar(), word(key)), bit(key)) == 1)
+    return F.bit_get(F.get(stored(row, "bitmap").scalar(), word), bit) == 1
+
+
+def probably_in(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of df whose key may be among ids."""
+    return df.where(maybe_in(ids, [key]))
 
 
 def words(text: Column) -> Column:

@@ -3,15 +3,18 @@
 A line is the set of its words. Words are ordered from rare to frequent by a fixed-size count sketch over all
 documents, ties by hash. Lines with equal sets collapse into the earliest. Of each set the first words of that
 order are kept, as many as the threshold demands (prefix filter); lines that share one are candidates unless their
-sizes or the word's places rule them out (length and positional filters). Jaccard is verified on whole sets.
+sizes, the word's places (length and positional filters) or 64 parity bits of their words, which bound from below
+how many words only one of them holds, rule them out. Jaccard is verified on whole sets.
 
 A line is removed when an earlier one (by doc_id, then line number) reaches the threshold, removed itself or not.
 Candidates are verified in two passes, so that a large group of near copies costs its size and not its square:
 first against one earliest line of a block, then, for lines still unmatched, against all that share a block.
 
 Defined results: a null text has no lines; blank lines stay and match nothing; all others take part, however
-short (equal sets collapse, so a frequent short line costs one entry a block); repeated rows of one doc_id don't count against each other; a row with a null doc_id loses nothing;
-doc_id is otherwise taken as unique; an empty table gives none; other columns are kept by apply and ignored here.
+short (equal sets collapse, so a frequent short line costs one entry a block); repeated rows of one doc_id don't
+count against each other; rows of one doc_id with different texts are taken as one document, and where both have a
+line of one number the one that sorts first is verified; a row with a null doc_id loses nothing; an empty table gives
+none; other columns are kept by apply and ignored here.
 """
 
 from __future__ import annotations
@@ -19,9 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from .common import SPACES, dropped, probably_in, stored
+from .common import SPACES, dropped, maybe_in, stored
 
-#: log2 of the sketch's counters: fixed, 4 MB, whatever the corpus holds.
+#: log2 of the sketch's counters: fixed, 1 MB, whatever the corpus holds.
 SKETCH_BITS = 20
 
 
@@ -46,16 +49,24 @@ def _sketch(docs: DataFrame) -> DataFrame:
     scale = F.least(F.lit(126), F.floor(F.log2(F.col("c") + 1) * 3)).cast("int")
     counts = counts.select("b", scale.alias("c")).unionByName(docs.sparkSession.range(1 << SKETCH_BITS).select(F.col("id").cast("int").alias("b"), F.lit(0).alias("c")))
     dense = counts.groupBy("b").agg(F.max("c").alias("c"))
-    return dense.groupBy().agg(F.transform(F.sort_array(F.collect_list(F.struct("b", "c"))), lambda x: x["c"]).alias("sketch"))
+    return dense.groupBy().agg(F.transform(F.sort_array(F.collect_list(F.struct("b", "c"))), lambda x: x["c"].cast("byte")).alias("sketch"))
 
 
 def _ordered(lines: DataFrame, sketch: DataFrame) -> DataFrame:
     """Adds tokens: a line's distinct words as numbers whose order is rare first, then hash."""
-    # the sketch, one bounded row, joins the lines as a scalar subquery; Spark merges both projections
-    key = lambda w: F.shiftleft(F.get("_sketch", _bucket(F.xxhash64(w))).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 8))
-    keys = F.array_distinct(F.transform(F.split(F.col("line"), SPACES), key))
-    tokens = F.sort_array(F.array_remove(keys, key(F.lit("")))).alias("tokens")
-    return lines.select("*", sketch.scalar().alias("_sketch")).select(*[c for c in lines.columns if c != "line"], tokens)
+    # _sketch, one bounded row, is named once only: the optimiser then reads it in place and no row carries a copy
+    key = lambda h: F.shiftleft(F.get("_sketch", _bucket(h)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    tokens = F.sort_array(F.transform(_hashes(F.col("line")), key)).alias("tokens")
+    own = [c for c in lines.columns if c != "line"]
+    rows = lines.select("*", sketch.scalar().alias("_sketch")).select(*own, tokens)
+    # exploding one array a row keeps filters and further columns from working it out anew
+    return rows.select(*own, F.explode(F.array("tokens")).alias("tokens"))
+
+
+def _parity(tokens: str) -> Column:
+    """Bit i tells whether an odd number of words falls on it; words that two lines share cancel out in a XOR."""
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(bit(t)))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -63,18 +74,20 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _bounded(early: str, late: str, percent: int) -> Column:
-    """What sizes and places allow if the word is the first in the common order that both lines hold.
+    """What sizes, places and parity bits allow if the word is the first in the common order that both lines hold.
 
     Every other shared word then stands behind it in both, so a pair that reaches the threshold passes at that word.
     """
     size_a, size_b, at_a, at_b = (F.col(f"{x}.{c}") for c in ("size", "at") for x in (early, late))
-    fits = (100 + percent) * F.least(size_a - at_a, size_b - at_b) >= percent * (size_a + size_b)
-    return fits & (F.struct(F.col(f"{early}.doc_id"), F.col(f"{early}.line_no")) < F.struct(F.col(f"{late}.doc_id"), F.col(f"{late}.line_no")))
+    both = size_a + size_b
+    fits = (100 + percent) * F.least(size_a - at_a, size_b - at_b) >= percent * both
+    apart = F.bit_count(F.col(f"{early}.bits").bitwiseXOR(F.col(f"{late}.bits")))
+    return fits & ((100 + percent) * (both - apart) >= 2 * percent * both)
 
 
 def _exploded(classes: DataFrame) -> DataFrame:
     """One row for each word of a prefix, with its place."""
-    return classes.select("doc_id", "line_no", "size", F.posexplode("prefix").alias("at", "word"))
+    return classes.select("doc_id", "line_no", "size", "bits", F.posexplode("prefix").alias("at", "word"))
 
 
 def _meets(by_size: WindowSpec, percent: int) -> Column:
@@ -85,25 +98,47 @@ def _meets(by_size: WindowSpec, percent: int) -> Column:
     return F.coalesce(100 * below >= percent * size, F.lit(False)) | F.coalesce(percent * above <= largest, F.lit(False))
 
 
-def _ends(early: str, late: str) -> list[Column]:
-    return [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in ((early, "a"), (late, "b")) for c in ("doc_id", "line_no")]
+_PAIR = ("a_doc_id", "a_line_no", "b_doc_id", "b_line_no")
 
 
-_PAIR = ("a_doc_id", "a_line_no", "b_doc_id", "b_line_no")
+def _blocks(classes: DataFrame, percent: int) -> DataFrame:
+    """Prefix entries of words that lines of fitting sizes share, each with its block's earliest line if that may match."""
+    column = Window.partitionBy("word")
+    rows = _exploded(classes).withColumn("meets", _meets(column.orderBy("size", "doc_id", "line_no"), percent))
+    rows = rows.withColumn("head", F.min(F.struct("doc_id", "line_no", "size", "at", "bits")).over(column)).where("meets")
+    earlier = F.struct("head.doc_id", "head.line_no") < F.struct("e.doc_id", "e.line_no")
+    fits = earlier & _bounded("head", "e", percent)
+    heads = [F.when(fits, F.col(f"head.{c}")).alias(f"head_{c}") for c in ("doc_id", "line_no")]
+    return rows.alias("e").select("word", "e.doc_id", "e.line_no", "e.size", "e.at", "e.bits", *heads)
 
 
-def _head_pairs(entries: DataFrame, percent: int) -> DataFrame:
+def _head_pairs(entries: DataFrame) -> DataFrame:
     """Each line with the block leader it shares most blocks with."""
-    rows = entries.alias("e").where(_bounded("head", "e", percent)).select(*_ends("head", "e")).groupBy(*_PAIR).count()
+    pair = [F.col(c).alias(to) for c, to in zip(("head_doc_id", "head_line_no", "doc_id", "line_no"), _PAIR)]
+    rows = entries.where("head_doc_id is not null").select(*pair).groupBy(*_PAIR).count()
     best = rows.groupBy("b_doc_id", "b_line_no").agg(F.min(F.struct(-F.col("count"), "a_doc_id", "a_line_no")).alias("x"))
     return best.select("x.a_doc_id", "x.a_line_no", "b_doc_id", "b_line_no")
 
 
-def _all_pairs(entries: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a line and an earlier one whose accumulated words and last places still allow the threshold."""
-    rows = entries.alias("x").join(open_.alias("y"), (F.col("x.word") == F.col("y.word")) & _bounded("x", "y", percent))
+_NEVER = -(1 << 63)
+
+
+def _all_pairs(entries: DataFrame, matched: DataFrame, percent: int) -> DataFrame:
+    """Pairs of an unmatched line and an earlier one whose accumulated words and last places still allow the threshold."""
+    entries = entries.drop("head_doc_id", "head_line_no")
+    key = ["doc_id", "line_no"]
+    # until is the doc_id of a line that still needs a match, else before all ids; only entries that a bitmap can't
+    # clear are joined for it
+    maybe = maybe_in(matched, key)
+    settled = entries.where(maybe).join(matched.select(*key, F.lit(True).alias("settled")), key, "left")
+    settled = settled.withColumn("until", F.when(F.col("settled"), F.lit(_NEVER)).otherwise(F.col("doc_id"))).drop("settled")
+    rows = settled.unionByName(entries.where(~maybe).withColumn("until", F.col("doc_id")))
+    # both sides read both ids, so that one shuffle serves them: until is doc_id or less
+    early = F.struct(F.greatest("x.doc_id", "x.until"), "x.line_no") < F.struct(F.least("y.doc_id", "y.until"), "y.line_no")
+    rows = rows.alias("x").join(rows.alias("y"), (F.col("x.word") == F.col("y.word")) & early & _bounded("x", "y", percent))
+    ends = [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in (("x", "a"), ("y", "b")) for c in key]
     held = [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in (("x", "a"), ("y", "b")) for c in ("size", "at")]
-    rows = rows.select(*_ends("x", "y"), *held).groupBy(*_PAIR).agg(
+    rows = rows.select(*ends, *held).groupBy(*_PAIR).agg(
         F.count("*").alias("shared"), F.first("a_size").alias("a"), F.first("b_size").alias("b"), F.max("a_at").alias("a_at"), F.max("b_at").alias("b_at")
     )
     # places count from 0: shared words that aren't counted fail the bound in one of the lines and stand behind all that pass there
@@ -113,21 +148,20 @@ def _all_pairs(entries: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The later lines (doc_id, line_no) of the pairs that reach the threshold, by whole sets of words."""
-    pairs = stored(pairs, "pairs")
+    pairs = kept_pairs = stored(pairs, "pairs")
+    key = ["doc_id", "line_no"]
     ends = F.explode(F.array(*[F.struct(F.col(f"{k}_doc_id").alias("doc_id"), F.col(f"{k}_line_no").alias("line_no")) for k in "ab"])).alias("x")
-    wanted = pairs.select(ends).select("x.*").groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))  # within one document
-    wanted = stored(wanted, "wanted")
-    lines = probably_in(docs.select("doc_id", "text"), wanted).join(wanted, "doc_id")
-    lines = lines.select("doc_id", F.split("text", "\n").alias("parts"), F.explode("wanted").alias("line_no"))
-    lines = lines.select("doc_id", "line_no", F.get("parts", "line_no").alias("line")).dropDuplicates(["doc_id", "line_no"])
-    sets = stored(lines, "lines")
+    wanted = stored(pairs.select(ends).select("x.*").distinct(), "wanted")
+    lines = _lines(docs).where(maybe_in(wanted, key)).join(wanted, key)
+    sets = stored(lines.groupBy(*key).agg(F.min("line").alias("line")), "lines")
     for k in "ab":
-        pairs = pairs.join(sets.select(F.col("doc_id").alias(f"{k}_doc_id"), F.col("line_no").alias(f"{k}_line_no"), F.col("line").alias(f"{k}_line")), [f"{k}_doc_id", f"{k}_line_no"])
-    pairs = pairs.select("b_doc_id", "b_line_no", _hashes(F.col("a_line")).alias("a"), _hashes(F.col("b_line")).alias("b"))
-    same = F.size(F.array_intersect("a", "b"))
-    found = pairs.where((100 + percent) * same >= percent * (F.size("a") + F.size("b")))
+        pairs = pairs.join(sets.select(*[F.col(c).alias(f"{k}_{c}") for c in (*key, "line")]), [f"{k}_doc_id", f"{k}_line_no"])
+    pairs = pairs.select("b_doc_id", "b_line_no", F.explode(F.array(F.struct(_hashes(F.col("a_line")).alias("a"), _hashes(F.col("b_line")).alias("b")))).alias("x"))
+    same = F.size(F.array_intersect("x.a", "x.b"))
+    found = pairs.where((100 + percent) * same >= percent * (F.size("x.a") + F.size("x.b")))
     found = stored(found.select(F.col("b_doc_id").alias("doc_id"), F.col("b_line_no").alias("line_no")).distinct(), "matched")
-    dropped(sets)
+    for table in (sets, wanted, kept_pairs):
+        dropped(table)
     return found
 
 
@@ -138,45 +172,46 @@ def removed_lines(docs: DataFrame, percent: int = 80, least: int = 1) -> DataFra
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = stored(_sketch(docs), "sketch")
-    lines = _ordered(_lines(docs), sketch).withColumn("size", F.size("tokens")).where(F.col("size") >= least)
+    size = F.size("tokens")
     # blocks need no more than 31 bits of a word: others that share them only add candidates
-    kept = F.slice("tokens", 1, (F.col("size") - F.ceil(percent * F.col("size") / 100) + 1).cast("int"))
+    kept = F.slice("tokens", 1, (size - F.ceil(percent * size / 100) + 1).cast("int"))
     prefix = F.transform(kept, lambda t: (t.bitwiseXOR(F.shiftrightunsigned(t, 32)).bitwiseAND(0x7FFFFFFF)).cast("int"))
-    lines = lines.select("doc_id", "line_no", "size", F.xxhash64("tokens").alias("s1"), F.xxhash64("tokens", F.lit(1)).alias("s2"), prefix.alias("prefix"))
+    lines = _ordered(_lines(docs), sketch).where(size >= least).select(
+        "doc_id", "line_no", size.alias("size"), F.xxhash64("tokens").alias("s1"), F.xxhash64("tokens", F.lit(1)).alias("s2"), prefix.alias("prefix"), _parity("tokens").alias("bits")
+    )
     lines = stored(lines, "prefixes")
+    dropped(sketch)
     same = ["s1", "s2", "size"]
-    classes = lines.groupBy(*same).agg(F.min(F.struct("doc_id", "line_no", "prefix")).alias("first"))
-    classes = stored(classes.select(*same, "first.*"), "classes")
-    column = Window.partitionBy("word")
-    entries = _exploded(classes)
-    entries = entries.withColumn("meets", _meets(column.orderBy("size", "doc_id", "line_no"), percent)).where("meets").drop("meets")
-    entries = entries.withColumn("head", F.min(F.struct("doc_id", "line_no", "size", "at")).over(column))
-    entries = stored(entries, "blocks")
-
-    matched = _verified(_head_pairs(entries, percent), docs, percent)
-    open_ = _exploded(classes.select("doc_id", "line_no", "size", "prefix").join(matched, ["doc_id", "line_no"], "left_anti"))
-    matched = matched.union(_verified(_all_pairs(entries.drop("head"), open_, percent), docs, percent))
+    classes = lines.groupBy(*same).agg(F.count("*").alias("lines"), F.min(F.struct("doc_id", "line_no", "prefix", "bits")).alias("first"))
+    classes = stored(classes.select(*same, "lines", "first.*"), "classes")
+    # all but the first line of a class go, whatever else is found
+    several = stored(classes.where("lines > 1").select(*same, F.col("doc_id").alias("first_doc"), F.col("line_no").alias("first_line")), "several")
+    own = (F.col("doc_id") == F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
+    copies = stored(lines.drop("prefix", "bits").where(maybe_in(several, same)).join(several, same).where(~own).select("doc_id", "line_no"), "copies")
+    dropped(lines)
+
+    entries = stored(_blocks(classes, percent), "blocks")
+    dropped(classes)
+    matched = _verified(_head_pairs(entries), docs, percent)
+    gone = copies.union(matched).union(_verified(_all_pairs(entries, matched, percent), docs, percent))
     dropped(entries)
 
-    firsts = classes.select(*same, "doc_id", "line_no")
-    goes = matched.select("doc_id", "line_no", F.lit(True).alias("goes"))
-    firsts = firsts.join(goes, ["doc_id", "line_no"], "left").select(*same, F.col("doc_id").alias("first_doc"), F.col("line_no").alias("first_line"), "goes")
-    own = (F.col("doc_id") == F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
-    gone = lines.drop("prefix").join(firsts, same).where(F.coalesce("goes", ~own)).select("doc_id", "line_no").distinct()
-    gone = gone.groupBy("doc_id").agg(F.sort_array(F.collect_list("line_no")).alias("removed"))  # within one document
-    counted = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
-    counted = counted.select("doc_id", F.greatest("n_lines", F.lit(0)).cast("long").alias("n_lines"))
+    gone = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))  # within one document
+    n_lines = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
+    counted = docs.select("doc_id", F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"))
     out = counted.join(gone, "doc_id", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
     return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
 def apply(docs: DataFrame, percent: int = 80, least: int = 1) -> DataFrame:
     """docs with removed lines taken out of text. Every column and row stays; a null text stays null."""
-    gone = removed_lines(docs, percent, least).where("n_removed > 0").select(F.col("doc_id").alias("_doc_id"), "removed").dropDuplicates(["_doc_id"])
-    rows = docs.join(gone, F.col("doc_id") == F.col("_doc_id"), "left")
+    # one struct holds all of a row, so that no column of docs can clash with what is joined
+    gone = removed_lines(docs, percent, least).where("n_removed > 0").groupBy("doc_id").agg(F.first("removed").alias("removed"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*docs.columns).alias("row")).join(gone, "doc_id", "left")
+
     def kept(parts: Column) -> Column:
         numbers = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("removed"))
         return F.array_join(F.transform(numbers, lambda i: F.get(parts, i)), "\n")
 
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(_let(F.split("text", "\n"), kept))
-    return rows.withColumn("text", text).select(*docs.columns)
+    text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(_let(F.split("row.text", "\n"), kept))
+    return rows.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
