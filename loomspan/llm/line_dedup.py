@@ -19,10 +19,10 @@ none; other columns are kept by apply and ignored here.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, dropped, maybe_in, stored
+from .common import dropped, maybe_in, stored
 
 #: log2 of the sketch's counters: fixed, 1 MB, whatever the corpus holds.
 SKETCH_BITS = 20
@@ -33,9 +33,16 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _spaced(text: Column) -> Column:
+    """text with plain spaces for the other spaces that part words, the line feed apart: one-character splits are quick."""
+    for space in "\t\x0b\f\r":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return text
+
+
 def _hashes(line: Column) -> Column:
-    """Hashes of a line's words; equal words once. The empty parts around the line are no words."""
-    return F.array_remove(F.array_distinct(F.transform(F.split(line, SPACES), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+    """Hashes of a spaced line's words; equal words once. The empty parts around words are no words."""
+    return F.array_remove(F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def _bucket(h: Column) -> Column:
@@ -44,7 +51,8 @@ def _bucket(h: Column) -> Column:
 
 def _sketch(docs: DataFrame) -> DataFrame:
     """One row: per counter, how often its words occur, as a place on a logarithmic scale from 0 to 126."""
-    word = docs.select(F.explode(F.split("text", SPACES)).alias("w")).select(_bucket(F.xxhash64("w")).alias("b"))
+    text = F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" "))
+    word = docs.select(F.explode(F.split(text, " ")).alias("w")).select(_bucket(F.xxhash64("w")).alias("b"))
     counts = word.groupBy("b").agg(F.count("*").alias("c"))
     scale = F.least(F.lit(126), F.floor(F.log2(F.col("c") + 1) * 3)).cast("int")
     counts = counts.select("b", scale.alias("c")).unionByName(docs.sparkSession.range(1 << SKETCH_BITS).select(F.col("id").cast("int").alias("b"), F.lit(0).alias("c")))
@@ -70,19 +78,20 @@ def _parity(tokens: str) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    return docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("line_no", "line"))
 
 
-def _bounded(early: str, late: str, percent: int) -> Column:
-    """What sizes, places and parity bits allow if the word is the first in the common order that both lines hold.
+def _alike(early: str, late: str, percent: int) -> Column:
+    """What parity bits allow: each bit that differs stands for a word that only one of the lines holds."""
+    both = F.col(f"{early}.size") + F.col(f"{late}.size")
+    apart = F.bit_count(F.col(f"{early}.bits").bitwiseXOR(F.col(f"{late}.bits")))
+    return (100 + percent) * (both - apart) >= 2 * percent * both
 
-    Every other shared word then stands behind it in both, so a pair that reaches the threshold passes at that word.
-    """
+
+def _bounded(early: str, late: str, percent: int) -> Column:
+    """What sizes, places and parity bits allow if the word is the first in the common order that both lines hold."""
     size_a, size_b, at_a, at_b = (F.col(f"{x}.{c}") for c in ("size", "at") for x in (early, late))
-    both = size_a + size_b
-    fits = (100 + percent) * F.least(size_a - at_a, size_b - at_b) >= percent * both
-    apart = F.bit_count(F.col(f"{early}.bits").bitwiseXOR(F.col(f"{late}.bits")))
-    return fits & ((100 + percent) * (both - apart) >= 2 * percent * both)
+    return ((100 + percent) * F.least(size_a - at_a, size_b - at_b) >= percent * (size_a + size_b)) & _alike(early, late, percent)
 
 
 def _exploded(classes: DataFrame) -> DataFrame:
@@ -90,33 +99,33 @@ def _exploded(classes: DataFrame) -> DataFrame:
     return classes.select("doc_id", "line_no", "size", "bits", F.posexplode("prefix").alias("at", "word"))
 
 
-def _meets(by_size: WindowSpec, percent: int) -> Column:
-    """False for entries whose block holds no other line of a size that their own size and place allow."""
-    size, below, above = F.col("size"), F.lag("size").over(by_size), F.lead("size").over(by_size)
-    # the bound solved for the partner's size
-    largest = F.least(100 * size, (100 + percent) * (size - F.col("at")) - percent * size)
-    return F.coalesce(100 * below >= percent * size, F.lit(False)) | F.coalesce(percent * above <= largest, F.lit(False))
+_PAIR = ("a_doc_id", "a_line_no", "b_doc_id", "b_line_no")
 
 
-_PAIR = ("a_doc_id", "a_line_no", "b_doc_id", "b_line_no")
+def _needed(a: Column, b: Column, percent: int) -> Column:
+    """Prefix words that lines of sizes a and b must share: the prefix that ends first has all of its shared ones in both."""
+    return F.ceil(percent * (a + b) / (100 + percent)) - F.ceil(percent * F.greatest(a, b) / 100) + 1
 
 
 def _blocks(classes: DataFrame, percent: int) -> DataFrame:
     """Prefix entries of words that lines of fitting sizes share, each with its block's earliest line if that may match."""
     column = Window.partitionBy("word")
-    rows = _exploded(classes).withColumn("meets", _meets(column.orderBy("size", "doc_id", "line_no"), percent))
-    rows = rows.withColumn("head", F.min(F.struct("doc_id", "line_no", "size", "at", "bits")).over(column)).where("meets")
+    size, below, above = F.col("size"), F.lag("size").over(column.orderBy("size")), F.lead("size").over(column.orderBy("size"))
+    several = F.coalesce(100 * below >= percent * size, F.lit(False)) | F.coalesce(percent * above <= 100 * size, F.lit(False))
+    rows = _exploded(classes).withColumn("several", several)
+    rows = rows.withColumn("head", F.min(F.struct("doc_id", "line_no", "size", "at", "bits")).over(column)).where("several")
     earlier = F.struct("head.doc_id", "head.line_no") < F.struct("e.doc_id", "e.line_no")
     fits = earlier & _bounded("head", "e", percent)
     heads = [F.when(fits, F.col(f"head.{c}")).alias(f"head_{c}") for c in ("doc_id", "line_no")]
-    return rows.alias("e").select("word", "e.doc_id", "e.line_no", "e.size", "e.at", "e.bits", *heads)
+    needed = F.when(fits, _needed(F.col("head.size"), F.col("e.size"), percent).cast("int")).alias("head_needed")
+    return rows.alias("e").select("word", "e.doc_id", "e.line_no", "e.size", "e.at", "e.bits", *heads, needed)
 
 
 def _head_pairs(entries: DataFrame) -> DataFrame:
-    """Each line with the block leader it shares most blocks with."""
+    """Each line with the block leader it shares most blocks with, if those are half of what a match needs."""
     pair = [F.col(c).alias(to) for c, to in zip(("head_doc_id", "head_line_no", "doc_id", "line_no"), _PAIR)]
-    rows = entries.where("head_doc_id is not null").select(*pair).groupBy(*_PAIR).count()
-    best = rows.groupBy("b_doc_id", "b_line_no").agg(F.min(F.struct(-F.col("count"), "a_doc_id", "a_line_no")).alias("x"))
+    rows = entries.where("head_doc_id is not null").select(*pair, "head_needed").groupBy(*_PAIR).agg(F.count("*").alias("count"), F.max("head_needed").alias("needed"))
+    best = rows.where("2 * count >= needed").groupBy("b_doc_id", "b_line_no").agg(F.min(F.struct(-F.col("count"), "a_doc_id", "a_line_no")).alias("x"))
     return best.select("x.a_doc_id", "x.a_line_no", "b_doc_id", "b_line_no")
 
 
@@ -125,7 +134,7 @@ _NEVER = -(1 << 63)
 
 def _all_pairs(entries: DataFrame, matched: DataFrame, percent: int) -> DataFrame:
     """Pairs of an unmatched line and an earlier one whose accumulated words and last places still allow the threshold."""
-    entries = entries.drop("head_doc_id", "head_line_no")
+    entries = entries.drop("head_doc_id", "head_line_no", "head_needed")
     key = ["doc_id", "line_no"]
     # until is the doc_id of a line that still needs a match, else before all ids; only entries that a bitmap can't
     # clear are joined for it
@@ -135,15 +144,16 @@ def _all_pairs(entries: DataFrame, matched: DataFrame, percent: int) -> DataFram
     rows = settled.unionByName(entries.where(~maybe).withColumn("until", F.col("doc_id")))
     # both sides read both ids, so that one shuffle serves them: until is doc_id or less
     early = F.struct(F.greatest("x.doc_id", "x.until"), "x.line_no") < F.struct(F.least("y.doc_id", "y.until"), "y.line_no")
-    rows = rows.alias("x").join(rows.alias("y"), (F.col("x.word") == F.col("y.word")) & early & _bounded("x", "y", percent))
+    size_a, size_b = F.col("x.size"), F.col("y.size")
+    near = (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) & _alike("x", "y", percent)
+    rows = rows.alias("x").join(rows.alias("y"), (F.col("x.word") == F.col("y.word")) & early & near)
     ends = [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in (("x", "a"), ("y", "b")) for c in key]
     held = [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in (("x", "a"), ("y", "b")) for c in ("size", "at")]
     rows = rows.select(*ends, *held).groupBy(*_PAIR).agg(
-        F.count("*").alias("shared"), F.first("a_size").alias("a"), F.first("b_size").alias("b"), F.max("a_at").alias("a_at"), F.max("b_at").alias("b_at")
+        F.count("*").alias("shared"), F.first("a_size").alias("a"), F.first("b_size").alias("b"), F.min("a_at").alias("a_at"), F.min("b_at").alias("b_at")
     )
-    # places count from 0: shared words that aren't counted fail the bound in one of the lines and stand behind all that pass there
-    most = F.col("shared") + F.greatest(F.col("a") - F.col("a_at"), F.col("b") - F.col("b_at")) - 1
-    return rows.where((100 + percent) * most >= percent * (F.col("a") + F.col("b"))).select(*_PAIR)
+    positional = (100 + percent) * F.least(F.col("a") - F.col("a_at"), F.col("b") - F.col("b_at")) >= percent * (F.col("a") + F.col("b"))
+    return rows.where(positional & (F.col("shared") >= _needed(F.col("a"), F.col("b"), percent))).select(*_PAIR)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:

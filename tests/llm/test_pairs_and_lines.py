@@ -9,7 +9,7 @@ from loomspan.llm import chat, line_dedup, neighbours, surrogates
 from . import helpers as H
 
 
-def lines_brute(rows, percent=80, least=5):
+def lines_brute(rows, percent=80, least=1):
     lines = []
     for doc, text in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: r[0]):
         lines += [(doc, i, frozenset(H.words(line))) for i, line in enumerate(text.split("\n"))]
