@@ -3,7 +3,7 @@
 A line is the set of its words. Words are ordered from rare to frequent by a fixed-size count sketch over all
 documents, ties by hash. Lines with equal sets collapse into the earliest. Of each set the first words of that
 order are kept, as many as the threshold demands (prefix filter); lines that share one are candidates unless their
-sizes, the word's places (length and positional filters) or 64 parity bits of their words, which bound from below
+sizes, the word's places (length and positional filters) or 128 parity bits of their words, which bound from below
 how many words only one of them holds, rule them out. Jaccard is verified on whole sets.
 
 A line is removed when an earlier one (by doc_id, then line number) reaches the threshold, removed itself or not.
@@ -71,10 +71,11 @@ def _ordered(lines: DataFrame, sketch: DataFrame) -> DataFrame:
     return rows.select(*own, F.explode(F.array("tokens")).alias("tokens"))
 
 
-def _parity(tokens: str) -> Column:
-    """Bit i tells whether an odd number of words falls on it; words that two lines share cancel out in a XOR."""
+def _parity(tokens: str, half: int) -> Column:
+    """64 of a line's 128 bits: each tells whether an odd number of words falls on it; shared words cancel out in a XOR."""
     bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(bit(t)))
+    fold = lambda a, t: F.when(t.bitwiseAND(64) == 64 * half, a.bitwiseXOR(bit(t))).otherwise(a)
+    return F.aggregate(tokens, F.lit(0).cast("long"), fold)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -84,7 +85,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 def _alike(early: str, late: str, percent: int) -> Column:
     """What parity bits allow: each bit that differs stands for a word that only one of the lines holds."""
     both = F.col(f"{early}.size") + F.col(f"{late}.size")
-    apart = F.bit_count(F.col(f"{early}.bits").bitwiseXOR(F.col(f"{late}.bits")))
+    apart = F.bit_count(F.col(f"{early}.even").bitwiseXOR(F.col(f"{late}.even"))) + F.bit_count(F.col(f"{early}.odd").bitwiseXOR(F.col(f"{late}.odd")))
     return (100 + percent) * (both - apart) >= 2 * percent * both
 
 
@@ -96,7 +97,7 @@ def _bounded(early: str, late: str, percent: int) -> Column:
 
 def _exploded(classes: DataFrame) -> DataFrame:
     """One row for each word of a prefix, with its place."""
-    return classes.select("doc_id", "line_no", "size", "bits", F.posexplode("prefix").alias("at", "word"))
+    return classes.select("doc_id", "line_no", "size", "even", "odd", F.posexplode("prefix").alias("at", "word"))
 
 
 _PAIR = ("a_doc_id", "a_line_no", "b_doc_id", "b_line_no")
@@ -113,19 +114,18 @@ def _blocks(classes: DataFrame, percent: int) -> DataFrame:
     size, below, above = F.col("size"), F.lag("size").over(column.orderBy("size")), F.lead("size").over(column.orderBy("size"))
     several = F.coalesce(100 * below >= percent * size, F.lit(False)) | F.coalesce(percent * above <= 100 * size, F.lit(False))
     rows = _exploded(classes).withColumn("several", several)
-    rows = rows.withColumn("head", F.min(F.struct("doc_id", "line_no", "size", "at", "bits")).over(column)).where("several")
+    rows = rows.withColumn("head", F.min(F.struct("doc_id", "line_no", "size", "at", "even", "odd")).over(column)).where("several")
     earlier = F.struct("head.doc_id", "head.line_no") < F.struct("e.doc_id", "e.line_no")
     fits = earlier & _bounded("head", "e", percent)
     heads = [F.when(fits, F.col(f"head.{c}")).alias(f"head_{c}") for c in ("doc_id", "line_no")]
-    needed = F.when(fits, _needed(F.col("head.size"), F.col("e.size"), percent).cast("int")).alias("head_needed")
-    return rows.alias("e").select("word", "e.doc_id", "e.line_no", "e.size", "e.at", "e.bits", *heads, needed)
+    return rows.alias("e").select("word", "e.doc_id", "e.line_no", "e.size", "e.at", "e.even", "e.odd", *heads)
 
 
 def _head_pairs(entries: DataFrame) -> DataFrame:
-    """Each line with the block leader it shares most blocks with, if those are half of what a match needs."""
+    """Each line with the block leader it shares most blocks with."""
     pair = [F.col(c).alias(to) for c, to in zip(("head_doc_id", "head_line_no", "doc_id", "line_no"), _PAIR)]
-    rows = entries.where("head_doc_id is not null").select(*pair, "head_needed").groupBy(*_PAIR).agg(F.count("*").alias("count"), F.max("head_needed").alias("needed"))
-    best = rows.where("2 * count >= needed").groupBy("b_doc_id", "b_line_no").agg(F.min(F.struct(-F.col("count"), "a_doc_id", "a_line_no")).alias("x"))
+    rows = entries.where("head_doc_id is not null").select(*pair).groupBy(*_PAIR).count()
+    best = rows.groupBy("b_doc_id", "b_line_no").agg(F.min(F.struct(-F.col("count"), "a_doc_id", "a_line_no")).alias("x"))
     return best.select("x.a_doc_id", "x.a_line_no", "b_doc_id", "b_line_no")
 
 
@@ -134,7 +134,7 @@ _NEVER = -(1 << 63)
 
 def _all_pairs(entries: DataFrame, matched: DataFrame, percent: int) -> DataFrame:
     """Pairs of an unmatched line and an earlier one whose accumulated words and last places still allow the threshold."""
-    entries = entries.drop("head_doc_id", "head_line_no", "head_needed")
+    entries = entries.drop("head_doc_id", "head_line_no")
     key = ["doc_id", "line_no"]
     # until is the doc_id of a line that still needs a match, else before all ids; only entries that a bitmap can't
     # clear are joined for it
@@ -187,17 +187,17 @@ def removed_lines(docs: DataFrame, percent: int = 80, least: int = 1) -> DataFra
     kept = F.slice("tokens", 1, (size - F.ceil(percent * size / 100) + 1).cast("int"))
     prefix = F.transform(kept, lambda t: (t.bitwiseXOR(F.shiftrightunsigned(t, 32)).bitwiseAND(0x7FFFFFFF)).cast("int"))
     lines = _ordered(_lines(docs), sketch).where(size >= least).select(
-        "doc_id", "line_no", size.alias("size"), F.xxhash64("tokens").alias("s1"), F.xxhash64("tokens", F.lit(1)).alias("s2"), prefix.alias("prefix"), _parity("tokens").alias("bits")
+        "doc_id", "line_no", size.alias("size"), F.xxhash64("tokens").alias("s1"), F.xxhash64("tokens", F.lit(1)).alias("s2"), prefix.alias("prefix"), *[_parity("tokens", half).alias(c) for half, c in enumerate(("even", "odd"))]
     )
     lines = stored(lines, "prefixes")
     dropped(sketch)
     same = ["s1", "s2", "size"]
-    classes = lines.groupBy(*same).agg(F.count("*").alias("lines"), F.min(F.struct("doc_id", "line_no", "prefix", "bits")).alias("first"))
+    classes = lines.groupBy(*same).agg(F.count("*").alias("lines"), F.min(F.struct("doc_id", "line_no", "prefix", "even", "odd")).alias("first"))
     classes = stored(classes.select(*same, "lines", "first.*"), "classes")
     # all but the first line of a class go, whatever else is found
     several = stored(classes.where("lines > 1").select(*same, F.col("doc_id").alias("first_doc"), F.col("line_no").alias("first_line")), "several")
     own = (F.col("doc_id") == F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
-    copies = stored(lines.drop("prefix", "bits").where(maybe_in(several, same)).join(several, same).where(~own).select("doc_id", "line_no"), "copies")
+    copies = stored(lines.drop("prefix", "even", "odd").where(maybe_in(several, same)).join(several, same).where(~own).select("doc_id", "line_no"), "copies")
     dropped(lines)
 
     entries = stored(_blocks(classes, percent), "blocks")
