@@ -29,9 +29,13 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgtyrkm", "TGCAtgcarymk"))
 
 
-def _codon_map() -> Column:
+def _amino_array() -> Column:
+    """Amino acids at the numbers that codons make when TCAGN and all else are the digits 0 to 5."""
     known = {**CODONS, **{pair + "N": a for pair, a in PARTIAL.items()}}
-    return F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    table = ["X"] * 556
+    for codon, amino in known.items():
+        table[int("".join(str("TCAGN".index(b)) for b in codon))] = amino
+    return F.array(*map(F.lit, table))
 
 
 def codons(seq: Column) -> Column:
@@ -42,9 +46,9 @@ def codons(seq: Column) -> Column:
 def translate(seq: Column, frame: int = 1) -> Column:
     """Protein of frame 1, 2 or 3, or -1, -2, -3 on the other strand. Unknown codons are X, a short tail is nothing."""
     s = F.upper(seq if frame > 0 else reverse_complement(seq))
-    s = F.substring(s, abs(frame), 1 << 30)
-    table = _codon_map()
-    return F.array_join(F.transform(codons(s), lambda c: F.coalesce(table[c], F.lit("X"))), "")
+    s = F.translate(F.regexp_replace(F.substring(s, abs(frame), 1 << 30), "(?s)[^TCAGN]", "X"), "TCAGNX", "012345")
+    table = _amino_array()
+    return F.array_join(F.transform(codons(s), lambda c: F.get(table, c.cast("int"))), "")
 
 
 def back_translate(protein: Column) -> Column:

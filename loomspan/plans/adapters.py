@@ -113,7 +113,7 @@ SQL = {
     "hits": f"""SELECT l_orderkey AS q, l_suppkey % 3 AS t, l_partkey % 400 + 1 AS qb, l_partkey % 400 + 1 + CAST(l_quantity AS BIGINT) * 2 AS qe,
         (l_partkey * 7) % 400 + 1 AS tb, (l_partkey * 7) % 400 + 1 + CAST(l_quantity AS BIGINT) * 2 AS te, CAST(l_quantity AS BIGINT) AS aln,
         CAST(l_quantity AS BIGINT) - CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS ident, CAST(floor(l_extendedprice / 100) AS BIGINT) AS bits, {_LINES} AS row_no FROM lineitem""",
-    "sequences": """SELECT doc_id AS id, substr(regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ', repeat('ACGT', 13)), '[^ACGT]+', '', 'g'), 1, 3000) AS seq, source FROM documents""",
+    "sequences": """SELECT doc_id AS id, regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ', repeat('ACGT', 13)), '[^ACGT]+', '', 'g') AS seq, source FROM documents""",
     "members": "SELECT c_custkey AS gene, CAST(c_nationkey AS BIGINT) AS species, c_custkey % 300 AS grp, CAST(floor(abs(c_acctbal)) AS BIGINT) + 100 AS size FROM customer",
     "reads": "SELECT user_id AS feature, event_type AS grp, value, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS pos, event_id FROM events",
     "once": """SELECT x, y, p + CASE WHEN (x - y) % 40 = 0 THEN 60 ELSE 0 END AS p FROM (SELECT l_partkey % 400 AS x, (l_orderkey * 7 + l_suppkey) % 400 AS y,

@@ -25,7 +25,7 @@ def reassigned(spark, sf):
     return c.reassigned(rows)
 
 
-@query("cls04_fragments", ctes("sequences", s="SELECT id, substr(seq, 1, 400) AS seq FROM sequences UNION ALL SELECT id + 1000000, substr(seq, 50 + id % 40, 60 + id % 50) FROM sequences WHERE id % 9 = 0")
+@query("cls04_fragments", ctes("sequences", s="SELECT id, seq FROM sequences UNION ALL SELECT id + 1000000, substr(seq, 50 + id % 40, 60 + id % 50) FROM sequences WHERE id % 9 = 0")
        + "SELECT x.id, min(y.id) AS holder FROM s x JOIN s y ON length(y.seq) > length(x.seq) AND length(x.seq) >= 24 AND contains(y.seq, x.seq) GROUP BY x.id")
 def fragments(spark, sf):
     """CLS-04: sequences that a longer one holds whole."""

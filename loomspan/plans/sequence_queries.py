@@ -19,7 +19,8 @@ def _protein(seq: str) -> str:
     return f"array_to_string(list_transform(range(0, length({seq}) // 3), lambda i: {_TABLE}[substr({seq}, i * 3 + 1, 3)]), '')"
 
 
-@query("seq01_translate", ctes("sequences") + f"SELECT id, {_protein('seq')} AS plus1, {_protein('substr(seq, 3)')} AS plus3, {_protein(_RC)} AS minus1 FROM sequences")
+@query("seq01_translate", ctes("sequences", f=f"SELECT id, seq AS a, substr(seq, 3) AS b, {_RC} AS c FROM sequences")
+       + f"SELECT id, {_protein('a')} AS plus1, {_protein('b')} AS plus3, {_protein('c')} AS minus1 FROM f")
 def translate(spark, sf):
     """SEQ-01: proteins of three frames."""
     seq = F.col("seq")
@@ -50,7 +51,7 @@ def best_frame(spark, sf):
 _BACK = "MAP {" + ", ".join(f"'{a}': '{c}'" for a, c in sq.BACK.items()) + "}"
 
 
-@query("seq08_back_translate", ctes("sequences", p=f"SELECT id, {_protein('substr(seq, 1, 300)')} AS aa FROM sequences") + f"SELECT id, array_to_string(list_transform(range(1, length(aa) + 1), lambda i: {_BACK}[substr(aa, i, 1)]), '') AS cds FROM p")
+@query("seq08_back_translate", ctes("sequences", p=f"SELECT id, {_protein('seq')} AS aa FROM sequences") + f"SELECT id, array_to_string(list_transform(range(1, length(aa) + 1), lambda i: {_BACK}[substr(aa, i, 1)]), '') AS cds FROM p")
 def back_translate(spark, sf):
     """SEQ-08: a coding sequence of each protein."""
     return sequences(spark, sf).select("id", sq.back_translate(sq.translate(F.col("seq"))).alias("cds"))
@@ -76,12 +77,13 @@ def hexamer_score(spark, sf):
     return sq.hexamer_scores(rows, ratios, "id")
 
 
-_ASYM = ", ".join(
-    "round(greatest({0}) / (least({0}) + 1), 6) AS asym_{1}".format(", ".join(f"len(list_filter(range({k}, length(seq) - length(seq) % 3, 3), lambda i: seq[i + 1] = '{b}'))" for k in range(3)), b.lower()) for b in "ACGT"
-)
+_PLACES = [f"count(*) FILTER (WHERE x = '{b}' AND i % 3 = {k} AND i < n) AS {b}{k}" for b in "ACGT" for k in range(3)]
+_ASYM = ", ".join("round(greatest({0}) / (least({0}) + 1), 6) AS asym_{1}".format(", ".join(f"coalesce({b}{k}, 0)" for k in range(3)), b.lower()) for b in "ACGT")
 
 
-@query("seq11_position_asymmetry", ctes("sequences", s="SELECT id, substr(seq, 1, 600) AS seq FROM sequences") + f"SELECT id, {_ASYM} FROM s")
+@query("seq11_position_asymmetry", ctes(
+    "sequences", u="SELECT id, length(seq) - length(seq) % 3 AS n, unnest(string_split(seq, '')) AS x, generate_subscripts(string_split(seq, ''), 1) - 1 AS i FROM sequences",
+    k=f"SELECT id, {', '.join(_PLACES)} FROM u GROUP BY id") + f"SELECT s.id, {_ASYM} FROM sequences s LEFT JOIN k USING (id)")
 def position_asymmetry(spark, sf):
     """SEQ-11: asymmetry of bases over codon places."""
     return sequences(spark, sf).select("id", *sq.position_asymmetry(F.col("seq")))
@@ -111,7 +113,7 @@ def n50(spark, sf):
     return sq.n50(sequences(spark, sf).select(F.length("seq").cast("long").alias("length")))
 
 
-@query("seq15_snp_effects", ctes("sequences") + f""", snp AS (SELECT id, unnest(range(3, least(length(seq) - length(seq) % 3, 90), 7)) AS pos, seq FROM sequences),
+@query("seq15_snp_effects", ctes("sequences") + f""", snp AS (SELECT id, unnest(range(3, length(seq) - length(seq) % 3, 7)) AS pos, seq FROM sequences),
 c AS (SELECT id, pos, substr(seq, pos - pos % 3 + 1, 3) AS old, pos % 3 AS k, translate(seq[pos + 1], 'ACGT', 'GTAC') AS alt FROM snp),
 d AS (SELECT *, CASE k WHEN 0 THEN alt || old[2:3] WHEN 1 THEN old[1] || alt || old[3] ELSE old[1:2] || alt END AS new FROM c)
 SELECT id, pos, {_TABLE}[old] AS before, {_TABLE}[new] AS after, {_TABLE}[old] = {_TABLE}[new] AS synonymous FROM d""")

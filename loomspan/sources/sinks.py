@@ -20,9 +20,19 @@ def write_gff(df: DataFrame, path: str, mark: str | None = None, value: Column |
     df.select(gff_line(mark, value).alias("value")).write.text(path)
 
 
-def write_table(df: DataFrame, path: str, header: bool = True) -> None:
-    """Tab-separated, a header line in each part file, nulls as na."""
-    df.write.option("sep", "\t").option("header", header).option("nullValue", "na").option("quote", "").csv(path)
+def write_table(df: DataFrame, path: str, header: bool = True, totals: dict[str, Column] | None = None) -> None:
+    """Tab-separated, nulls as na. The header is a part file of its own before the rows, and totals one after them.
+
+    totals: column -> aggregate; columns without one are left empty.
+    """
+    cells = lambda rows: rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("na")).alias(c) for c in df.columns])
+    lines = lambda rows: rows.select(F.concat_ws("\t", *df.columns).alias("value"))
+    if header:
+        lines(df.sparkSession.range(1).select(*[F.lit(c).alias(c) for c in df.columns])).write.text(f"{path}/part=0-header")
+    lines(cells(df)).write.text(f"{path}/part=1-rows")
+    if totals:
+        last = df.agg(*[totals.get(c, F.lit("")).cast("string").alias(c) for c in df.columns])
+        lines(last).write.text(f"{path}/part=2-totals")
 
 
 def write_classes(df: DataFrame, path: str, column: str = "class") -> None:
