@@ -15,9 +15,11 @@ SPACES = r"[\x20\x09-\x0D]+"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where none is set (tests)."""
+    """The shared folder named by spark.checkpoint.dir; a temporary one only where none is set on one machine (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="loomspan-")
         spark.sparkContext.setCheckpointDir(found)
     return found

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from .common import n_words, stored
 
 _TINY = 1e-9
+#: Parts of a source that meet its totals in different tasks.
+SALTS = 64
 #: Stands for a null doc_id inside, so that ids stay 64-bit integers in pandas.
 _NO_ID = -(1 << 63)
 
@@ -109,14 +111,17 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), most: float = 3.0, seed: in
     per_source = stored(per_source, "per_source")
     goal = targets(per_source.select("source_key", "source_size"), weights, most)
     goal = goal.join(per_source.select("source_key", "rows"), "source_key")
-    rows = base.join(goal, "source_key")
+    # a source's one row goes to each of its salts, so that no task gets all documents of a large source
+    salt = F.pmod(F.xxhash64("order", "text_key"), F.lit(SALTS))
+    salts = goal.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    rows = base.withColumn("salt", salt).join(salts, ["source_key", "salt"]).drop("salt")
     mean = F.when(F.col("source_size") > 0, F.least(F.lit(float(most)), F.col("target") / F.col("source_size"))).otherwise(F.lit(0.0))
     whole = F.floor(mean + _TINY)
     rows = rows.withColumn("whole", whole).withColumn("pi", F.greatest(F.lit(0.0), mean - whole))
     rows = rows.withColumn("blocks", F.ceil(F.col("rows") / block_rows)).drop("rows")
     done, landing = [], False
     while True:
-        dealt = rows.withColumn("block", F.pmod(F.xxhash64("order", "blocks"), "blocks"))
+        dealt = rows.withColumn("block", F.pmod(F.xxhash64("order", "text_key", "blocks"), "blocks"))
         flown = dealt.groupBy("source_key", "block").applyInPandas(_level(seed, landing), dealt.schema)
         flown = stored(flown.drop("block"), "flown")
         decided = (F.col("pi") == 0) | (F.col("pi") == 1)

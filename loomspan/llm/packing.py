@@ -9,6 +9,8 @@ To run on many machines, virtual time (tokens sent by a source over its weight)
 What a source owes at the start of a stretch follows from its token prefix sum, so stretches run the same
 round-robin side by side, each with the deficits that the one before leaves.
 
+Ids are those of the tokenizers library, special tokens' strings in texts included.
+
 Defined results: a null text is empty and packs as the end id alone; a null source is a source of its own;
 repeated rows are packed one by one; an empty table gives no pieces; other columns are ignored.
 """
@@ -26,30 +28,31 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Texts beyond this many characters go to the slower tokenizer, whose pattern matcher has no step limit.
-LONG_TEXT = 2_000_000
+_PIECES = 200_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 
 
 def encoder(ranks: str, vocabulary: str):
-    """text -> ids. Both files hold one vocabulary; special tokens' strings are ordinary text."""
+    """text -> the ids that the tokenizers library gives. Both files hold one vocabulary.
+
+    tiktoken works them out several times faster. Where its pattern matcher gives up, as on very long runs of spaces,
+    tokenizers itself does it; the ids are the same either way.
+    """
     import public_tokenizers
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(ranks, "rb") as file:
         table = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, file)}
-    fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-    slow = []
+    plain = Tokenizer.from_file(vocabulary)
+    special = {token.content: number for number, token in plain.get_added_tokens_decoder().items()}
+    fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=special)
 
     def encode(text: str) -> list[int]:
-        if len(text) <= LONG_TEXT:
-            return fast.encode_ordinary(text)
-        if not slow:
-            from tokenizers import Tokenizer
-
-            slow.append(Tokenizer.from_file(vocabulary))
-            slow[0].encode_special_tokens = True
-        return slow[0].encode(text, add_special_tokens=False).ids
+        try:
+            return fast.encode(text, allowed_special="all")
+        except ValueError:
+            return plain.encode(text, add_special_tokens=False).ids
 
     return encode
 
@@ -61,12 +64,12 @@ def tokenized(docs: DataFrame, ranks: str, vocabulary: str, end_id: int) -> Data
         encode = encoder(ranks, vocabulary)
         for batch in batches:
             text = batch.column(2)
-            for at in range(0, batch.num_rows, 256):
-                ids = [np.array([*encode(t or ""), end_id], "<u2") for t in text.slice(at, 256).to_pylist()]
+            for at in range(0, batch.num_rows, 64):
+                ids = [np.array([*x, end_id], "<u2") for x in map(encode, (t or "" for t in text.slice(at, 64).to_pylist()))]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(at, 256),
-                        batch.column(1).slice(at, 256),
+                        batch.column(0).slice(at, 64),
+                        batch.column(1).slice(at, 64),
                         pa.array([len(x) for x in ids], pa.int64()),
                         pa.array([x.tobytes() for x in ids], pa.binary()),
                     ],
@@ -102,7 +105,7 @@ def _rounds(window: int, total_weight: float, stretch: float):
     return run
 
 
-def placed(lengths: DataFrame, window: int, weights: dict | None = None, seed: int = 7, block_rows: int = 20_000) -> DataFrame:
+def placed(lengths: DataFrame, window: int, weights: dict | None = None, seed: int = 7, block_rows: int = 4_000) -> DataFrame:
     """Rows (row_id, at): each document's first place in the stream that is cut into windows.
 
     lengths: row_id, doc_id, source, n. weights: source -> weight; None takes the sources' own token totals,

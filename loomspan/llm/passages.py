@@ -10,8 +10,8 @@ Texts that are wholly equal collapse first, so large groups of exact copies cost
 to several tasks, each with the shard's automaton and a bounded number of words to stream.
 
 Defined results: a null or blank text has no words; texts shorter than a window lose nothing; repeated rows of one
-doc_id don't count against each other; a row with a null doc_id loses nothing and takes nothing from others; doc_id
-is otherwise taken as unique; an empty table gives none; other columns are ignored.
+doc_id, equal or not, don't count against each other; a row with a null doc_id loses nothing and takes nothing from
+others; an empty table gives none; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -51,8 +51,8 @@ def _joined(text: str | None) -> list[bytes]:
 
 
 def _surveyed(rows: DataFrame, window: int, phrase: int) -> DataFrame:
-    """doc_id, n_words, s1 and s2 (hashes of the word sequence), whole (its sha256) and its distinct marks."""
-    names = ["doc_id", "n_words", "s1", "s2", "whole", "marks"]
+    """row, doc_id, n_words, s1 and s2 (hashes of the word sequence), whole (its sha256) and its distinct marks."""
+    names = ["doc_id", "row", "n_words", "s1", "s2", "whole", "marks"]
 
     def run(batches):
         for batch in batches:
@@ -67,10 +67,10 @@ def _surveyed(rows: DataFrame, window: int, phrase: int) -> DataFrame:
                 held = np.concatenate([[0], np.cumsum(np.bincount(row[new], minlength=len(w.count)))]).astype(np.int32)
                 whole = [hashlib.sha256(b" ".join(_joined(t.as_py()))).digest() for t in part.column(1)]
                 signs = [_long(w.spans(w.first[:-1], w.first[1:], base)) for base in (_BASE_A, _BASE_B)]
-                columns = [part.column(0), _long(w.count), *signs, pa.array(whole, pa.binary()), pa.ListArray.from_arrays(pa.array(held), _long(mark[new]))]
+                columns = [part.column(0), part.column(2), _long(w.count), *signs, pa.array(whole, pa.binary()), pa.ListArray.from_arrays(pa.array(held), _long(mark[new]))]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.mapInArrow(run, "doc_id long, n_words long, s1 long, s2 long, whole binary, marks array<long>")
+    return rows.mapInArrow(run, "doc_id long, row long, n_words long, s1 long, s2 long, whole binary, marks array<long>")
 
 
 def _codes(w: Words) -> str:
@@ -79,7 +79,7 @@ def _codes(w: Words) -> str:
 
 
 def _phrases(phrase: int):
-    """(doc_id, text, marks) -> mark, doc_id and the phrase's characters, for the marks the document holds first."""
+    """(row, text, marks) -> mark, row and the phrase's characters, for the marks the row holds first."""
 
     def run(batches):
         for batch in batches:
@@ -99,7 +99,7 @@ def _phrases(phrase: int):
 
 def _located(window: int, phrase: int):
     """One shard's automaton over its documents: the windows around every place of its phrases."""
-    names = ["h1", "h2", "doc_id", "start"]
+    names = ["h1", "h2", "row", "doc_id", "start"]
 
     def run(phrases: pa.Table, docs: pa.Table) -> pa.Table:
         import ahocorasick
@@ -115,8 +115,8 @@ def _located(window: int, phrase: int):
         if not len(phrases) or not len(docs):
             return kinds.empty_table()
         automaton.make_automaton()
-        ids, texts, out = docs["doc_id"].to_pylist(), docs["text"].combine_chunks(), []
-        for i, doc in enumerate(ids):
+        keys, texts, out = list(zip(docs["row"].to_pylist(), docs["doc_id"].to_pylist())), docs["text"].combine_chunks(), []
+        for i, key in enumerate(keys):
             w = Words(texts.slice(i, 1))
             grams, start, mark = _marks(w, window, phrase)
             signed, hit = grams.view(np.int64), np.zeros(len(grams) + 1, bool)
@@ -131,15 +131,15 @@ def _located(window: int, phrase: int):
                 near = (values[np.minimum(np.searchsorted(values, mark), len(values) - 1)] == mark) & (low < len(places))
             start = start[near]
             h1, h2 = (w.spans(start, start + window, base) for base in (_BASE_A, _BASE_B))
-            out.append(pa.table([_long(h1), _long(h2), pa.array(np.full(len(start), doc), pa.int64()), _long(start)], schema=kinds))
+            out.append(pa.table([_long(h1), _long(h2), *[pa.array(np.full(len(start), k), pa.int64()) for k in key], _long(start)], schema=kinds))
         return pa.concat_tables(out)
 
     return run
 
 
 def _kept(window: int):
-    """(doc_id, text, starts of removed windows) -> doc_id, n_removed and the sha256 of what stays."""
-    names = ["doc_id", "n_removed", "rest"]
+    """(row, text, starts of removed windows) -> row, n_removed and the sha256 of what stays."""
+    names = ["row", "n_removed", "rest"]
 
     def run(batches):
         for batch in batches:
@@ -161,40 +161,45 @@ def _kept(window: int):
 def remove_repeats(docs: DataFrame, window: int = 50, phrase: int = 16, shard_phrases: int = 40_000, task_words: int = 2_000_000) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256. shard_phrases and task_words bound what one task holds."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # a row is known by its doc_id and text, so that rows of one doc_id with different texts stay apart
+    rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
     each = stored(_surveyed(rows, window, phrase), "survey")
     long_ = each.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
-    classes = stored(long_.groupBy("s1", "s2", "n_words").agg(F.min("doc_id").alias("first_doc")), "classes")
+    classes = stored(long_.groupBy("s1", "s2", "n_words").agg(F.min(F.struct("doc_id", "row")).alias("first")), "classes")
+    classes = classes.select("s1", "s2", "n_words", F.col("first.doc_id").alias("first_doc"), F.col("first.row").alias("first_row"))
 
-    own = long_.select("doc_id", "n_words", "marks").join(classes.select(F.col("first_doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    places = own.select("doc_id", "n_words", F.explode("marks").alias("mark"))
-    column = Window.partitionBy("mark")
-    places = places.select("mark", "doc_id", "n_words", F.min("doc_id").over(column).alias("owner"), F.max("doc_id").over(column).alias("last"))
-    places = stored(places.where("owner < last").drop("last"), "marks")
+    own = long_.select("row", "doc_id", "n_words", "marks").join(classes.select(F.col("first_row").alias("row")).distinct(), "row", "left_semi").dropDuplicates(["row"])
+    places = own.select("row", "doc_id", "n_words", F.explode("marks").alias("mark"))
+    held = places.groupBy("mark").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.max("doc_id").alias("last"))
+    held = held.where("first.doc_id < last").select("mark", F.col("first.row").alias("owner"))
+    places = stored(places.join(held, "mark"), "marks")
 
-    wanted = places.select("doc_id").distinct()
-    texts = stored(rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    wanted = places.select("row").distinct()
+    texts = stored(rows.join(wanted, "row", "left_semi").dropDuplicates(["row"]), "texts")
 
-    firsts = places.where("doc_id = owner").select("owner", "mark").distinct()
+    firsts = places.where("row = owner").select("owner", "mark").distinct()
     shards = max(1, -(-firsts.count() // shard_phrases))
     shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards))
-    given = texts.join(firsts.groupBy(F.col("owner").alias("doc_id")).agg(F.collect_list("mark").alias("marks")), "doc_id")
-    phrases = given.select("doc_id", "text", "marks").mapInArrow(_phrases(phrase), "mark long, owner long, phrase string").withColumn("shard", shard("owner"))
+    given = texts.join(firsts.groupBy(F.col("owner").alias("row")).agg(F.collect_list("mark").alias("marks")), "row")
+    phrases = given.select("row", "text", "marks").mapInArrow(_phrases(phrase), "mark long, owner long, phrase string").withColumn("shard", shard("owner"))
 
-    routes = places.select("doc_id", "n_words", shard("owner").alias("shard")).distinct()
+    routes = places.select("row", "n_words", shard("owner").alias("shard")).distinct()
     parts = routes.groupBy("shard").agg(F.ceil(F.sum("n_words") / task_words).alias("parts"))
-    routes = routes.join(parts, "shard").select("doc_id", "shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), "parts").alias("part"))
-    streams = texts.join(routes, "doc_id").select("shard", "part", "doc_id", "text")
+    routes = routes.join(parts, "shard").select("row", "shard", F.pmod(F.xxhash64("row", F.lit(1)), "parts").alias("part"))
+    streams = texts.join(routes, "row").select("shard", "part", "row", "doc_id", "text")
     dealt = phrases.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "mark", "phrase")
-    found = dealt.groupBy("shard", "part").cogroup(streams.groupBy("shard", "part")).applyInArrow(_located(window, phrase), "h1 long, h2 long, doc_id long, start long")
+    found = dealt.groupBy("shard", "part").cogroup(streams.groupBy("shard", "part")).applyInArrow(_located(window, phrase), "h1 long, h2 long, row long, doc_id long, start long")
 
-    same = Window.partitionBy("h1", "h2")
-    repeated = found.withColumn("first", F.min("doc_id").over(same)).where("doc_id > first")
-    starts = repeated.groupBy("doc_id").agg(F.collect_list(F.col("start").cast("int")).alias("starts"))
-    cut = texts.join(starts, "doc_id").select("doc_id", "text", "starts").mapInArrow(_kept(window), "doc_id long, n_removed long, rest binary")
+    found = stored(found, "windows")
+    # minima combine before the shuffle, so a window that every document holds costs one row a task
+    first = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
+    repeated = found.join(first, ["h1", "h2"]).where("doc_id > first")
+    starts = repeated.groupBy("row").agg(F.collect_list(F.col("start").cast("int")).alias("starts"))
+    cut = texts.join(starts, "row").select("row", "text", "starts").mapInArrow(_kept(window), "row long, n_removed long, rest binary")
 
     copies = each.join(classes, ["s1", "s2", "n_words"], "left").drop("s1", "s2", "marks")
     copy = F.coalesce(F.col("doc_id") > F.col("first_doc"), F.lit(False))
-    out = copies.join(cut, "doc_id", "left")
+    out = copies.join(cut, "row", "left")
     nothing = F.lit(hashlib.sha256(b"").digest())
     return out.select(
         "doc_id", "n_words", F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),

@@ -1,9 +1,10 @@
 """Quality rules with thresholds from mergeable quantile sketches, by DataFrame functions alone.
 
-Every document gets counts from its words and lines. A KLL sketch of each ratio is kept per (language, source);
-sketches of a language merge from those of its sources, and all merge into one. A threshold is an outer fence of
-its group's quantiles, so it follows what the group looks like: a language with long words or a source full of
-tables sets its own bounds. Groups with few documents take the language's sketch, then the overall one.
+Every document gets counts from its words and lines. KLL sketches of its ratios and of its words are kept per
+(language, source); sketches of a language merge from those of its sources, and all merge into one. Thresholds come
+from a group's quantiles alone: a language with long words or a source full of tables sets its own bounds. They allow
+for chance: mean word length may stray further in a text of few words, and a count may pass the group's quantile by
+some of its own deviations. Groups with few documents take the language's sketch, then the overall one.
 
 Defined results: a null or blank text has no words and fails the base rule; null languages and sources are groups
 of their own; repeated rows are judged one by one; an empty table gives none; other columns may be carried.
@@ -16,10 +17,9 @@ from pyspark.sql import functions as F
 
 from .common import stored, words
 
-#: Ratios judged, each by an upper fence; mean word length by a lower one as well.
-RATIOS = ("mean_word", "symbol_ratio", "dup_line_ratio", "repeat_ratio")
-#: A fence never lies closer than this to the group's 90 % (or 10 %) quantile.
-SLACK = {"mean_word": 2.0, "symbol_ratio": 0.1, "dup_line_ratio": 0.35, "repeat_ratio": 0.2}
+#: Ratios of counts to words or lines, with what a single chance event adds to the count: a repeat is two windows.
+COUNTS = {"symbol_ratio": 1, "dup_line_ratio": 1, "repeat_ratio": 10}
+SKETCHED = ("mean_word", "n_words", *COUNTS)
 _WINDOW = 5
 
 
@@ -85,7 +85,7 @@ def measured(docs: DataFrame, columns: tuple = ()) -> DataFrame:
     )
     some = F.greatest(F.col("n_words"), F.lit(1))
     return rows.select(
-        "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.col("_lines").alias("n_lines"),
         ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"),
         (F.col("word_chars") / some).alias("mean_word"),
         (F.col("n_symbols") / some).alias("symbol_ratio"),
@@ -95,34 +95,42 @@ def measured(docs: DataFrame, columns: tuple = ()) -> DataFrame:
     )
 
 
-def _fences(sketches: dict[str, Column], reach: float) -> list[Column]:
-    """Outer fences of each ratio's sketch, no closer than its slack to the outer tenths."""
-    out = []
-    for r, sketch in sketches.items():
-        q = {p: F.kll_sketch_get_quantile_double(sketch, F.lit(p)) for p in (0.1, 0.25, 0.5, 0.75, 0.9)}
-        spread = q[0.75] - q[0.25]
-        out.append((F.greatest(q[0.75] + reach * spread, q[0.9] + SLACK[r])).alias(f"{r}_most"))
-        if r == "mean_word":
-            out.append((F.least(q[0.25] - reach * spread, q[0.1] - SLACK[r])).alias(f"{r}_least"))
-    return out
+def _fences(sketch) -> list[Column]:
+    """Quartiles of mean word length, the median number of words and the ninth tenth of each count's ratio."""
+    at = lambda c, p: F.kll_sketch_get_quantile_double(sketch(c), F.lit(p))
+    words_ = [at("mean_word", 0.25).alias("word_low"), at("mean_word", 0.75).alias("word_high"), at("n_words", 0.5).alias("words_mid")]
+    return words_ + [at(c, 0.9).alias(c) for c in COUNTS]
 
 
-def thresholds(rows: DataFrame, reach: float = 6.0, enough: int = 200) -> DataFrame:
+def _inside(reach: float) -> Column:
+    """Whether a document lies within its group's fences."""
+    fence = lambda c: F.col(f"fences.{c}")
+    n = F.greatest(F.col("n_words"), F.lit(1))
+    # the mean of n words strays by the root of 1 / n: short texts get a wider fence than the group's middle one
+    wide = reach * (fence("word_high") - fence("word_low")) * F.greatest(F.lit(1.0), F.sqrt(fence("words_mid") / n))
+    inside = F.col("mean_word").between(fence("word_low") - wide, fence("word_high") + wide)
+    for (c, unit), base in zip(COUNTS.items(), (n, F.greatest(F.col("n_lines"), F.lit(1)), n)):
+        usual = fence(c) * base
+        inside &= F.col(c) * base <= usual + reach * F.sqrt(unit * F.greatest(usual, F.lit(float(unit))))
+    return inside
+
+
+def thresholds(rows: DataFrame, enough: int = 200) -> DataFrame:
     """One row a (language, source): its fences, from the smallest enclosing group with enough documents.
 
     Only documents that pass the base rule are sketched.
     """
     key = [F.coalesce(F.concat(F.lit("="), c), F.lit("")).alias(f"{c}_key") for c in ("lang", "source")]
-    good = rows.where(~F.col("base_failed")).select(*key, *RATIOS)
-    names = [f"{r}_sketch" for r in RATIOS]
+    good = rows.where(~F.col("base_failed")).select(*key, *SKETCHED)
+    names = [f"{r}_sketch" for r in SKETCHED]
     fine = good.groupBy("lang_key", "source_key").agg(
-        F.count("*").alias("n"), *[F.kll_sketch_agg_double(r).alias(f"{r}_sketch") for r in RATIOS]
+        F.count("*").alias("n"), *[F.kll_sketch_agg_double(F.col(r).cast("double")).alias(f"{r}_sketch") for r in SKETCHED]
     )
     fine = stored(fine, "sketches")  # a few KB a group; short plans keep the optimiser quick
     merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(c).alias(c) for c in names]]
 
     def fences(df: DataFrame, keys: list[str]) -> DataFrame:
-        return stored(df.select(*keys, "n", F.struct(*_fences({r: F.col(f"{r}_sketch") for r in RATIOS}, reach)).alias("fences")), "fences")
+        return stored(df.select(*keys, "n", F.struct(*_fences(lambda r: F.col(f"{r}_sketch"))).alias("fences")), "fences")
 
     by_lang = fences(fine.groupBy("lang_key").agg(*merged), ["lang_key"])
     overall = fences(fine.groupBy(F.lit(1).alias("one")).agg(*merged), ["one"])
@@ -139,16 +147,12 @@ def thresholds(rows: DataFrame, reach: float = 6.0, enough: int = 200) -> DataFr
 def judge(docs: DataFrame, columns: tuple = (), reach: float = 6.0, enough: int = 200) -> DataFrame:
     """doc_id, counts, base_failed and kept, then the named columns."""
     narrow = stored(measured(docs), "measured")
-    bounds = thresholds(narrow, reach, enough)
+    bounds = thresholds(narrow, enough)
     rows = measured(docs, columns) if columns else narrow
     rows = rows.withColumns({f"{c}_key": F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in ("lang", "source")})
-    inside = F.lit(True)
-    for r in RATIOS:
-        inside &= F.col(r) <= F.col(f"fences.{r}_most")
-    inside &= F.col("mean_word") >= F.col("fences.mean_word_least")
     # one row a group of language and source, whose number the catalogue of sources bounds; Spark checks its size
     return rows.join(bounds, ["lang_key", "source_key"], "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept"),
+        (~F.col("base_failed") & F.coalesce(_inside(reach), F.lit(True))).alias("kept"),
         *[c for c in columns if c != "doc_id"],
     )

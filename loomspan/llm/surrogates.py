@@ -1,8 +1,11 @@
 """Personal data replaced by keyed surrogates of the same type and format, with DataFrame functions alone.
 
-Entities are found by patterns. An entity's canonical form (digits of a number, lower case of the rest) and a key
-decide its surrogate, so one entity gets one surrogate in every document. A surrogate has its entity's type, length,
-script and, for titled names, gender. Surrogates are checked over all entities of the corpus: one that another
+Entities are found by patterns. An entity's canonical form (digits of a number, a phone's without its country; the
+lower case of an address or name; a secret as it is) and a key decide its surrogate, so one entity gets one surrogate
+in every document. Given and family names are entities of their own, so that "Mr Smith" and "Mr. John Smith" keep one
+family name; titles, countries and signs stay. A surrogate has its entity's type and script and, for given names,
+gender; numbers and secrets keep their length, secrets the case of their letters, cards a valid check digit; names
+and mail addresses may change in length. Surrogates are checked over all entities of the corpus: one that another
 entity has, or that is itself an entity of the corpus, is drawn anew, so different entities stay different. Names get
 a further syllable and addresses wider reserved blocks with each further draw, so that few names to draw from can't run
 out; numbers keep their digits, so theirs outnumber entities while those take less than half of their numbers.
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 # Titles by gender, given and family names by script.
-TITLES = {"f": ("Mrs", "Ms", "Frau", "Madame", "Señora", "госпожа"), "m": ("Mr", "Herr", "Monsieur", "Señor", "господин")}
+TITLES = {"n": ("Dr", "Prof"), "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "госпожа"), "m": ("Mr", "Herr", "Monsieur", "Señor", "господин")}
 GIVEN = {
     "latin_f": ("Anna", "Clara", "Elena", "Ida", "Julia", "Laura", "Maria", "Nora", "Olga", "Rosa", "Sofia", "Vera"),
     "latin_m": ("Adam", "Bruno", "David", "Emil", "Hugo", "Jonas", "Karl", "Leo", "Max", "Oscar", "Paul", "Tomas"),
@@ -53,8 +56,29 @@ def kind_of(value: Column) -> Column:
     return kind
 
 
+#: A phone's country, which stays.
+_COUNTRY = r"^\+\d{1,3}[ .-]?(?=(?:\(\d{2,4}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}$)"
+
+
 def canonical(kind: Column, value: Column) -> Column:
-    return F.when(kind.isin("card", "phone"), F.regexp_replace(value, r"\D", "")).otherwise(F.lower(value))
+    digits = F.regexp_replace(F.when(kind == "phone", F.regexp_replace(value, _COUNTRY, "")).otherwise(value), r"\D", "")
+    return F.when(kind.isin("card", "phone"), digits).when(kind == "secret", value).otherwise(F.lower(value))
+
+
+def _parts(kind: Column, value: Column) -> Column:
+    """What of a found entity is replaced, as (kind, before, value): the names of a titled name, else the whole."""
+    words = F.split(value, " ")
+    title = F.regexp_replace(F.get(words, F.lit(0)), r"\.$", "")
+    gender = F.when(title.isin(*TITLES["f"]), "f").when(title.isin(*TITLES["m"]), "m").otherwise("n")
+    script = lambda w: F.when(w.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+
+    def named(w: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.concat(F.get(words, F.lit(0)), F.lit(" "))).otherwise(F.lit(" "))
+        given = i < F.size(words) - 2
+        return F.struct(F.when(given, F.concat(F.lit("given_"), script(w), F.lit("_"), gender)).otherwise(F.concat(F.lit("family_"), script(w))).alias("kind"), before.alias("before"), w.alias("value"))
+
+    whole = F.array(F.struct(kind.alias("kind"), F.lit("").alias("before"), value.alias("value")))
+    return F.when(kind == "name", F.transform(F.slice(words, 2, F.size(words)), named)).otherwise(whole)
 
 
 def _pick(names: tuple, h: Column, at: int | Column) -> Column:
@@ -80,32 +104,49 @@ def _surrogate(kind: Column, value: Column, key: str, turn: Column) -> Column:
     some = F.conv(F.substring(h, 7, 2), 16, 10).cast("int")
     first = F.when(turn <= 3, F.lit("10")).when(turn <= 8, (240 + some % 16).cast("string")).otherwise(some.cast("string"))
     out = out.when(kind == "ip", F.concat_ws(".", first, octet(1), octet(3), octet(5)))
-    hexes = F.substring(F.concat(h, more), 1, 100)
-    head = F.regexp_extract(value, r"^(akia|ghp_|sk-)?", 0)
-    out = out.when(kind == "secret", F.concat(head, hexes.substr(F.lit(1), F.length(value) - F.length(head))))
-    out = out.when(kind.isin("card", "phone"), digits.substr(F.lit(1), F.length(value)))
-    title = F.regexp_extract(value, r"^\S+", 0)
-    woman = F.regexp_replace(title, r"\.$", "").isin(*[t.lower() for t in TITLES["f"]])
-    cyrillic = value.rlike(r"\p{IsCyrillic}+$")
-    given = (
-        F.when(cyrillic & woman, _pick(GIVEN["cyrillic_f"], h, 1)).when(cyrillic, _pick(GIVEN["cyrillic_m"], h, 1))
-        .when(woman, _pick(GIVEN["latin_f"], h, 1)).otherwise(_pick(GIVEN["latin_m"], h, 1))
-    )
-    family = F.when(cyrillic, F.concat(_pick(FAMILY_PARTS["cyrillic"][0], h, 8), _pick(FAMILY_PARTS["cyrillic"][1], h, 15))).otherwise(
+    # a secret letter by letter: digits from digits, letters of either case from letters, hexadecimal ones from a to f
+    head = F.regexp_extract(value, r"^(AKIA|ghp_|sk-)?", 0)
+    long_ = F.concat(h, more)
+
+    def drawn(c: Column, i: Column) -> Column:
+        x = long_.substr(i + 1, F.lit(1))
+        letter = F.when(value.rlike("^[0-9a-f]+$"), F.translate(x, "0123456789", "abcdefabcd")).otherwise(F.translate(x, "0123456789", "ghijklmnop"))
+        return F.when(c.rlike("[0-9]"), F.translate(x, "abcdef", "051938")).otherwise(F.when(c.rlike("[A-Z]"), F.upper(letter)).otherwise(letter))
+
+    rest = F.split(F.substr(value, F.length(head) + 1), "")
+    out = out.when(kind == "secret", F.concat(head, F.array_join(F.transform(rest, drawn), "")))
+    out = out.when(kind == "phone", digits.substr(F.lit(1), F.length(value)))
+    payload = digits.substr(F.lit(1), F.length(value) - 1)
+    out = out.when(kind == "card", F.when(_checked(value), F.concat(payload, _check_digit(payload))).otherwise(digits.substr(F.lit(1), F.length(value))))
+    more_letters = F.when(kind.contains("cyrillic"), _syllables(SYLLABLES["cyrillic"], more, turn)).otherwise(_syllables(SYLLABLES["latin"], more, turn))
+    given = F.lit("")
+    for script in ("latin", "cyrillic"):
+        for gender in "fmn":
+            names = GIVEN[f"{script}_{gender}"] if gender != "n" else GIVEN[f"{script}_f"] + GIVEN[f"{script}_m"]
+            given = F.when(kind == f"given_{script}_{gender}", _pick(names, h, 1)).otherwise(given)
+    family = F.when(kind == "family_cyrillic", F.concat(_pick(FAMILY_PARTS["cyrillic"][0], h, 8), _pick(FAMILY_PARTS["cyrillic"][1], h, 15))).otherwise(
         F.concat(_pick(FAMILY_PARTS["latin"][0], h, 8), _pick(FAMILY_PARTS["latin"][1], h, 15), F.substring(F.translate(h, "0123456789", "aeioulnrst"), 30, 2))
     )
-    family = F.concat(family, F.when(cyrillic, _syllables(SYLLABLES["cyrillic"], more, turn)).otherwise(_syllables(SYLLABLES["latin"], more, turn)))
-    several = F.size(F.split(value, " ")) > 2
-    return out.otherwise(F.concat(F.initcap(title), F.lit(" "), F.when(several, F.concat(given, F.lit(" "))).otherwise(F.lit("")), family))
+    return out.otherwise(F.concat(F.when(kind.startswith("given"), given).otherwise(family), more_letters))
+
+
+def _check_digit(payload: Column) -> Column:
+    """The last digit that makes a card number valid: every other digit from the right counts twice, nines cast out."""
+    twice = lambda d: F.when(d > 4, 2 * d - 9).otherwise(2 * d)
+    digits = F.transform(F.split(F.reverse(payload), ""), lambda c, i: F.when(i % 2 == 0, twice(c.cast("int"))).otherwise(c.cast("int")))
+    return (F.pmod(-F.aggregate(digits, F.lit(0), lambda a, d: a + d), F.lit(10))).cast("string")
+
+
+def _checked(number: Column) -> Column:
+    return _check_digit(number.substr(F.lit(1), F.length(number) - 1)) == number.substr(F.length(number), F.lit(1))
 
 
 def _written(kind: Column, value: Column, surrogate: Column) -> Column:
-    """The surrogate in the written form of the value: digits go where digits stood."""
+    """The surrogate in the written form of the value: digits go where digits stood, the last ones first to their places."""
     upto = lambda i: F.length(F.regexp_replace(value.substr(F.lit(1), i + 1), r"\D", ""))
-    laid = F.transform(F.split(value, ""), lambda c, i: F.when(c.rlike(r"^\d$"), surrogate.substr(upto(i), F.lit(1))).otherwise(c))
-    return F.when(kind.isin("card", "phone"), F.array_join(laid, "")).when(
-        (kind == "secret") & (value == F.upper(value)), F.upper(surrogate)
-    ).otherwise(surrogate)
+    ahead = F.length(F.regexp_replace(value, r"\D", "")) - F.length(surrogate)  # digits of a phone's country
+    laid = F.transform(F.split(value, ""), lambda c, i: F.when(c.rlike(r"^\d$") & (upto(i) > ahead), surrogate.substr(upto(i) - ahead, F.lit(1))).otherwise(c))
+    return F.when(kind.isin("card", "phone"), F.array_join(laid, "")).otherwise(surrogate)
 
 
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
@@ -137,12 +178,17 @@ def replace(docs: DataFrame, key: str = "loomspan") -> DataFrame:
     plain = rows.where(~touched).select("doc_id", F.lit(0).cast("long").alias("n_entities"), *[F.lit(0).cast("long").alias(f"n_{n}") for n in names], "text")
     found = stored(rows.where(touched).withColumn("row", F.monotonically_increasing_id()), "touched")
     each = found.select("row", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("at", "value"))
-    each = each.withColumn("kind", kind_of(F.col("value"))).withColumn("canonical", canonical(F.col("kind"), F.col("value")))
-    each = stored(each, "found")
+    each = each.withColumn("type", kind_of(F.col("value")))
+    each = each.select("row", "at", "type", F.posexplode(_parts(F.col("type"), F.col("value"))).alias("part", "p")).select("row", "at", "type", "part", "p.*")
+    each = stored(each.withColumn("canonical", canonical(F.col("kind"), F.col("value"))), "found")
     table = surrogate_table(each, key)
-    written = each.join(table, ["kind", "canonical"]).withColumn("written", _written(F.col("kind"), F.col("value"), F.col("surrogate")))
-    counts = [F.count_if(F.col("kind") == n).cast("long").alias(f"n_{n}") for n in names]
-    per_row = written.groupBy("row").agg(F.count("*").cast("long").alias("n_entities"), *counts, F.sort_array(F.collect_list(F.struct("at", "written"))).alias("new"))  # one text
-    pieces = F.zip_with(F.split("text", ANY), F.transform("new", lambda x: x["written"]), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    changed = found.join(per_row, "row").select("doc_id", "n_entities", *[f"n_{n}" for n in names], F.array_join(pieces, "").alias("text"))
+    written = each.join(table, ["kind", "canonical"]).withColumn("written", F.concat("before", _written(F.col("kind"), F.col("value"), F.col("surrogate"))))
+    counts = [F.count_if((F.col("type") == n) & (F.col("part") == 0)).cast("long").alias(f"n_{n}") for n in names]
+    new = F.sort_array(F.collect_list(F.struct("at", "part", "written"))).alias("new")  # one text
+    per_row = written.groupBy("row").agg(F.count_if(F.col("part") == 0).cast("long").alias("n_entities"), *counts, new)
+    kept = F.split("text", ANY)
+    laid = found.join(per_row, "row").select("doc_id", "n_entities", *[f"n_{n}" for n in names], "new", F.explode(F.array(kept)).alias("kept"))
+    pieces = F.transform("new", lambda x: F.concat(F.when(x["part"] == 0, F.get("kept", x["at"])).otherwise(F.lit("")), x["written"]))
+    text = F.concat(F.array_join(pieces, ""), F.element_at("kept", -1)).alias("text")
+    changed = laid.select("doc_id", "n_entities", *[f"n_{n}" for n in names], text)
     return plain.union(changed)
