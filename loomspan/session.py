@@ -27,10 +27,13 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df by checkpoint() in the folder of spark.checkpoint.dir; a temporary one is set only where there is none (tests)."""
+    """df by checkpoint() in the folder of spark.checkpoint.dir; a temporary one is set only where there is none on one machine (tests)."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="loomspan-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        sc.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="loomspan-"))
     return df.checkpoint()
 
 
