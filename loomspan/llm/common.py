@@ -62,11 +62,6 @@ def maybe_in(ids: DataFrame, keys: list[str], bits: int = 23) -> Column:
     return F.bit_get(F.get(stored(row, "bitmap").scalar(), word), bit) == 1
 
 
-def probably_in(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of df whose key may be among ids."""
-    return df.where(maybe_in(ids, [key]))
-
-
 def words(text: Column) -> Column:
     """Words of a text; null and blank texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")

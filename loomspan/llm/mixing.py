@@ -113,7 +113,7 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), most: float = 3.0, seed: in
     goal = goal.join(per_source.select("source_key", "rows"), "source_key")
     # a source's one row goes to each of its salts, so that no task gets all documents of a large source
     salt = F.pmod(F.xxhash64("order", "text_key"), F.lit(SALTS))
-    salts = goal.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    salts = goal.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     rows = base.withColumn("salt", salt).join(salts, ["source_key", "salt"]).drop("salt")
     mean = F.when(F.col("source_size") > 0, F.least(F.lit(float(most)), F.col("target") / F.col("source_size"))).otherwise(F.lit(0.0))
     whole = F.floor(mean + _TINY)

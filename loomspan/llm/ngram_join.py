@@ -12,7 +12,8 @@ Overlaps of the rest are counted on full n-gram sets.
 
 Defined results: a null, empty or blank text has no n-grams and links with nothing; a text with fewer words than n
 is one n-gram; repeated rows and equal sets are linked; a row with a null doc_id links with nothing and its
-component is null; doc_id is otherwise taken as unique; an empty table gives none; other columns are ignored.
+component is null; rows of one doc_id with different texts are one document, linked if one of them is, with a row of
+the result each; an empty table gives none; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, dropped, probably_in, stored
+from .common import components, dropped, maybe_in, stored
 from .grams import Words, chunks, mix
 
 #: log2 of the sketch's counters: fixed, 2 MB, whatever the corpus holds.
@@ -94,36 +95,29 @@ def _ordered(docs: DataFrame, n: int, counts: np.ndarray, percent: int) -> DataF
     return docs.mapInArrow(run, "doc_id long, size long, lead array<long>")
 
 
-def _full(docs: DataFrame, n: int) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            for part in chunks(batch):
-                row, grams, size = _sets(part.column(1), n)
-                first = np.concatenate([[0], np.cumsum(size)])
-                data = grams.astype("<u8").tobytes()
-                sets = pa.array([data[8 * first[i] : 8 * first[i + 1]] for i in range(len(size))], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), sets], names=["doc_id", "grams"])
+def _linked(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose overlap reaches the threshold, by their whole n-gram sets.
 
-    return docs.mapInArrow(run, "doc_id long, grams binary")
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose overlap reaches the threshold."""
-    rows = pairs.select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("ga")), "a")
-    rows = rows.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("gb")), "b").select("a", "b", "ga", "gb")
+    Texts travel and not their sets, which are larger and hardly compress.
+    """
+    rows = pairs.select("a", "b")
+    for k in "ab":
+        texts = docs.where(maybe_in(pairs.select(F.col(k).alias("doc_id")), ["doc_id"]))
+        rows = rows.join(texts.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}")), k)
 
     def run(batches):
         for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            keep = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                x, y = (np.frombuffer(c[i].as_buffer(), "<u8") for c in (left, right))
-                at = np.searchsorted(x, y)
-                same = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                keep[i] = 100 * same >= percent * (len(x) + len(y) - same)
-            yield pa.RecordBatch.from_arrays([batch.column(j).filter(pa.array(keep)) for j in (0, 1)], names=["a", "b"])
+            for part in chunks(batch, "text_a"):
+                (row_a, grams_a, size_a), (row_b, grams_b, size_b) = (_sets(part.column(c), n) for c in (2, 3))
+                row, grams = np.concatenate([row_a, row_b]), np.concatenate([grams_a, grams_b])
+                order = np.lexsort((grams, row))
+                row, grams = row[order], grams[order]
+                twice = (row[1:] == row[:-1]) & (grams[1:] == grams[:-1])  # each set holds a gram once
+                same = np.bincount(row[1:][twice], minlength=part.num_rows)
+                keep = pa.array((same > 0) & (100 * same >= percent * (size_a + size_b - same)))
+                yield pa.RecordBatch.from_arrays([part.column(j).filter(keep) for j in (0, 1)], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
 def _bounded(a: str, b: str, percent: int):
@@ -150,7 +144,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     classes = stored(classes, "classes")
 
     lead = _ordered(rows.where("doc_id is not null"), n, counts, percent)
-    lead = lead.join(classes.select(F.col("class").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    lead = lead.join(classes.select(F.col("class").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id", "size", "lead"])
     entries = lead.select("doc_id", "size", F.posexplode("lead").alias("at", "gram"))
     column = Window.partitionBy("gram")
     entries = entries.select(
@@ -160,12 +154,8 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        wanted = stored(wanted, "wanted")
-        texts = probably_in(rows, wanted).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        sets = stored(_full(texts, n), "sets")
-        found = stored(_linked(pairs, sets, percent), "links")
-        dropped(sets)
+        found = stored(_linked(pairs, rows, n, percent).distinct(), "links")
+        dropped(pairs)
         return found
 
     heads = entries.alias("e").where((F.col("doc_id") != F.col("head.doc_id")) & _bounded("e", "head", percent))
@@ -182,15 +172,15 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     pairs = (
         held.alias("x")
         .join(held.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.component") != F.col("y.component")) & _bounded("x", "y", percent))
-        .groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+        .groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.size").alias("size_a"), F.col("y.size").alias("size_b"))
         .agg(
-            F.count("*").alias("shared"), F.first("x.size").alias("size_a"), F.first("y.size").alias("size_b"),
+            F.count("*").alias("shared"),
             F.max("x.at").alias("last_a"), F.max("y.at").alias("last_b"),
         )
     )
     # the count holds every shared n-gram up to the last places; whatever else is shared stands behind them in both rows
     rest = F.least(F.col("size_a") - F.col("last_a"), F.col("size_b") - F.col("last_b")) - 1
-    pairs = pairs.where((100 + percent) * (F.col("shared") + rest) >= percent * (F.col("size_a") + F.col("size_b"))).select("a", "b")
+    pairs = pairs.where((100 + percent) * (F.col("shared") + rest) >= percent * (F.col("size_a") + F.col("size_b"))).select("a", "b").distinct()
     links = links.union(verified(pairs))
     found = components(links)
 
