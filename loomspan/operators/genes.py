@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspan.session import cut
+
 from .intervals import islands, overlap_pairs
 
+
 def _in_place():
     return Window.partitionBy("gid").orderBy("begin", "end")
 
@@ -139,58 +141,45 @@ def intron_chain_quality(exons: DataFrame, sites: DataFrame) -> DataFrame:
     return counts.withColumn("chain", word)
 
 
-class _Placed:
-    """Kept spans of one ref by bin."""
-
-    def __init__(self, size: int = 1000):
-        self.size, self.bins = size, {}
-
-    def add(self, b: int, e: int, owner) -> None:
-        for k in range(b // self.size, e // self.size + 1):
-            self.bins.setdefault(k, []).append((b, e, owner))
-
-    def shared(self, b: int, e: int):
-        """(bases shared, owner) of every kept span that touches b..e."""
-        for k in range(b // self.size, e // self.size + 1):
-            for x, y, owner in self.bins.get(k, ()):
-                if x <= e and y >= b and k == max(b, x) // self.size:
-                    yield min(e, y) - max(b, x) + 1, owner
-
-
-def _greedy(most: float):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        kept, out = _Placed(), []
-        spans_of: dict[int, list[tuple[int, int]]] = {}
-        total: dict[int, int] = {}
-        for gid, b, e, score in zip(*[rows[c].tolist() for c in ("gid", "begin", "end", "total")]):
-            spans_of.setdefault(gid, []).append((b, e))
-            total[gid] = score
-        order = sorted((-total[gid], min(own)[0], max(e for _, e in own), gid) for gid, own in spans_of.items())
-        for minus, _, _, gid in order:
-            own = spans_of[gid]
-            size = sum(e - b + 1 for b, e in own)
-            taken = sum(n for b, e in own for n, _ in kept.shared(b, e))
-            keep = taken <= most * size
-            if keep:
-                for b, e in own:
-                    kept.add(b, e, gid)
-            out.append((gid, -minus, taken, keep))
-        return pd.DataFrame(out, columns=["gid", "total", "taken", "kept"])
-
-    return run
+def taken_bases(exons: DataFrame, ranked: DataFrame) -> DataFrame:
+    """Bases that exons of a higher-ranked gene (winner) share with those of a lower-ranked one (gid), for each such pair."""
+    rows = exons.select("gid", "ref", "begin", "end").join(ranked.select("gid", "place"), "gid")
+    pairs = overlap_pairs(rows, rows).where("p_place < b_place")
+    return pairs.groupBy(F.col("p_gid").alias("winner"), F.col("b_gid").alias("gid")).agg(F.sum("overlap").alias("bases"))
 
 
 def select_best(exons: DataFrame, totals: DataFrame, most: float = 0.1) -> DataFrame:
-    """Greedy best set: genes by total desc, then place; one is kept if at most that share of its bases is taken.
+    """Greedy best set: genes by total desc, then place; one is kept if at most that share of its bases is taken by kept ones.
 
-    Clusters of genes that touch one another, directly or through others, never interact; each is a group, so a
-    chromosome is spread over many tasks. exons: gid, ref, begin, end. totals: gid, total.
+    exons: gid, ref, begin, end. totals: gid, total; genes with last set (optional) come after all others. Rounds of joins
+    over the pairs of overlapping genes take the place of a walk along a chromosome: a gene is decided once what open genes
+    above it may still take can't change its verdict. The highest open gene always is, and rounds grow with the longest
+    descending run of overlapping genes, not with a chromosome's length.
     """
-    rows = exons.select("gid", "ref", "begin", "end").join(totals.select("gid", "total"), "gid")
-    span = rows.groupBy("ref", "gid").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
-    cluster = islands(span, ["ref"], gap=-1).select("gid", "island")
-    grouped = rows.join(cluster, "gid").groupBy("ref", "island")
-    return grouped.applyInPandas(_greedy(most), "gid long, total long, taken long, kept boolean")
+    last = F.coalesce("last", F.lit(False)) if "last" in totals.columns else F.lit(False)
+    size = F.sum(F.col("end") - F.col("begin") + 1).alias("size")
+    genes = exons.groupBy("gid").agg(size, F.min("begin").alias("begin"), F.max("end").alias("end")).join(totals, "gid")
+    genes = cut(genes.select("gid", "size", "total", F.struct(last.alias("last"), (-F.col("total")).alias("minus"), "begin", "end", "gid").alias("place")))
+    pairs = edges = cut(taken_bases(exons, genes))
+    decided, left = None, genes.select("gid", "size", F.lit(0).cast("long").alias("taken"))
+    while True:
+        waiting = edges.groupBy("gid").agg(F.sum("bases").alias("waiting"))
+        limit, certain, possible = most * F.col("size"), F.col("taken"), F.col("taken") + F.coalesce("waiting", F.lit(0))
+        verdict = cut(left.join(waiting, "gid", "left").select("gid", "size", "taken", F.when(possible <= limit, True).when(certain > limit, False).alias("kept")))
+        done = verdict.where("kept is not null").select("gid", "kept")
+        decided = done if decided is None else decided.union(done)
+        left = verdict.where("kept is null").select("gid", "size", "taken")
+        if left.isEmpty():
+            break
+        known = verdict.select(F.col("gid").alias("winner"), F.col("kept").alias("won"))
+        edges = cut(edges.join(left.select("gid"), "gid", "left_semi").join(known, "winner"))
+        won = edges.where("won").groupBy("gid").agg(F.sum("bases").alias("more"))
+        left = left.join(won, "gid", "left").select("gid", "size", (F.col("taken") + F.coalesce("more", F.lit(0))).alias("taken"))
+        edges = edges.where("won is null").drop("won")
+    winners = decided.where("kept").select(F.col("gid").alias("winner"))
+    taken = pairs.join(winners, "winner", "left_semi").groupBy("gid").agg(F.sum("bases").alias("taken"))
+    rows = genes.select("gid", F.col("total").cast("long").alias("total")).join(decided, "gid").join(taken, "gid", "left")
+    return rows.select("gid", "total", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "kept")
 
 
 def placed_offsets(exons: DataFrame, first: int, last: int) -> DataFrame:

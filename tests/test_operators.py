@@ -1,6 +1,7 @@
 """Small fixtures with results worked out by hand."""
 
 import itertools
+import random
 
 from pyspark.sql import functions as F
 
@@ -59,6 +60,36 @@ def test_greedy_selection(spark):
     assert got == {1: True, 2: False, 3: True, 4: True}
 
 
+def _greedy_brute(exons, totals, most):
+    kept, out = [], {}
+    spans = {g: [(b, e) for x, _, b, e in exons if x == g] for g in totals}
+    for gid in sorted(totals, key=lambda g: (-totals[g], min(b for b, _ in spans[g]), max(e for _, e in spans[g]), g)):
+        size = sum(e - b + 1 for b, e in spans[gid])
+        taken = sum(max(0, min(e, y) - max(b, x) + 1) for b, e in spans[gid] for x, y in kept)
+        out[gid] = (totals[gid], taken, taken <= most * size)
+        if out[gid][2]:
+            kept += spans[gid]
+    return out
+
+
+def test_greedy_selection_against_a_walk(spark):
+    draw = random.Random(5)
+    exons, totals = [], {}
+    for gid in range(150):
+        at = draw.randrange(6000)
+        for i in range(draw.randrange(1, 5)):
+            exons.append((gid, "c", at + 150 * i, at + 150 * i + draw.randrange(20, 200)))
+        totals[gid] = draw.randrange(25)
+    rows = spark.createDataFrame(exons, "gid long, ref string, begin long, end long")
+    scores = spark.createDataFrame(list(totals.items()), "gid long, total long")
+    for most in (0.0, 0.1, 0.4):
+        got = {r["gid"]: (r["total"], r["taken"], r["kept"]) for r in genes.select_best(rows, scores, most).collect()}
+        assert got == _greedy_brute(exons, totals, most)
+    assert genes.select_best(rows.limit(0), scores).count() == 0
+    last = scores.withColumn("last", F.col("gid") == 0)
+    assert {r["gid"] for r in genes.select_best(rows, last).collect()} == set(totals)
+
+
 def test_drop_rule(spark):
     rows = spark.createDataFrame([(1, 70, 200, 0), (2, 70, 100, 0), (3, 70, 200, 80), (4, 10, 200, 0)], "id long, est long, cds long, te long")
     keep = genes.drop_rule([("est", 60, ""), ("cds", 180, "+"), ("te", 60, "-")])
