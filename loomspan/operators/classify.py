@@ -55,16 +55,15 @@ def pair_class(pid, pal, q_len, t_len) -> str | None:
     if pid >= HIGH:
         kind = "parthi" if t_len < 0.5 * q_len else "althi"
         return kind + ("1" if pal >= 98 or 0 <= t_len * (100 - pal) / 100 < 9 else "")
-    return "altmid" if pid >= MIDDLE else "altlo"
+    return ("altmid" if pid >= MIDDLE else "altlo") + ("frag" if t_len < 0.5 * q_len else "")
 
 
 def class_of_pair(pid: Column, pal: Column, q_len: Column, t_len: Column) -> Column:
     """pair_class as an expression."""
     suffix = F.when((pal >= 98) | (t_len * (100 - pal) / 100 < 9), "1").otherwise("")
     high = F.concat(F.when(t_len < 0.5 * q_len, "parthi").otherwise("althi"), suffix)
-    return (
-        F.when((pal < TINY) | (pid < LOW), None).when(t_len <= 0, "frag0aa").when(pid >= HIGH, high).when(pid >= MIDDLE, "altmid").otherwise("altlo")
-    )
+    lower = F.concat(F.when(pid >= MIDDLE, "altmid").otherwise("altlo"), F.when(t_len < 0.5 * q_len, "frag").otherwise(""))
+    return F.when((pal < TINY) | (pid < LOW), None).when(t_len <= 0, "frag0aa").when(pid >= HIGH, high).otherwise(lower)
 
 
 def percents(rows: DataFrame) -> DataFrame:
@@ -75,7 +74,7 @@ def percents(rows: DataFrame) -> DataFrame:
 
 
 def _assign(rows: pd.DataFrame) -> pd.DataFrame:
-    """First class wins, except that any may rise to althi1. The longer of a pair is its main unless classed itself."""
+    """First class wins, except that one that begins with alt may rise to althi1. The longer of a pair is its main unless classed itself."""
     rows = rows.sort_values(["q_len", "aln", "t_len", "q", "t"], ascending=[False, False, True, True, True], kind="stable")
     classes: dict[str, str] = {}
     best: dict[str, tuple[str, int, int]] = {}
@@ -88,7 +87,7 @@ def _assign(rows: pd.DataFrame) -> pd.DataFrame:
         if kind is None:
             continue
         had = classes.get(t)
-        if had in (None, "noclass") or (had not in ("main", "althi1") and kind == "althi1"):
+        if had in (None, "noclass") or (had != "althi1" and had.startswith("alt") and kind == "althi1"):
             classes[t], best[t] = kind, (q, r.pid, r.pal)
             if classes.get(q) in (None, "noclass"):
                 classes[q] = "main"

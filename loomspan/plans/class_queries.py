@@ -59,7 +59,7 @@ def _pairs(spark, sf):
 
 @query("cls11_pair_classes", "WITH p AS (" + _PAIRS + """), x AS (SELECT *, CAST(floor(100 * (0.5 + ident) / aln) AS BIGINT) AS pid, CAST(least(100, floor(100 * (0.5 + aln) / greatest(1, least(q_len, t_len)))) AS BIGINT) AS pal FROM p)
 SELECT q, t, pid, pal, CASE WHEN pal < 25 OR pid < 80 THEN NULL WHEN t_len <= 0 THEN 'frag0aa' WHEN pid >= 99 THEN (CASE WHEN t_len < 0.5 * q_len THEN 'parthi' ELSE 'althi' END) || (CASE WHEN pal >= 98 OR t_len * (100 - pal) / 100 < 9 THEN '1' ELSE '' END)
-WHEN pid >= 90 THEN 'altmid' ELSE 'altlo' END AS class FROM x""")
+ELSE (CASE WHEN pid >= 90 THEN 'altmid' ELSE 'altlo' END) || (CASE WHEN t_len < 0.5 * q_len THEN 'frag' ELSE '' END) END AS class FROM x""")
 def pair_classes(spark, sf):
     """CLS-11: class of each alignment pair from identity, share and sizes."""
     rows = c.percents(_pairs(spark, sf))

@@ -96,6 +96,13 @@ def test_drop_rule(spark):
     assert [r["id"] for r in rows.where(keep).collect()] == [1]
 
 
+def test_fragments_keep_their_suffix_and_only_alternates_rise(spark):
+    assert [classify.pair_class(*x) for x in ((95, 90, 900, 600), (95, 90, 900, 400), (85, 90, 900, 400), (99, 50, 900, 400))] == ["altmid", "altmidfrag", "altlofrag", "parthi"]
+    rows = spark.createDataFrame([(95, 90, 900, 400), (85, 90, 900, 400), (85, 90, 900, 500), (70, 90, 900, 500)], "pid long, pal long, q long, t long")
+    got = [r[0] for r in rows.select(classify.class_of_pair(*[F.col(c) for c in ("pid", "pal", "q", "t")])).collect()]
+    assert got == ["altmidfrag", "altlofrag", "altlo", None]
+
+
 def test_pair_classes(spark):
     rows = spark.createDataFrame([("x", 900, "y", 600, 594, 592), ("x", 900, "z", 400, 300, 299)], "q string, q_len long, t string, t_len long, aln long, ident long")
     got = classify.percents(rows).withColumn("c", classify.class_of_pair(F.col("pid"), F.col("pal"), F.col("q_len"), F.col("t_len"))).orderBy("t").collect()
