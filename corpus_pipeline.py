@@ -46,8 +46,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: its row repeated for its copies."""
     taken = mixing.mix(docs).where("copies > 0").select("doc_id", "copies")
-    rows = docs.join(taken, "doc_id")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    # one struct holds all of a row, so that no column of docs can clash with what is joined
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row")).join(taken, "doc_id")
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def window_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ def conversations(turns: DataFrame) -> DataFrame:
 def neighbours(turns: DataFrame) -> DataFrame:
     """Pairs for tables without preference labels: conversation 2k is chosen over 2k + 1."""
     even = turns.where(F.pmod("conv_id", F.lit(2)) == 0).select(F.col("conv_id").cast("long").alias("chosen_id")).distinct()
-    return even.select((F.col("chosen_id") / 2).cast("long").alias("pair_id"), "chosen_id", (F.col("chosen_id") + 1).alias("rejected_id"))
+    return even.select(F.expr("chosen_id div 2").alias("pair_id"), "chosen_id", (F.col("chosen_id") + 1).alias("rejected_id"))
 
 
 def _rendered(turns: Column) -> Column:

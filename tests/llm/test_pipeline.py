@@ -4,6 +4,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loomspan.llm import mixing, registry
@@ -65,6 +66,14 @@ def test_mixing_stage_repeats_rows_by_their_copies(stages):
     assert got == {d: n for d, n in copies.items() if n}
 
 
+def test_mixing_stage_allows_clashing_names(spark, stages, small):
+    docs = stages[3][0].limit(40).withColumn("copies", F.lit("c")).withColumn("_copy", F.lit(7)).withColumn("row", F.lit(1))
+    after = corpus_pipeline.source_mixing(spark, docs, small)
+    assert after.columns == docs.columns
+    rows = after.select("copies", "_copy", "row").distinct().collect()
+    assert [tuple(r) for r in rows] == [("c", 7, 1)]
+
+
 def test_packing_stage_places_every_row(stages):
     before, after = stages[4]
     assert after.where("start = 0").count() == before.count()
