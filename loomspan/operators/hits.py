@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from loomspan.session import cut
 
+from .intervals import merged
+
 _SPANS = "q string, t string, bits double, ident double, aln double, n_spans int"
 
 
@@ -126,6 +128,18 @@ def normalised(edges: DataFrame) -> DataFrame:
     return rows.select("a", "b", "s", "u", F.round(F.col("w") / mean, 3).alias("w"))
 
 
+def percent_match(rows: DataFrame) -> DataFrame:
+    """Share of the shorter sequence of each pair that its hits cover together: q, t, match (percent).
+
+    rows: q, t, q_len, t_len, qb, qe, tb, te. Equal lengths count the query; spans past a length aren't cut.
+    """
+    on_q = F.col("t_len") >= F.col("q_len")
+    side = lambda q, t: F.when(on_q, F.col(q)).otherwise(F.col(t))
+    spans = rows.select("q", "t", side("q_len", "t_len").alias("length"), side("qb", "tb").alias("begin"), side("qe", "te").alias("end"))
+    union = merged(spans, ["q", "t", "length"]).groupBy("q", "t", "length").agg(F.sum(F.col("end") - F.col("begin") + 1).alias("bases"))
+    return union.select("q", "t", (100 * F.col("bases") / F.col("length")).alias("match"))
+
+
 def clusters(edges: DataFrame, inflation: float = 1.5, rounds: int = 12, least: float = 1e-4) -> DataFrame:
     """Markov clustering of weighted edges (a, b, w): rows (node, cluster), cluster being its smallest node.
 

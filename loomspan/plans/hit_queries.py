@@ -115,6 +115,17 @@ def normalised_weights(spark, sf):
     return h.normalised(edges)
 
 
+@query("ort04_percent_match", ctes("hits", side="""SELECT q, t, CASE WHEN t_len >= q_len THEN q_len ELSE t_len END AS length, CASE WHEN t_len >= q_len THEN qb ELSE tb END AS b, CASE WHEN t_len >= q_len THEN qe ELSE te END AS e
+        FROM (SELECT h.*, 300 + o_custkey % 600 AS q_len, 400 + 300 * t AS t_len FROM hits h JOIN orders ON o_orderkey = q)""",
+    bases="SELECT DISTINCT q, t, length, unnest(generate_series(b, e)) AS base FROM side") + "SELECT q, t, 100 * count(*) / max(length) AS match FROM bases GROUP BY q, t")
+def percent_match(spark, sf):
+    """ORT-04: percent of the shorter sequence that a pair's hits cover, bases counted once."""
+    from loomspan.session import table
+
+    lengths = table(spark, sf, "orders").select(F.col("o_orderkey").alias("q"), (300 + F.col("o_custkey") % 600).alias("q_len"))
+    return h.percent_match(hits(spark, sf).join(lengths, "q").withColumn("t_len", 400 + 300 * F.col("t")))
+
+
 @query("ort08_clusters")
 def clusters(spark, sf):
     """ORT-08: Markov clusters of the ortholog graph."""

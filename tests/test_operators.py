@@ -53,6 +53,12 @@ def test_clusters_split_two_cliques(spark):
     assert got == {1: 1, 2: 1, 3: 1, 11: 11, 12: 11, 13: 11}
 
 
+def test_percent_match_on_the_shorter_sequence(spark):
+    rows = [("a", "b", 100, 200, 1, 40, 1, 100), ("a", "b", 100, 200, 21, 60, 101, 200), ("c", "d", 200, 50, 1, 100, 1, 10), ("c", "d", 200, 50, 1, 100, 41, 50)]
+    got = hits.percent_match(spark.createDataFrame(rows, "q string, t string, q_len long, t_len long, qb long, qe long, tb long, te long")).collect()
+    assert sorted(tuple(r) for r in got) == [("a", "b", 60.0), ("c", "d", 40.0)]
+
+
 def test_greedy_selection(spark):
     exons = spark.createDataFrame([(1, "c", 100, 300), (2, "c", 250, 500), (3, "c", 400, 600), (4, "c", 700, 800)], "gid long, ref string, begin long, end long")
     totals = spark.createDataFrame([(1, 90), (2, 80), (3, 70), (4, 10)], "gid long, total long")
