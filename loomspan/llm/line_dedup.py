@@ -63,7 +63,9 @@ def _sketch(docs: DataFrame) -> DataFrame:
 def _ordered(lines: DataFrame, sketch: DataFrame) -> DataFrame:
     """Adds tokens: a line's distinct words as numbers whose order is rare first, then hash."""
     # _sketch, one bounded row, is named once only: the optimiser then reads it in place and no row carries a copy
-    key = lambda h: F.shiftleft(F.get("_sketch", _bucket(h)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    # a key that can't be null lets sort_array sort plain longs
+    scale = lambda h: F.coalesce(F.get("_sketch", _bucket(h)), F.lit(0).cast("byte"))
+    key = lambda h: F.shiftleft(scale(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
     tokens = F.sort_array(F.transform(_hashes(F.col("line")), key)).alias("tokens")
     own = [c for c in lines.columns if c != "line"]
     rows = lines.select("*", sketch.scalar().alias("_sketch")).select(*own, tokens)
@@ -95,6 +97,12 @@ def _bounded(early: str, late: str, percent: int) -> Column:
     return ((100 + percent) * F.least(size_a - at_a, size_b - at_b) >= percent * (size_a + size_b)) & _alike(early, late, percent)
 
 
+def _placed(early: str, late: str, percent: int) -> Column:
+    """What sizes and places allow at any word that both lines hold: shared ones stand before it in both or behind it in both."""
+    size_a, size_b, at_a, at_b = (F.col(f"{x}.{c}") for c in ("size", "at") for x in (early, late))
+    return (100 + percent) * (F.least(at_a, at_b) + F.least(size_a - at_a, size_b - at_b)) >= percent * (size_a + size_b)
+
+
 def _exploded(classes: DataFrame) -> DataFrame:
     """One row for each word of a prefix, with its place."""
     return classes.select("doc_id", "line_no", "size", "even", "odd", F.posexplode("prefix").alias("at", "word"))
@@ -110,11 +118,13 @@ def _needed(a: Column, b: Column, percent: int) -> Column:
 
 def _blocks(classes: DataFrame, percent: int) -> DataFrame:
     """Prefix entries of words that lines of fitting sizes share, each with its block's earliest line if that may match."""
-    column = Window.partitionBy("word")
-    size, below, above = F.col("size"), F.lag("size").over(column.orderBy("size")), F.lead("size").over(column.orderBy("size"))
-    several = F.coalesce(100 * below >= percent * size, F.lit(False)) | F.coalesce(percent * above <= 100 * size, F.lit(False))
-    rows = _exploded(classes).withColumn("several", several)
-    rows = rows.withColumn("head", F.min(F.struct("doc_id", "line_no", "size", "at", "even", "odd")).over(column)).where("several")
+    # one order for all three, so that one pass of a window works them out; shuffled first, as heads are built behind the shuffle then
+    column = Window.partitionBy("word").orderBy("size")
+    whole = column.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    head = F.min(F.struct("doc_id", "line_no", "size", "at", "even", "odd")).over(whole)
+    rows = _exploded(classes).repartition("word").select("*", F.lag("size").over(column).alias("below"), F.lead("size").over(column).alias("above"), head.alias("head"))
+    size, below, above = F.col("size"), F.col("below"), F.col("above")
+    rows = rows.where(F.coalesce(100 * below >= percent * size, F.lit(False)) | F.coalesce(percent * above <= 100 * size, F.lit(False)))
     earlier = F.struct("head.doc_id", "head.line_no") < F.struct("e.doc_id", "e.line_no")
     fits = earlier & _bounded("head", "e", percent)
     heads = [F.when(fits, F.col(f"head.{c}")).alias(f"head_{c}") for c in ("doc_id", "line_no")]
@@ -145,7 +155,7 @@ def _all_pairs(entries: DataFrame, matched: DataFrame, percent: int) -> DataFram
     # both sides read both ids, so that one shuffle serves them: until is doc_id or less
     early = F.struct(F.greatest("x.doc_id", "x.until"), "x.line_no") < F.struct(F.least("y.doc_id", "y.until"), "y.line_no")
     size_a, size_b = F.col("x.size"), F.col("y.size")
-    near = (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) & _alike("x", "y", percent)
+    near = (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) & _placed("x", "y", percent) & _alike("x", "y", percent)
     rows = rows.alias("x").join(rows.alias("y"), (F.col("x.word") == F.col("y.word")) & early & near)
     ends = [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in (("x", "a"), ("y", "b")) for c in key]
     held = [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in (("x", "a"), ("y", "b")) for c in ("size", "at")]
@@ -162,7 +172,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     key = ["doc_id", "line_no"]
     ends = F.explode(F.array(*[F.struct(F.col(f"{k}_doc_id").alias("doc_id"), F.col(f"{k}_line_no").alias("line_no")) for k in "ab"])).alias("x")
     wanted = stored(pairs.select(ends).select("x.*").distinct(), "wanted")
-    lines = _lines(docs).where(maybe_in(wanted, key)).join(wanted, key)
+    # most documents have no such line and needn't be split
+    lines = _lines(docs.where(maybe_in(wanted, ["doc_id"]))).where(maybe_in(wanted, key)).join(wanted, key)
     sets = stored(lines.groupBy(*key).agg(F.min("line").alias("line")), "lines")
     for k in "ab":
         pairs = pairs.join(sets.select(*[F.col(c).alias(f"{k}_{c}") for c in (*key, "line")]), [f"{k}_doc_id", f"{k}_line_no"])
