@@ -37,10 +37,22 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component; repeated rows of it once."""
-    found = ngram_join.join(docs, NEAR_WORDS, NEAR_PERCENT)
-    firsts = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One row of each component of near copies: the one with the smallest doc_id, nulls last, ties by the text's hash.
+
+    Rows are told apart by numbers of their own, so that rows with a null doc_id and different texts of one doc_id stay
+    unless they are near copies. Of rows without words one a doc_id stays, and all with a null one.
+    """
+    # the struct holds all of a row, so that no column of docs can clash; stored, so that numbers can't change
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("n"), F.struct(*docs.columns).alias("row")), "numbered")
+    found = ngram_join.join(rows.select(F.col("n").alias("doc_id"), F.col("row.text").alias("text")), NEAR_WORDS, NEAR_PERCENT)
+    found = found.select(F.col("doc_id").alias("n"), "n_shingles", "component_id")
+    known = rows.select("n", F.col("row.doc_id").alias("id"), F.xxhash64("row.text").alias("text_key"))
+    # a row without words is its own group by number; those of one doc_id share a group below
+    members = known.join(found, "n")
+    empty = F.col("n_shingles") == 0
+    group = F.struct(F.when(~empty, F.col("component_id")).alias("component"), F.when(empty, F.col("id")).alias("id"), F.when(empty & F.col("id").isNull(), F.col("n")).alias("n"))
+    first = members.groupBy(group.alias("group")).agg(F.min(F.struct(F.col("id").isNull(), "id", "text_key", "n")).alias("first"))
+    return rows.join(first.select("first.n"), "n", "left_semi").select("row.*")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
