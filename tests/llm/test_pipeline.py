@@ -57,6 +57,23 @@ def test_near_duplicates_stage_keeps_one_of_each_component(stages):
     assert all(before[d] == t for d, t in after.items())
 
 
+def test_near_duplicates_stage_keeps_rows_that_ids_cant_tell_apart(spark, small):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        (None, text), (7, text + " end"), (7, text), (3, "one text of three with words"), (3, "another text that shares its id"),
+        (None, "no id but words of its own here"), (None, "no id but words of its own here"), (4, None), (4, ""), (None, None), (None, " "),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)).withColumn("row", F.lit("r"))
+    after = corpus_pipeline.near_duplicates(spark, docs, small)
+    assert after.columns == docs.columns
+    got = sorted(((r["doc_id"], (r["text"] or "").strip()) for r in after.collect()), key=str)
+    # either text of 7 may stand for its component: the hash decides
+    assert {x for x in got if x[0] == 7} <= {(7, text), (7, text + " end")} and sum(x[0] == 7 for x in got) == 1
+    assert [x for x in got if x[0] != 7] == sorted(
+        [(3, rows[3][1]), (3, rows[4][1]), (None, rows[5][1]), (4, ""), (None, ""), (None, "")], key=str
+    )
+
+
 def test_mixing_stage_repeats_rows_by_their_copies(stages):
     before, after = stages[3]
     copies = {r["doc_id"]: r["copies"] for r in mixing.mix(before).collect()}
