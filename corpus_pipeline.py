@@ -36,14 +36,18 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return _like(docs, rows.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Rows (n, row): a number of its own and one struct of all columns, so that none can clash; stored, so that n can't change."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("n"), F.struct(*docs.columns).alias("row")), "numbered")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near copies: the one with the smallest doc_id, nulls last, ties by the text's hash.
 
     Rows are told apart by numbers of their own, so that rows with a null doc_id and different texts of one doc_id stay
     unless they are near copies. Of rows without words one a doc_id stays, and all with a null one.
     """
-    # the struct holds all of a row, so that no column of docs can clash; stored, so that numbers can't change
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("n"), F.struct(*docs.columns).alias("row")), "numbered")
+    rows = _numbered(docs)
     found = ngram_join.join(rows.select(F.col("n").alias("doc_id"), F.col("row.text").alias("text")), NEAR_WORDS, NEAR_PERCENT)
     found = found.select(F.col("doc_id").alias("n"), "n_shingles", "component_id")
     known = rows.select("n", F.col("row.doc_id").alias("id"), F.xxhash64("row.text").alias("text_key"))
@@ -56,11 +60,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: its row repeated for its copies."""
-    taken = mixing.mix(docs).where("copies > 0").select("doc_id", "copies")
-    # one struct holds all of a row, so that no column of docs can clash with what is joined
-    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row")).join(taken, "doc_id")
-    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
+    """Each document as often as the mix takes it: its row repeated for its copies.
+
+    Copies are joined by the rows' own numbers: rows with a null doc_id stay, and those of one doc_id don't multiply.
+    """
+    rows = _numbered(docs)
+    taken = mixing.mix(rows.select("row.doc_id", "row.source", "row.text", "n"), columns=("n",)).where("copies > 0").select("n", "copies")
+    return rows.join(taken, "n").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def window_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
