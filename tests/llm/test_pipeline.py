@@ -91,6 +91,16 @@ def test_mixing_stage_allows_clashing_names(spark, stages, small):
     assert [tuple(r) for r in rows] == [("c", 7, 1)]
 
 
+def test_mixing_stage_keeps_rows_that_ids_cant_tell_apart(spark, small):
+    rows = [(i // 2 if i % 3 else None, f"row {i} of a source with words", "a" if i % 2 else None) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    copies = {r["text"]: r["copies"] for r in mixing.mix(docs, columns=("text",)).collect()}
+    got = {}
+    for r in corpus_pipeline.source_mixing(spark, docs, small).collect():
+        got[r["text"]] = got.get(r["text"], 0) + 1
+    assert got == {t: n for t, n in copies.items() if n} and any("row 0 " in t for t in copies)
+
+
 def test_packing_stage_places_every_row(stages):
     before, after = stages[4]
     assert after.where("start = 0").count() == before.count()
