@@ -73,6 +73,26 @@ def op10_mixing(spark, sf_dir):
     return mix(_docs(spark, sf_dir))
 
 
+def op11_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    from .bpe import round_trip
+
+    return round_trip(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op12_source_divergence(spark, sf_dir):
+    from .divergence import audit
+
+    return audit(_docs(spark, sf_dir))
+
+
+def op13_vector_codes(spark, sf_dir):
+    from .codes import compress
+
+    return compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict:
     import corpus_pipeline
 
@@ -81,6 +101,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    from . import chat
+    from . import chat, codes, divergence
 
-    return {"op4_chat_formatting": chat.ORACLE_SQL}
+    return {"op4_chat_formatting": chat.ORACLE_SQL, "op12_source_divergence": divergence.ORACLE_SQL, "op13_vector_codes": codes.ORACLE_SQL}

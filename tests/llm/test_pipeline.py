@@ -111,7 +111,8 @@ def test_packing_stage_places_every_row(stages):
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_registered_sql_matches(spark, medium, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{medium}/conversations.parquet'")
+    for table in ("conversations", "documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{medium}/{table}.parquet'")
     found = con.execute(registry.oracle_sql()[name])
     columns = [c[0] for c in found.description]
     want = sorted(tuple(str(x) for x in r) for r in found.fetchall())
