@@ -51,8 +51,38 @@ def overlap_pairs(
     return p.join(b, on).drop("bin").withColumn("overlap", F.greatest(shared, F.lit(0)))
 
 
-def islands(df: DataFrame, keys: list[str], begin: str = "begin", end: str = "end", gap: int = 0) -> DataFrame:
-    """Adds island: a number per keys, rows whose spans touch or lie at most gap bases apart sharing one."""
+def running(df: DataFrame, keys: list[str], place: list[str], begin: str, block: int, sums: dict[str, Column] | None = None, most: dict[str, Column] | None = None) -> DataFrame:
+    """Adds running totals before each row of its keys, in order of place: of sums (names with what they add up) and of most (highest values).
+
+    Rows are dealt by keys and block, begin div block, so that no task has to hold one key's rows: windows run within a
+    block, and a window over one row a block carries what the blocks before hold. place begins with begin.
+    """
+    sums, most = sums or {}, most or {}
+    rows = df.withColumn("_block", F.floor(F.col(begin) / block))
+    within = Window.partitionBy(*keys, "_block").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    over = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*keys, "_block").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()], *[F.max(c).alias(f"_{n}") for n, c in most.items()])
+    carried = totals.select(*keys, "_block", *[F.sum(f"_{n}").over(over).alias(f"_{n}") for n in sums], *[F.max(f"_{n}").over(over).alias(f"_{n}") for n in most])
+    rows = rows.withColumns({n: F.sum(c).over(within) for n, c in sums.items()} | {n: F.max(c).over(within) for n, c in most.items()})
+    left, right = rows.alias("l"), carried.alias("r")
+    on = F.col("l._block") == F.col("r._block")
+    for k in keys:
+        on &= F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    both = {n: F.coalesce(F.col(f"l.{n}") + F.col(f"r._{n}"), F.col(f"l.{n}"), F.col(f"r._{n}"), F.lit(0)) for n in sums}
+    both |= {n: F.greatest(f"l.{n}", f"r._{n}") for n in most}
+    return left.join(right, on).select(*[F.col(f"l.{c}") for c in df.columns], *[c.alias(n) for n, c in both.items()])
+
+
+def islands(df: DataFrame, keys: list[str], begin: str = "begin", end: str = "end", gap: int = 0, block: int | None = None) -> DataFrame:
+    """Adds island: a number per keys, rows whose spans touch or lie at most gap bases apart sharing one.
+
+    block: deal a key's rows by so many bases, for keys that hold more rows than a task should (a whole scaffold).
+    """
+    if block is not None:
+        rows = running(df, keys, [begin, end], begin, block, most={"_before": F.col(end)})
+        rows = rows.withColumn("_new", F.when(F.col("_before").isNull() | (F.col(begin) > F.col("_before") + 1 + gap), 1).otherwise(0))
+        rows = running(rows, keys, [begin, end, F.desc("_new")], begin, block, sums={"_starts": F.col("_new")})
+        return rows.withColumn("island", F.col("_starts") + F.col("_new")).drop("_before", "_new", "_starts")
     earlier = Window.partitionBy(*keys).orderBy(begin, end)
     before = F.max(end).over(earlier.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(before.isNull() | (F.col(begin) > before + 1 + gap), 1).otherwise(0)

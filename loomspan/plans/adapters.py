@@ -57,6 +57,19 @@ def exons(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    """Transcripts of loci: ten order keys share a locus and its exon places; lines leave exons out or lengthen them. As exons, kind by exon_no."""
+    rows = table(spark, sf, "lineitem").withColumn("exon_no", F.expr(_LINES).cast("long"))
+    locus = F.floor(F.col("l_orderkey") / 10)
+    base = F.floor(locus / 50) * 5000 + F.col("exon_no") * 500
+    long_quantity = F.col("l_quantity").cast("long")
+    return rows.where(long_quantity % 6 != 0).select(
+        F.col("l_orderkey").alias("gid"), F.concat(F.lit("c"), (locus % 50).cast("string")).alias("ref"), F.when(locus % 2 == 0, "-").otherwise("+").alias("strand"), "exon_no",
+        (base + F.when(F.col("l_partkey") % 5 == 0, 1).otherwise(41)).alias("begin"), (base + F.when(F.col("l_suppkey") % 5 == 0, 320).otherwise(240)).alias("end"),
+        F.when(F.col("exon_no") == 1, "exon").otherwise("CDS").alias("kind"), long_quantity.alias("score"),
+    )
+
+
 def hits(spark: SparkSession, sf: str) -> DataFrame:
     """Alignment hits: q, t, qb, qe, tb, te, aln, ident, bits, evalue, row_no."""
     rows = table(spark, sf, "lineitem")
@@ -68,6 +81,20 @@ def hits(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def genome_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """Hits of proteins on scaffolds: q, ref, strand, qb, qe, tb, te, aln, ident, bits, row_no. Places in stretches of 30,000 bases follow the query."""
+    rows = table(spark, sf, "lineitem").withColumn("line", F.expr(_LINES).cast("long"))
+    aln, tb = F.col("l_quantity").cast("long"), (F.col("l_orderkey") * 37 + F.col("line") * 1009) % 2_000_000
+    minus = F.col("l_suppkey") % 2 == 1
+    along = F.floor(tb % 30_000 / 60)
+    qb = F.when(minus, 500 - along).otherwise(along) + 1
+    return rows.select(
+        (F.col("l_partkey") % 997).alias("q"), F.concat(F.lit("c"), (F.col("l_suppkey") % 7).cast("string")).alias("ref"), F.when(minus, "-").otherwise("+").alias("strand"),
+        qb.alias("qb"), (qb + aln).alias("qe"), (tb + 1).alias("tb"), (tb + 3 * aln).alias("te"), aln.alias("aln"), (aln - F.floor(F.col("l_discount") * 100 + 0.5)).alias("ident"),
+        F.floor(F.col("l_extendedprice") / 100).alias("bits"), (F.col("l_orderkey") * 10 + F.col("line")).alias("row_no"),
+    )
+
+
 def sequences(spark: SparkSession, sf: str) -> DataFrame:
     """Nucleotide sequences from texts: letters stand for bases, all else goes. id, seq, source."""
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -110,6 +137,9 @@ SQL = {
         SELECT l_orderkey AS gid, concat('c', l_orderkey % 50) AS ref, CASE WHEN l_orderkey % 3 = 0 THEN '-' ELSE '+' END AS strand, exon_no,
         (l_orderkey // 50) * 2000 + exon_no * 300 + l_partkey % 100 AS b, CAST(l_quantity AS BIGINT) AS q, CAST(floor(l_extendedprice) AS BIGINT) AS score, l_suppkey AS supp
         FROM (SELECT *, {_LINES} AS exon_no FROM lineitem))""",
+    "transcripts": f"""SELECT l_orderkey AS gid, concat('c', (l_orderkey // 10) % 50) AS ref, CASE WHEN (l_orderkey // 10) % 2 = 0 THEN '-' ELSE '+' END AS strand, exon_no,
+        (l_orderkey // 500) * 5000 + exon_no * 500 + CASE WHEN l_partkey % 5 = 0 THEN 1 ELSE 41 END AS b, (l_orderkey // 500) * 5000 + exon_no * 500 + CASE WHEN l_suppkey % 5 = 0 THEN 320 ELSE 240 END AS e,
+        CASE WHEN exon_no = 1 THEN 'exon' ELSE 'CDS' END AS kind, CAST(l_quantity AS BIGINT) AS score FROM (SELECT *, {_LINES} AS exon_no FROM lineitem) WHERE CAST(l_quantity AS BIGINT) % 6 <> 0""",
     "hits": f"""SELECT l_orderkey AS q, l_suppkey % 3 AS t, l_partkey % 400 + 1 AS qb, l_partkey % 400 + 1 + CAST(l_quantity AS BIGINT) * 2 AS qe,
         (l_partkey * 7) % 400 + 1 AS tb, (l_partkey * 7) % 400 + 1 + CAST(l_quantity AS BIGINT) * 2 AS te, CAST(l_quantity AS BIGINT) AS aln,
         CAST(l_quantity AS BIGINT) - CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS ident, CAST(floor(l_extendedprice / 100) AS BIGINT) AS bits, {_LINES} AS row_no FROM lineitem""",
