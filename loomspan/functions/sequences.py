@@ -71,10 +71,10 @@ def sizes(seq: Column) -> list[Column]:
 _ORF = "array<struct<strand: string, frame: int, begin: int, end: int, complete: string, aa: int, xs: int>>"
 
 
-def _frames(seq: str, least: int) -> list[tuple]:
-    """Reading frames of both strands: from a start (or the sequence's head) to a stop (or its tail)."""
+def _frames(seq: str, least: int, strands: str = "+-") -> list[tuple]:
+    """Reading frames of the strands: from a start (or the sequence's head) to a stop (or its tail)."""
     out = []
-    for strand in "+-":
+    for strand in strands:
         s = seq if strand == "+" else seq[::-1].translate(str.maketrans("ACGT", "TGCA"))
         for frame in range(3):
             head, start = True, frame

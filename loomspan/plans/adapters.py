@@ -102,6 +102,17 @@ def sequences(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), bases.alias("seq"), "source")
 
 
+def scaffold_genes(spark: SparkSession, sf: str) -> DataFrame:
+    """Genes on the sequences, taken as scaffolds: one in 700 bases, of up to four exons. gid, exon_no, ref, strand, begin, end, kind, score."""
+    rows = sequences(spark, sf).select(F.col("id").alias("ref"), F.length("seq").alias("size")).where("ref is not null and size > 300")
+    rows = rows.select("ref", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 300) / 700))).alias("g"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(4).cast("long"))).alias("exon_no"))
+    mark = F.col("ref") + F.col("g") * 7 + F.col("exon_no") * 3
+    begin = F.col("g") * 700 + F.col("exon_no") * 150 - 60 + mark % 29
+    rows = rows.select((F.col("ref") * 1000 + F.col("g")).alias("gid"), "exon_no", "ref", F.substring(F.lit("+-."), ((F.col("ref") + F.col("g")) % 3 + 1).cast("int"), F.lit(1)).alias("strand"), begin.alias("begin"), (begin + 90 + mark % 53).alias("end"), F.lit("exon").alias("kind"), F.lit(0).alias("score"), "size")
+    return rows.where("end <= size").drop("size")
+
+
 def members(spark: SparkSession, sf: str) -> DataFrame:
     """Members of gene groups: gene, species, grp, size."""
     return table(spark, sf, "customer").select(

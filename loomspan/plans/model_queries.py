@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomspan.operators import alternates, models
+from loomspan.operators import alternates, models, repair
 
-from .adapters import ctes, genome_hits, transcripts
+from .adapters import ctes, genome_hits, scaffold_genes, sequences, transcripts
 from .registry import query
 
 _ALTERNATES = ctes(
@@ -51,3 +51,10 @@ def pick_alternates(spark, sf):
 def models_from_hits(spark, sf):
     """JOB-01 and WIN-10: gene models stitched from the hits of every query."""
     return models.gene_models(models.stitch(genome_hits(spark, sf)))
+
+
+@query("job02_repaired_genes")
+def repaired_genes(spark, sf):
+    """JOB-02 and SEQ-19: genes on scaffolds with their edges, gaps, ends and strands mended, and where their frames lie."""
+    scaffolds = sequences(spark, sf).where("id is not null").select(F.col("id").alias("ref"), "seq")
+    return repair.repair(scaffold_genes(spark, sf), scaffolds).withColumnRenamed("end", "stop")
