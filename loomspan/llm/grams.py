@@ -1,7 +1,9 @@
 """Word and n-gram hashes of Arrow text columns, whole batches at a time with numpy.
 
-A word's hash is a polynomial over its bytes modulo 2**64, taken from prefix sums, then mixed. An n-gram's
-hash is the same over its words' hashes. Both depend on content alone, so every task computes the same.
+A word's hash mixes three polynomials over its bytes, taken from prefix sums: one modulo 2**64, two modulo the prime
+2**31 - 1. Modulo a power of two alone, texts that alternate two parts in Thue-Morse order collide whatever the base; modulo
+a prime they don't. An n-gram's hash is the same over its words' hashes. Both depend on content alone, so every task
+computes the same.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _R1, _R2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_PRIME, _BASES = np.uint64((1 << 31) - 1), (1_103_515_245, 1_812_433_253)
+_prime_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -33,6 +37,36 @@ def _pow(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def _pow_prime(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo the prime for i < n."""
+    have = _prime_powers.get(base)
+    if have is None or len(have[0]) < n:
+        size = max(1 << 16, 1 << (n - 1).bit_length())
+        both = []
+        for b in (base, pow(base, -1, int(_PRIME))):
+            run, m = np.ones(size, np.uint64), 1
+            while m < size:  # what is known, times the next power, doubles it
+                run[m : 2 * m] = run[:m] * np.uint64(pow(b, m, int(_PRIME))) % _PRIME
+                m *= 2
+            both.append(run)
+        have = _prime_powers[base] = (both[0], both[1])
+    return have
+
+
+def _runs(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: np.uint64) -> np.ndarray:
+    """Hashes of the runs start:end of values, which may be any 64-bit words."""
+    up, down = _pow(base, len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    out = (sums[end] - sums[start]) * down[start]
+    small, lanes = values % _PRIME, []
+    for b in _BASES:
+        up, down = _pow_prime(b, len(values) + 1)
+        np.cumsum(small * up[: len(values)] % _PRIME, out=sums[1:])
+        lanes.append((sums[end] - sums[start]) % _PRIME * down[start] % _PRIME)
+    return out ^ mix(lanes[0] << np.uint64(32) | lanes[1])
+
+
 def _byte_codes(lower: bool) -> np.ndarray:
     codes = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
     if lower:
@@ -77,10 +111,7 @@ class Words:
         self.begin = np.flatnonzero(inside & (~before | edge[:-1]))
         self.end = np.flatnonzero(inside & (~after | edge[1:])) + 1
         self.first = np.searchsorted(self.begin, offsets)
-        up, down = _pow(_R1, len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_byte_codes(lower)[self.data] * up[: len(self.data)], out=sums[1:])
-        self.hashes = mix((sums[self.end] - sums[self.begin]) * down[self.begin] + (self.end - self.begin).astype(np.uint64))
+        self.hashes = mix(_runs(_byte_codes(lower)[self.data], self.begin, self.end, _R1) + (self.end - self.begin).astype(np.uint64))
         self.count = np.diff(self.first)
 
     def rows(self) -> np.ndarray:
@@ -97,7 +128,4 @@ class Words:
 
     def spans(self, start: np.ndarray, end: np.ndarray, base: np.uint64 = _R2) -> np.ndarray:
         """Hashes of the word runs start:end."""
-        up, down = _pow(base, len(self.hashes) + 1)
-        sums = np.zeros(len(self.hashes) + 1, np.uint64)
-        np.cumsum(self.hashes * up[: len(self.hashes)], out=sums[1:])
-        return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _R1)
+        return mix(_runs(self.hashes, start, end, base) + (end - start).astype(np.uint64) * _R1)
