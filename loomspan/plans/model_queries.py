@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomspan.operators import alternates, models, repair
+from loomspan.operators import alternates, models, repair, splits
+from loomspan.operators.intervals import overlap_pairs
 
-from .adapters import ctes, genome_hits, scaffold_genes, sequences, transcripts
+from .adapters import ctes, evidence, genome_hits, scaffold_genes, sequences, transcripts
 from .registry import query
 
 _ALTERNATES = ctes(
@@ -58,3 +59,47 @@ def repaired_genes(spark, sf):
     """JOB-02 and SEQ-19: genes on scaffolds with their edges, gaps, ends and strands mended, and where their frames lie."""
     scaffolds = sequences(spark, sf).where("id is not null").select(F.col("id").alias("ref"), "seq")
     return repair.repair(scaffold_genes(spark, sf), scaffolds).withColumnRenamed("end", "stop")
+
+
+_SPLITS = ctes(
+    "transcripts",
+    "evidence",
+    gaps="SELECT gid, ref, strand, e + 1 AS ib, lead(b) OVER (PARTITION BY gid ORDER BY b, e) - 1 AS ie FROM transcripts",
+    places="SELECT ref, strand, ib, ie, count(*) AS support, ib || '_' || ie AS intron FROM gaps WHERE ie >= ib GROUP BY ALL HAVING count(*) > 1",
+    numbered="SELECT *, row_number() OVER (PARTITION BY gid ORDER BY b, e, exon_no) AS x, count(*) OVER (PARTITION BY gid) AS nx FROM transcripts",
+    keyed="""SELECT x.gid, x.x, list(DISTINCT p.intron) AS ids, sum(CASE WHEN p.support % 7 = 6 THEN -p.support ELSE p.support END) AS value
+      FROM numbered x JOIN places p ON x.ref = p.ref AND x.strand = p.strand AND (x.b - 1 = p.ie OR x.e + 1 = p.ib) GROUP BY ALL""",
+    laid="""SELECT n.gid, n.x, n.nx, k.ids, k.value, coalesce(list_has_any(k.ids, lag(k.ids) OVER (PARTITION BY n.gid ORDER BY n.x)), false) AS joined
+      FROM numbered n LEFT JOIN keyed k USING (gid, x)""",
+    runs="SELECT gid, x, sum(CASE WHEN joined THEN 0 ELSE 1 END) OVER (PARTITION BY gid ORDER BY x) AS run FROM laid WHERE ids IS NOT NULL",
+    links="""SELECT DISTINCT x.gid, x.x, 0 AS kind, CAST(v.id AS VARCHAR) AS id FROM numbered x JOIN evidence v ON x.ref = v.ref AND x.b <= v.e AND x.e >= v.b
+      AND (x.strand = v.strand OR v.strand = '.') UNION ALL SELECT gid, x, 1, lpad(CAST(run AS VARCHAR), 6, '0') FROM runs""",
+    held="SELECT *, count(*) OVER (PARTITION BY gid, kind, id) AS held FROM links",
+    best="SELECT gid, x, kind, id FROM held QUALIFY row_number() OVER (PARTITION BY gid, x ORDER BY held DESC, kind, id) = 1",
+    parts="SELECT gid, kind, id, list_sort(list(x)) AS xs, count(*) AS n FROM best GROUP BY gid, kind, id",
+    ranked="SELECT *, row_number() OVER w AS rank, sum(n) OVER w - n AS before FROM parts WINDOW w AS (PARTITION BY gid ORDER BY n DESC, kind, id)",
+    genes="SELECT gid, nx, count(*) FILTER (WHERE value > 0) AS good, count(*) FILTER (WHERE value < 0) AS bad, count(*) FILTER (WHERE joined) AS joins, list(x - 1) FILTER (WHERE NOT joined) AS loose FROM laid GROUP BY gid, nx",
+    graded="""SELECT *, CASE WHEN good = 0 AND bad = 0 THEN 'none' WHEN bad > 0 THEN 'poor' WHEN nx > 2 AND good = nx AND joins + 1 = nx THEN 'complete'
+      WHEN nx > 3 AND good >= nx - 2 AND (joins >= nx - 3 OR joins > 0.75 * nx) THEN CASE WHEN len(list_filter(loose, lambda k: k BETWEEN CASE WHEN joins > 8 THEN 3 ELSE 2 END AND nx - CASE WHEN joins > 8 THEN 3 ELSE 2 END)) > 0 THEN 'miss_inner' ELSE 'complete_inner' END
+      WHEN good > 0 AND joins > 0 THEN CASE WHEN good / nx > 0.66 THEN 'good' ELSE 'ok' END ELSE 'poor' END AS quality FROM genes""",
+    told="""SELECT g.gid, g.nx, g.quality, count(r.rank) AS chains, max(n) FILTER (WHERE rank = 1) AS n1, any_value(xs) FILTER (WHERE rank = 1) AS main, coalesce(sum(n) FILTER (WHERE rank > 1 AND before < g.nx), 0) AS more,
+      coalesce(sum(n) FILTER (WHERE rank > 1 AND before < g.nx AND kind = 0), 0) AS more_evidence, min(xs[1]) AS lowest, max(xs[-1]) AS highest, string_agg(array_to_string(xs, ','), ';' ORDER BY rank) FILTER (WHERE rank > 1) AS others
+      FROM graded g LEFT JOIN ranked r ON r.gid = g.gid GROUP BY g.gid, g.nx, g.quality""",
+    seen="SELECT *, lowest > 1 OR highest < nx AS open_end, main[-1] - main[1] + 1 = n1 AS row FROM told",
+    coded="""SELECT *, CASE WHEN chains = 0 THEN 'N0' WHEN n1 >= nx OR nx = 1 OR (nx > 5 AND n1 = nx - 1 AND open_end) THEN 'C1' WHEN nx < 3 OR n1 = 1 OR n1 < 0.2 * nx THEN 'EP3'
+      WHEN chains > 1 AND nx > 3 AND (n1 + more) / nx < 0.75 THEN 'EP3' WHEN chains > 1 AND more < 2 AND n1 > 1 AND nx > 3 AND row THEN 'C1T1'
+      WHEN chains > 1 AND more > 1 AND more_evidence <= 1 THEN 'IJ4' WHEN chains > 1 AND more > 1 AND contains(quality, 'complete') THEN 'EM4' WHEN chains > 1 AND more > 1 THEN 'J2'
+      WHEN chains = 1 AND nx > 3 AND n1 = nx - 1 AND open_end THEN 'C1' WHEN chains = 1 AND nx > 3 AND n1 / nx < 0.75 THEN 'EP3'
+      WHEN nx > 3 AND n1 > 0.74 * nx AND row THEN 'EM4' ELSE 'ER2' END AS code FROM seen""",
+) + """SELECT gid, code, CASE code WHEN 'N0' THEN 0 WHEN 'C1' THEN 99 WHEN 'J2' THEN -99 WHEN 'C1T1' THEN 69 WHEN 'IJ4' THEN -9 WHEN 'ER2' THEN -2 WHEN 'EP3' THEN -1 ELSE 9 END AS score,
+    nx, coalesce(array_to_string(main, ','), '') AS main, coalesce(others, '') AS others, quality FROM coded"""
+
+
+@query("agg23_join_check", _SPLITS)
+def join_check(spark, sf):
+    """AGG-23: codes of joins and splits of all transcripts, from introns that two or more of them have and from evidence spans."""
+    xs = transcripts(spark, sf)
+    places = alternates.shared_introns(xs).where("support > 1").withColumn("support", F.when(F.col("support") % 7 == 6, -F.col("support")).otherwise(F.col("support")))
+    found = overlap_pairs(xs.select("gid", "exon_no", "ref", "begin", "end", "strand"), evidence(spark, sf), strand="same")
+    ids = found.select(F.col("p_gid").alias("gid"), F.col("p_exon_no").alias("exon_no"), F.col("b_id").cast("string").alias("id"))
+    return splits.join_check(xs, ids, alternates.splice_sites(xs, places))
