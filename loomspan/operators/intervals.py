@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspan.session import cut
+
 BIN = 1000
 
 
@@ -58,7 +60,7 @@ def running(df: DataFrame, keys: list[str], place: list[str], begin: str, block:
     block, and a window over one row a block carries what the blocks before hold. place begins with begin.
     """
     sums, most = sums or {}, most or {}
-    rows = df.withColumn("_block", F.floor(F.col(begin) / block))
+    rows = cut(df.withColumn("_block", F.floor(F.col(begin) / block)))  # read twice below
     within = Window.partitionBy(*keys, "_block").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     over = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(*keys, "_block").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()], *[F.max(c).alias(f"_{n}") for n, c in most.items()])
@@ -89,9 +91,9 @@ def islands(df: DataFrame, keys: list[str], begin: str = "begin", end: str = "en
     return df.withColumn("_new", new).withColumn("island", F.sum("_new").over(earlier.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-def merged(df: DataFrame, keys: list[str], begin: str = "begin", end: str = "end", gap: int = 0) -> DataFrame:
-    """Union of spans per keys: begin, end and the number of spans in each."""
-    rows = islands(df, keys, begin, end, gap).groupBy(*keys, "island")
+def merged(df: DataFrame, keys: list[str], begin: str = "begin", end: str = "end", gap: int = 0, block: int | None = None) -> DataFrame:
+    """Union of spans per keys: begin, end and the number of spans in each. block: as in islands."""
+    rows = islands(df, keys, begin, end, gap, block).groupBy(*keys, "island")
     return rows.agg(F.min(begin).alias(begin), F.max(end).alias(end), F.count("*").alias("spans")).drop("island")
 
 
@@ -105,8 +107,8 @@ def union_bases(pairs: DataFrame, keys: list[str]) -> DataFrame:
 def difference(probe: DataFrame, build: DataFrame, key: str, size: int = BIN) -> DataFrame:
     """Pieces of each probe outside all build spans: piece number, pieces, begin, end and length."""
     pairs = overlap_pairs(probe, build, size)
-    cut = pairs.select(F.col(f"p_{key}").alias(key), F.greatest("p_begin", "b_begin").alias("begin"), F.least("p_end", "b_end").alias("end"))
-    cuts = merged(cut, [key])
+    clipped = pairs.select(F.col(f"p_{key}").alias(key), F.greatest("p_begin", "b_begin").alias("begin"), F.least("p_end", "b_end").alias("end"))
+    cuts = merged(clipped, [key])
     edges = probe.select(key, (F.col("begin") - 1).alias("end"), F.col("begin"), F.col("end").alias("stop"))
     points = cuts.select(key, F.col("begin").alias("from"), "end").unionByName(edges.select(key, F.col("begin").alias("from"), "end"))
     order = Window.partitionBy(key).orderBy("end", "from")
@@ -120,13 +122,17 @@ def difference(probe: DataFrame, build: DataFrame, key: str, size: int = BIN) ->
     )
 
 
-def coverage(df: DataFrame, keys: list[str], value: str | Column = "score") -> DataFrame:
-    """Step function of summed values: maximal runs of constant sum, zero runs left out."""
+def coverage(df: DataFrame, keys: list[str], value: str | Column = "score", block: int | None = None) -> DataFrame:
+    """Step function of summed values: maximal runs of constant sum, zero runs left out. block: as in islands."""
     value = F.col(value) if isinstance(value, str) else value
     points = df.select(*keys, F.explode(F.array(F.struct(F.col("begin").alias("at"), value.alias("d")), F.struct((F.col("end") + 1).alias("at"), (-value).alias("d")))).alias("x"))
     points = points.groupBy(*keys, F.col("x.at").alias("at")).agg(F.sum("x.d").alias("d")).where("d <> 0")
-    order = Window.partitionBy(*keys).orderBy("at")
-    rows = points.withColumn("value", F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("next", F.lead("at").over(order))
+    if block is None:
+        order = Window.partitionBy(*keys).orderBy("at")
+        rows = points.withColumn("value", F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("next", F.lead("at").over(order))
+    else:  # the sum so far, less the change at the next point, is looked at from there
+        rows = running(points, keys, ["at"], "at", block, sums={"value": F.col("d")}, most={"next": F.col("at")})
+        rows = rows.select(*keys, F.col("next").alias("at"), "value", F.col("at").alias("next")).where("at is not null")
     return rows.where("value <> 0 and next is not null").select(*keys, F.col("at").alias("begin"), (F.col("next") - 1).alias("end"), "value")
 
 

@@ -113,6 +113,18 @@ def scaffold_genes(spark: SparkSession, sf: str) -> DataFrame:
     return rows.where("end <= size").drop("size")
 
 
+def stranded_introns(spark: SparkSession, sf: str) -> DataFrame:
+    """Introns in stretches of 10,000 bases with 15,000 between, most stretches of one strand: ref, strand, begin, end, score."""
+    place = (F.col("o_orderkey") * 61) % 1_000_000
+    begin = F.floor(place / 10_000) * 25_000 + place % 10_000 + 1
+    kind, odd = F.floor(place / 7_000) % 5, F.col("o_custkey") % 2 == 1
+    minus = F.when(kind < 2, False).when(kind < 4, True).otherwise(odd)
+    return table(spark, sf, "orders").select(
+        F.concat(F.lit("c"), (F.col("o_custkey") % 20).cast("string")).alias("ref"), F.when(minus, "-").otherwise("+").alias("strand"),
+        begin.alias("begin"), (begin + 50 + F.col("o_custkey") % 700).alias("end"), (F.floor("o_totalprice") % 4 + 1).alias("score"),
+    )
+
+
 def members(spark: SparkSession, sf: str) -> DataFrame:
     """Members of gene groups: gene, species, grp, size."""
     return table(spark, sf, "customer").select(
@@ -155,6 +167,9 @@ SQL = {
         (l_partkey * 7) % 400 + 1 AS tb, (l_partkey * 7) % 400 + 1 + CAST(l_quantity AS BIGINT) * 2 AS te, CAST(l_quantity AS BIGINT) AS aln,
         CAST(l_quantity AS BIGINT) - CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS ident, CAST(floor(l_extendedprice / 100) AS BIGINT) AS bits, {_LINES} AS row_no FROM lineitem""",
     "sequences": """SELECT doc_id AS id, regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ', repeat('ACGT', 13)), '[^ACGT]+', '', 'g') AS seq, source FROM documents""",
+    "stranded_introns": """SELECT concat('c', o_custkey % 20) AS ref, CASE WHEN place // 7000 % 5 < 2 THEN '+' WHEN place // 7000 % 5 < 4 THEN '-' WHEN o_custkey % 2 = 1 THEN '-' ELSE '+' END AS strand,
+        place // 10000 * 25000 + place % 10000 + 1 AS b, place // 10000 * 25000 + place % 10000 + 51 + o_custkey % 700 AS e, CAST(floor(o_totalprice) AS BIGINT) % 4 + 1 AS score
+        FROM (SELECT *, o_orderkey * 61 % 1000000 AS place FROM orders)""",
     "members": "SELECT c_custkey AS gene, CAST(c_nationkey AS BIGINT) AS species, c_custkey % 300 AS grp, CAST(floor(abs(c_acctbal)) AS BIGINT) + 100 AS size FROM customer",
     "reads": "SELECT user_id AS feature, event_type AS grp, value, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS pos, event_id FROM events",
     "once": """SELECT x, y, p + CASE WHEN (x - y) % 40 = 0 THEN 60 ELSE 0 END AS p FROM (SELECT l_partkey % 400 AS x, (l_orderkey * 7 + l_suppkey) % 400 AS y,

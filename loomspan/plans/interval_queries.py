@@ -81,14 +81,14 @@ numbered AS (SELECT *, sum(new) OVER (PARTITION BY ref ORDER BY b, e, id ROWS UN
 SELECT ref, min(b) AS begin, max(e) AS stop, count(*) AS spans FROM numbered GROUP BY ref, island""")
 def merge(spark, sf):
     """AGG-10: union of evidence spans."""
-    return iv.merged(evidence(spark, sf), ["ref"]).select("ref", "begin", F.col("end").alias("stop"), "spans")
+    return iv.merged(evidence(spark, sf), ["ref"], block=50_000).select("ref", "begin", F.col("end").alias("stop"), "spans")
 
 
 @query("agg11_coverage", ctes("features") + """, points AS (SELECT ref, pos, sum(d) AS d FROM (SELECT ref, b AS pos, score AS d FROM features UNION ALL SELECT ref, e + 1, -score FROM features) GROUP BY ref, pos HAVING sum(d) <> 0)
 SELECT ref, pos AS begin, nxt - 1 AS stop, CAST(v AS BIGINT) AS value FROM (SELECT ref, pos, lead(pos) OVER (PARTITION BY ref ORDER BY pos) AS nxt, sum(d) OVER (PARTITION BY ref ORDER BY pos) AS v FROM points) WHERE v <> 0 AND nxt IS NOT NULL""")
 def coverage(spark, sf):
     """AGG-11 and SNK-04: step function of summed scores."""
-    return iv.coverage(features(spark, sf), ["ref"]).select("ref", "begin", F.col("end").alias("stop"), "value")
+    return iv.coverage(features(spark, sf), ["ref"], block=50_000).select("ref", "begin", F.col("end").alias("stop"), "value")
 
 
 @query("agg19_base_accuracy", _with_spans() + """, found AS (SELECT coalesce(sum(e - b + 1), 0) AS hit FROM spans), predicted AS (SELECT sum(e - b + 1) AS bases, count(*) AS n FROM features),

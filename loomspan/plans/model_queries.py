@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomspan.operators import alternates, models, repair, splits
+from loomspan.operators import alternates, models, repair, splits, strands
 from loomspan.operators.intervals import overlap_pairs
 
-from .adapters import ctes, evidence, genome_hits, scaffold_genes, sequences, transcripts
+from .adapters import ctes, evidence, genome_hits, scaffold_genes, sequences, stranded_introns, transcripts
 from .registry import query
 
 _ALTERNATES = ctes(
@@ -103,3 +103,42 @@ def join_check(spark, sf):
     found = overlap_pairs(xs.select("gid", "exon_no", "ref", "begin", "end", "strand"), evidence(spark, sf), strand="same")
     ids = found.select(F.col("p_gid").alias("gid"), F.col("p_exon_no").alias("exon_no"), F.col("b_id").cast("string").alias("id"))
     return splits.join_check(xs, ids, alternates.splice_sites(xs, places))
+
+
+_STRANDS = ctes(
+    "stranded_introns",
+    tops="SELECT ref, (max(e) + 5000) // 100 AS top FROM stranded_introns GROUP BY ref",
+    sides="SELECT ref, strand, score, greatest(1, b - 300) // 100 AS lo, greatest(1, b - 1) // 100 AS hi FROM stranded_introns UNION ALL SELECT ref, strand, score, (e + 1) // 100, (e + 300) // 100 FROM stranded_introns",
+    summed="SELECT ref, bin, sum(CASE WHEN strand = '+' THEN score ELSE 0 END) AS fwd, sum(CASE WHEN strand = '-' THEN score ELSE 0 END) AS rev FROM (SELECT ref, strand, score, unnest(range(lo, hi + 1)) AS bin FROM sides) GROUP BY ref, bin",
+    cut="SELECT *, CASE WHEN fwd >= 6 THEN fwd ELSE 0 END AS f, CASE WHEN rev >= 6 THEN rev ELSE 0 END AS r FROM summed",
+    dense="SELECT t.ref, g.bin, t.top, coalesce(fwd, 0) AS fwd, coalesce(rev, 0) AS rev, CASE WHEN coalesce(f, 0) = 0 AND coalesce(r, 0) = 0 THEN NULL WHEN f = 0 THEN -1 WHEN r = 0 THEN 1 WHEN f < 0.05 * r THEN -1 WHEN r < 0.05 * f THEN 1 ELSE 2 END AS s FROM (SELECT ref, top, unnest(range(0, top + 1)) AS bin FROM tops) g JOIN tops t USING (ref) LEFT JOIN cut c ON c.ref = g.ref AND c.bin = g.bin",
+    seen="""SELECT *, max(CASE WHEN s IS NOT NULL THEN bin END) OVER up AS pb, last_value(s IGNORE NULLS) OVER up AS ps, min(CASE WHEN s IS NOT NULL THEN bin END) OVER down AS nb, first_value(s IGNORE NULLS) OVER down AS ns FROM dense
+      WINDOW up AS (PARTITION BY ref ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), down AS (PARTITION BY ref ORDER BY bin ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)""",
+    turned="SELECT *, pb + 1 + (nb - pb - 1) // 100 * 100 AS t FROM seen",
+    filled="""SELECT ref, bin, fwd, rev, CASE WHEN s IS NOT NULL THEN s WHEN pb IS NULL THEN CASE WHEN bin >= nb - 99 THEN ns ELSE 0 END WHEN nb IS NULL THEN ps
+      WHEN bin >= CASE WHEN ps <> ns AND nb - t > 2 THEN (t + nb) // 2 ELSE t END THEN ns ELSE ps END AS strand FROM turned WHERE s IS NOT NULL OR pb IS NOT NULL OR nb IS NOT NULL""",
+    marked="SELECT *, CASE WHEN strand IS NOT DISTINCT FROM lag(strand) OVER (PARTITION BY ref ORDER BY bin) THEN 0 ELSE 1 END AS new FROM filled",
+    numbered="SELECT *, sum(new) OVER (PARTITION BY ref ORDER BY bin) AS segment FROM marked",
+    runs="SELECT ref, segment, strand, min(bin) AS lo, max(bin) AS hi, sum(fwd) AS fwd, sum(rev) AS rev FROM numbered GROUP BY ref, segment, strand",
+    ahead="""SELECT *, coalesce(min(CASE WHEN strand NOT IN (1, 2) THEN lo END) OVER w, max(hi) OVER (PARTITION BY ref) + 1) AS nf, coalesce(min(CASE WHEN strand NOT IN (-1, 2) THEN lo END) OVER w, max(hi) OVER (PARTITION BY ref) + 1) AS nr, lead(lo) OVER (PARTITION BY ref ORDER BY lo) AS following
+      FROM runs WINDOW w AS (PARTITION BY ref ORDER BY lo ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)""",
+) + """SELECT ref, CAST(segment AS BIGINT) AS segment, lo * 100 + 1 AS begin, (hi + 1) * 100 AS stop, CAST(fwd AS BIGINT) AS fwd, CAST(rev AS BIGINT) AS rev, CAST(strand AS INTEGER) AS strand,
+    CASE WHEN following IS NULL THEN 0 WHEN strand = 0 THEN -1 WHEN CASE WHEN strand IN (1, 2) THEN nf ELSE nr END - hi - 1 < 50 THEN CASE WHEN strand IN (1, 2) THEN nf ELSE nr END - hi - 1 ELSE -1 END AS next FROM ahead"""
+
+
+def _sizes(introns):
+    return introns.groupBy("ref").agg((F.max("end") + 5000).alias("size"))
+
+
+@query("win09_strand_segments", _STRANDS)
+def strand_segments(spark, sf):
+    """WIN-09: segments of one strand of every scaffold."""
+    introns = stranded_introns(spark, sf)
+    return strands.segments(introns, _sizes(introns)).withColumnRenamed("end", "stop")
+
+
+@query("win09_partitions")
+def strand_partitions(spark, sf):
+    """WIN-09: the segments with the partitions of about 250,000 bases a strand that they fall to."""
+    introns = stranded_introns(spark, sf)
+    return strands.partitions(strands.segments(introns, _sizes(introns)), _sizes(introns)).withColumnRenamed("end", "stop")
