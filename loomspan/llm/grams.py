@@ -1,6 +1,6 @@
 """Word and n-gram hashes of Arrow text columns, whole batches at a time with numpy.
 
-A word's hash mixes three polynomials over its bytes, taken from prefix sums: one modulo 2**64, two modulo the prime
+A word's hash mixes two polynomials over its bytes, taken from prefix sums: one modulo 2**64, one modulo the prime
 2**31 - 1. Modulo a power of two alone, texts that alternate two parts in Thue-Morse order collide whatever the base; modulo
 a prime they don't. An n-gram's hash is the same over its words' hashes. Both depend on content alone, so every task
 computes the same.
@@ -13,8 +13,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _R1, _R2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_PRIME, _BASES = np.uint64((1 << 31) - 1), (1_103_515_245, 1_812_433_253)
-_prime_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_BITS, _PRIME, _BASE = np.uint64(31), np.uint64((1 << 31) - 1), 1_103_515_245
+_prime_powers: list[np.ndarray] = []
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -37,34 +38,38 @@ def _pow(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
-def _pow_prime(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo the prime for i < n."""
-    have = _prime_powers.get(base)
-    if have is None or len(have[0]) < n:
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x below 2**62 modulo the prime; its bits beyond the 31st count as much as the lower ones."""
+    x = (x & _PRIME) + (x >> _BITS)
+    x = (x & _PRIME) + (x >> _BITS)
+    x[x == _PRIME] = 0
+    return x
+
+
+def _pow_prime(n: int) -> list[np.ndarray]:
+    """The base's powers i and -i modulo the prime for i < n."""
+    if not _prime_powers or len(_prime_powers[0]) < n:
         size = max(1 << 16, 1 << (n - 1).bit_length())
-        both = []
-        for b in (base, pow(base, -1, int(_PRIME))):
+        _prime_powers.clear()
+        for b in (_BASE, pow(_BASE, -1, int(_PRIME))):
             run, m = np.ones(size, np.uint64), 1
             while m < size:  # what is known, times the next power, doubles it
                 run[m : 2 * m] = run[:m] * np.uint64(pow(b, m, int(_PRIME))) % _PRIME
                 m *= 2
-            both.append(run)
-        have = _prime_powers[base] = (both[0], both[1])
-    return have
+            _prime_powers.append(run)
+    return _prime_powers
 
 
-def _runs(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: np.uint64) -> np.ndarray:
-    """Hashes of the runs start:end of values, which may be any 64-bit words."""
-    up, down = _pow(base, len(values) + 1)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
+def _runs(values: np.ndarray, small: np.ndarray, start: np.ndarray, end: np.ndarray, base: np.uint64) -> np.ndarray:
+    """Hashes of the runs start:end of values, which may be any 64-bit words; small: values modulo the prime."""
+    n = len(values)
+    up, down = _pow(base, n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(values * up[:n], out=sums[1:])
     out = (sums[end] - sums[start]) * down[start]
-    small, lanes = values % _PRIME, []
-    for b in _BASES:
-        up, down = _pow_prime(b, len(values) + 1)
-        np.cumsum(small * up[: len(values)] % _PRIME, out=sums[1:])
-        lanes.append((sums[end] - sums[start]) % _PRIME * down[start] % _PRIME)
-    return out ^ mix(lanes[0] << np.uint64(32) | lanes[1])
+    up, down = _pow_prime(n + 1)
+    np.cumsum(_reduced(small * up[:n]), out=sums[1:])
+    return out ^ mix(_reduced(_reduced(sums[end] - sums[start]) * down[start]))
 
 
 def _byte_codes(lower: bool) -> np.ndarray:
@@ -111,7 +116,9 @@ class Words:
         self.begin = np.flatnonzero(inside & (~before | edge[:-1]))
         self.end = np.flatnonzero(inside & (~after | edge[1:])) + 1
         self.first = np.searchsorted(self.begin, offsets)
-        self.hashes = mix(_runs(_byte_codes(lower)[self.data], self.begin, self.end, _R1) + (self.end - self.begin).astype(np.uint64))
+        codes = _byte_codes(lower)
+        self.hashes = mix(_runs(codes[self.data], (codes % _PRIME)[self.data], self.begin, self.end, _R1) + (self.end - self.begin).astype(np.uint64))
+        self._small = None
         self.count = np.diff(self.first)
 
     def rows(self) -> np.ndarray:
@@ -128,4 +135,6 @@ class Words:
 
     def spans(self, start: np.ndarray, end: np.ndarray, base: np.uint64 = _R2) -> np.ndarray:
         """Hashes of the word runs start:end."""
-        return mix(_runs(self.hashes, start, end, base) + (end - start).astype(np.uint64) * _R1)
+        if self._small is None:
+            self._small = self.hashes % _PRIME
+        return mix(_runs(self.hashes, self._small, start, end, base) + (end - start).astype(np.uint64) * _R1)
