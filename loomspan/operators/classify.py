@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,44 +72,14 @@ def percents(rows: DataFrame) -> DataFrame:
     return rows.withColumn("pid", pid).withColumn("pal", pal)
 
 
-def _assign(rows: pd.DataFrame) -> pd.DataFrame:
-    """First class wins, except that one that begins with alt may rise to althi1. The longer of a pair is its main unless classed itself."""
-    rows = rows.sort_values(["q_len", "aln", "t_len", "q", "t"], ascending=[False, False, True, True, True], kind="stable")
-    classes: dict[str, str] = {}
-    best: dict[str, tuple[str, int, int]] = {}
-    for r in rows.itertuples():
-        q, t, q_len, t_len = (r.q, r.t, r.q_len, r.t_len) if (r.q_len, r.t) >= (r.t_len, r.q) else (r.t, r.q, r.t_len, r.q_len)
-        if q == t:
-            classes.setdefault(q, "noclass")
-            continue
-        kind = pair_class(r.pid, r.pal, q_len, t_len)
-        if kind is None:
-            continue
-        had = classes.get(t)
-        if had in (None, "noclass") or (had != "althi1" and had.startswith("alt") and kind == "althi1"):
-            classes[t], best[t] = kind, (q, r.pid, r.pal)
-            if classes.get(q) in (None, "noclass"):
-                classes[q] = "main"
-    out = []
-    for id_ in sorted(set(rows["q"]) | set(rows["t"])):
-        main, seen = id_, {id_}
-        while main in best and best[main][0] not in seen:
-            main = best[main][0]
-            seen.add(main)
-        own = best.get(id_, (id_, 0, 0))
-        out.append((id_, classes.get(id_, "noclass"), main, own[1], own[2]))
-    return pd.DataFrame(out, columns=["id", "class", "main", "pid", "pal"])
-
-
-def classes(pairs: DataFrame, components: DataFrame) -> DataFrame:
-    """Identity classes: id, class, main, pid, pal. pairs: q, q_len, t, t_len, aln, ident. components: id, component.
-
-    Order matters among linked pairs only, so each component of the alignment graph is a group of its own.
+def classes(pairs: DataFrame, components: DataFrame | None = None) -> DataFrame:
+    """Identity classes: id, class, main, pid, pal. pairs: q, q_len, t, t_len, aln, ident.
+
+    components is not needed any more: the order matters among linked pairs only, and rounds of joins keep it.
     """
-    rows = percents(pairs).join(components.select(F.col("id").alias("q"), "component"), "q", "left")
-    rows = rows.withColumn("component", F.coalesce("component", "q"))
-    held = rows.select("component", "q", "q_len", "t", "t_len", "aln", "pid", "pal")
-    return held.groupBy("component").applyInPandas(_assign, "id long, class string, main long, pid long, pal long")
+    from .classes import identity_classes
+
+    return identity_classes(pairs)
 
 
 def poor_bits(aa: Column, pcds: Column, duplicate: Column, gaps: Column, least: int = 40) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loomspan.operators import classes as cl
 from loomspan.operators import classify as c
 from loomspan.operators import graphs
 from loomspan.session import table
@@ -66,15 +67,56 @@ def pair_classes(spark, sf):
     return rows.select("q", "t", "pid", "pal", c.class_of_pair(F.col("pid"), F.col("pal"), F.col("q_len"), F.col("t_len")).alias("class"))
 
 
-@query("cls10_identity_classes")
-def identity_classes(spark, sf):
-    """CLS-10: ordered class assignment within each component of strong pairs."""
+def _known_pairs(spark, sf):
+    """Pairs between known sequences, each with its own length."""
     rows = _pairs(spark, sf)
     length = rows.select(F.col("q").alias("id"), F.col("q_len").alias("len"))
-    rows = rows.drop("t_len").join(length.select(F.col("id").alias("t"), F.col("len").alias("t_len")), "t")
-    strong = c.percents(rows).where("pid >= 99 and pal >= 40").select(*rows.columns)
-    found = graphs.components(strong, "q", "t")
-    return c.classes(strong, found)
+    return rows.drop("t_len").join(length.select(F.col("id").alias("t"), F.col("len").alias("t_len")), "t")
+
+
+@query("cls10_identity_classes")
+def identity_classes(spark, sf):
+    """CLS-10: ordered class assignment over all pairs."""
+    return cl.identity_classes(_known_pairs(spark, sf))
+
+
+@query("cls15_map_rescue")
+def map_rescue(spark, sf):
+    """CLS-15: sequences without a class take that of the genome map, where map pairs come from the orders."""
+    rows, pairs = _pairs(spark, sf), _known_pairs(spark, sf)
+    sizes = rows.select(F.col("q").alias("id"), F.col("q_len").alias("size"))
+    maps = table(spark, sf, "orders").select(F.col("o_orderkey").alias("a"), F.col("o_orderkey").bitwiseXOR(F.lit(1 << 2).cast("long")).alias("b"), (50 + F.col("o_custkey") % 50).alias("percent"))
+    return cl.rescued_by_map(cl.identity_classes(pairs), maps, sizes, pairs)
+
+
+@query("cls13_reference_matches", """WITH h AS (SELECT l_orderkey AS t, l_partkey % 1000 AS ref, CAST(floor(l_extendedprice / 200) AS BIGINT) AS bits, CAST(l_quantity AS BIGINT) AS aln FROM lineitem),
+m AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY t ORDER BY bits DESC, aln, ref DESC) = 1), r AS (SELECT ref, t, bits FROM h QUALIFY row_number() OVER (PARTITION BY ref ORDER BY bits DESC, aln, t DESC) = 1)
+SELECT m.t, m.ref, m.bits, r.bits AS ref_best, CASE WHEN r.t = m.t THEN 'refbest' WHEN EXISTS (SELECT 1 FROM r o WHERE o.t = m.t AND o.bits >= 60) THEN 'refok' WHEN r.bits > 60 AND m.bits >= 0.9 * r.bits THEN 'refgood' END AS match FROM m JOIN r USING (ref)""")
+def reference_matches(spark, sf):
+    """CLS-13: best reference of every sequence, and whether it is that reference's best."""
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("t"), (F.col("l_partkey") % 1000).alias("ref"), F.floor(F.col("l_extendedprice") / 200).alias("bits"), F.col("l_quantity").cast("long").alias("aln")
+    )
+    return cl.reference_matches(rows)
+
+
+@query("cls14_corrected_clusters", "WITH RECURSIVE " + ctes("members").removeprefix("WITH ") + """, g AS (SELECT grp AS cluster, gene AS id, gene AS place, size, ['complete', 'complete-utrpoor', 'partial3', 'partial5-utrbad', 'partial'][species % 5 + 1] AS grade, gene % 13 <> 0 AS valid, gene = min(gene) OVER (PARTITION BY grp) AS is_main FROM members),
+p AS (SELECT *, CASE WHEN grade LIKE '%complete%' THEN 2 WHEN grade SIMILAR TO '.*partial[35].*' THEN 1 ELSE 0 END - CASE WHEN grade LIKE '%utrbad%' THEN 2 WHEN grade LIKE '%utrpoor%' THEN 1 ELSE 0 END AS points, row_number() OVER (PARTITION BY cluster ORDER BY place) AS n FROM g WHERE valid),
+f(cluster, n, main, m_size, m_points) AS (SELECT cluster, CAST(0 AS BIGINT), max(CASE WHEN is_main THEN id END), coalesce(max(CASE WHEN is_main THEN size END), 0), coalesce(max(CASE WHEN is_main THEN points END), -9) FROM p GROUP BY cluster
+ UNION ALL SELECT f.cluster, p.n, CASE WHEN (f.main IS NULL OR p.id <> f.main) AND ((p.size > m_size AND points >= m_points - 1) OR (points > m_points AND p.size > 0.98 * m_size)) THEN p.id ELSE f.main END,
+ CASE WHEN (f.main IS NULL OR p.id <> f.main) AND ((p.size > m_size AND points >= m_points - 1) OR (points > m_points AND p.size > 0.98 * m_size)) THEN p.size ELSE m_size END,
+ CASE WHEN (f.main IS NULL OR p.id <> f.main) AND ((p.size > m_size AND points >= m_points - 1) OR (points > m_points AND p.size > 0.98 * m_size)) THEN points ELSE m_points END FROM f JOIN p ON p.cluster = f.cluster AND p.n = f.n + 1),
+e AS (SELECT cluster, arg_max(main, n) AS main FROM f GROUP BY cluster) SELECT p.cluster, p.id, e.main, p.size FROM p JOIN e USING (cluster)""")
+def corrected_clusters(spark, sf):
+    """CLS-14: mains of protein clusters put right by size and grade."""
+    grades = F.array(*map(F.lit, ("complete", "complete-utrpoor", "partial3", "partial5-utrbad", "partial")))
+    rows = members(spark, sf)
+    first = rows.groupBy("grp").agg(F.min("gene").alias("first"))
+    rows = rows.join(first, "grp").select(
+        F.col("grp").alias("cluster"), F.col("gene").alias("id"), F.col("gene").alias("place"), "size", F.get(grades, F.col("species") % 5).alias("grade"),
+        (F.col("gene") % 13 != 0).alias("valid"), (F.col("gene") == F.col("first")).alias("is_main"),
+    )
+    return cl.corrected_clusters(rows)
 
 
 @query("cls12_keep_or_drop", """WITH p AS (SELECT doc_id, n_chars // 20 AS aa, doc_id * 7 % 100 AS pcds, coalesce(quality, 0) = 1 AS good, coalesce(toxic, 0) = 1 AS dup, n_chars % 11 AS gaps, CASE WHEN doc_id % 4 = 0 THEN 'parthi' ELSE 'althi' END AS class FROM documents LEFT JOIN labels USING (doc_id)),
@@ -112,9 +154,9 @@ def reclassified(spark, sf):
     return c.reclassified(rows)
 
 
-@query("cls19_loci", """WITH RECURSIVE e AS (SELECT c_custkey AS a, (c_custkey * 17 + 5) % 1500 AS b FROM customer WHERE c_custkey % 4 = 0 AND c_custkey < 1500), u AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
+@query("cls19_loci", """WITH RECURSIVE e AS (SELECT c_custkey AS a, c_custkey // 30 * 30 + (c_custkey * 17 + c_nationkey) % 30 AS b FROM customer), u AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
 r AS (SELECT a AS id, a AS s FROM u UNION SELECT u.b, r.s FROM r JOIN u ON u.a = r.id) SELECT id, min(s) AS component FROM r GROUP BY id""")
 def loci(spark, sf):
-    """CLS-19, JOIN-15 labels and SET-05: connected components of equivalences."""
+    """CLS-19, JOIN-15 labels and SET-05: connected components of equivalences of all customers."""
     key = F.col("c_custkey")
-    return graphs.components(table(spark, sf, "customer").where((key % 4 == 0) & (key < 1500)).select(key.alias("a"), ((key * 17 + 5) % 1500).alias("b")))
+    return graphs.components(table(spark, sf, "customer").select(key.alias("a"), (F.floor(key / 30) * 30 + (key * 17 + F.col("c_nationkey")) % 30).alias("b")))
