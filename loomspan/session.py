@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,17 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
     return spark
 
 
+def with_package(spark: SparkSession) -> SparkSession:
+    """Ship this package to the executors' Python workers, where it isn't installed there; the same as spark-submit --py-files."""
+    root = pathlib.Path(__file__).resolve().parent
+    path = pathlib.Path(tempfile.mkdtemp(prefix="loomspan-")) / "loomspan.zip"  # read by the driver alone, which serves it
+    with zipfile.ZipFile(path, "w") as held:
+        for file in sorted(root.rglob("*.py")):
+            held.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(path))
+    return spark
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df by checkpoint() in the folder of spark.checkpoint.dir; a temporary one is set only where there is none on one machine (tests)."""
     sc = df.sparkSession.sparkContext
