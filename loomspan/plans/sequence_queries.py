@@ -179,3 +179,19 @@ def attributes(spark, sf):
     attrs = attribute_map(raw)
     kept = F.map_filter(attrs, lambda k, v: k != "old")
     return table(spark, sf, "events").select("event_id", attrs["k"].alias("k"), attribute_text(kept).alias("attrs"))
+
+
+@query("flt12_trimmed_transcripts")
+def trimmed_transcripts(spark, sf):
+    """FLT-12: sequences without vector spans and end gaps, frames carried along; frames and hits come from the sequences and the orders."""
+    from loomspan.operators.trimming import trim_transcripts, vector_spans
+
+    rows = sequences(spark, sf).where("id is not null")
+    size = F.length("seq")
+    given = rows.select("id", "seq", (F.col("id") % 50 + 1).alias("cds_begin"), F.when(size > 200, size - 60).alias("cds_end"))
+    n = rows.agg(F.max("id") + 1).scalar()
+    hits = table(spark, sf, "orders").select(
+        (F.col("o_orderkey") % n).alias("id"), (F.col("o_custkey") * 7 % 900 + 1).alias("begin"), (F.col("o_custkey") * 7 % 900 + 20 + F.floor("o_totalprice") % 60).alias("end"),
+        F.when(F.col("o_orderpriority") < "2", "Weak").when(F.col("o_orderpriority") < "4", "Strong").otherwise("Moderate").alias("kind"),
+    )
+    return trim_transcripts(given, vector_spans(hits))
