@@ -149,8 +149,9 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = 0.9
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     tree = fit_tree(np.stack(sample["v"].to_list()), branch, leaf_rows)
-    is_query = F.col("vec_id") % every == 0
-    trial = rows.where(is_query).orderBy(pick, "vec_id").limit(calibration).toPandas()
+    # an id asks once: of repeated query rows the smallest vector does
+    queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    trial = queries.orderBy(pick, "vec_id").limit(calibration).toPandas()
     if not len(trial):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
 
@@ -176,7 +177,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = 0.9
     chunks = stored(chunks, "chunks")
     dealt = leaved.join(F.broadcast(chunks), "leaf")  # one row a leaf; leaves are bounded by the sample
     dealt = dealt.select("leaf", F.pmod(F.xxhash64("vec_id"), "chunks").alias("chunk"), "vec_id", "v")
-    asks = rows.where(is_query).mapInPandas(walk, "vec_id long, v array<double>, leaf long").join(F.broadcast(chunks), "leaf")
+    asks = queries.mapInPandas(walk, "vec_id long, v array<double>, leaf long").join(F.broadcast(chunks), "leaf")
     asks = asks.select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
 
     def score(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:

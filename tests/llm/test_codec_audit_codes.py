@@ -198,3 +198,23 @@ def test_codes_of_odd_rows(spark):
     assert codes.compress(df.where("vec_id = 50")).collect() == [] and codes.compress(df.limit(0)).collect() == []
     with pytest.raises(Exception, match="cut into"):
         codes.compress(df, parts=5)
+
+
+def test_a_repeated_query_row_asks_once(spark):
+    from loomspan.llm import neighbours
+
+    draw = np.random.default_rng(1)
+    rows = [(i, draw.normal(size=8).tolist(), 0) for i in range(60)]
+    rows += [rows[20], rows[20], (40, rows[3][1], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = neighbours.search(df, recall=1.0).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    assert set(by) == {0, 20, 40}
+    for q, mine in by.items():
+        v = np.array(min(x[1] for x in rows if x[0] == q))
+        best = sorted(((-float(np.dot(np.array(x[1]), v)), x[0]) for x in rows if x[0] != q))[:20]
+        mine.sort()
+        assert [m[0] for m in mine] == list(range(1, 21))
+        assert [m[1] for m in mine] == [b[1] for b in best]
