@@ -1,8 +1,9 @@
 """Quality rules with thresholds from mergeable quantile sketches, by DataFrame functions alone.
 
-Every document gets counts from its words and lines. KLL sketches of its ratios and of its words are kept per
-(language, source); sketches of a language merge from those of its sources, and all merge into one. Thresholds come
-from a group's quantiles alone: a language with long words or a source full of tables sets its own bounds. They allow
+Every document gets counts from its words and lines. Quantile sketches of its ratios and of its words are kept per
+(language, source): counts by buckets of geometric width, so that a quantile is right to a quarter percent. They merge by adding
+counts, whatever the order, so reruns and recomputed stages agree. Sketches of a language merge from those of its sources,
+and all merge into one. Thresholds come from a group's quantiles alone: a language with long words or a source full of tables sets its own bounds. They allow
 for chance: mean word length may stray further in a text of few words, and a count may pass the group's quantile by
 some of its own deviations. Groups with few documents take the language's sketch, then the overall one.
 
@@ -12,7 +13,9 @@ of their own; repeated rows are judged one by one; an empty table gives none; ot
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, words
@@ -95,11 +98,30 @@ def measured(docs: DataFrame, columns: tuple = ()) -> DataFrame:
     )
 
 
-def _fences(sketch) -> list[Column]:
-    """Quartiles of mean word length, the median number of words and the ninth tenth of each count's ratio."""
-    at = lambda c, p: F.kll_sketch_get_quantile_double(sketch(c), F.lit(p))
-    words_ = [at("mean_word", 0.25).alias("word_low"), at("mean_word", 0.75).alias("word_high"), at("n_words", 0.5).alias("words_mid")]
-    return words_ + [at(c, 0.9).alias(c) for c in COUNTS]
+#: Ratio of the borders of a bucket.
+_GAMMA = 1.005
+#: Name, measure and quantile of each fence: quartiles of mean word length, the median number of words, the ninth tenth of each ratio.
+_QUANTILES = (("word_low", "mean_word", 0.25), ("word_high", "mean_word", 0.75), ("words_mid", "n_words", 0.5), *((c, c, 0.9) for c in COUNTS))
+
+
+def _bucket(value: Column) -> Column:
+    """The number of a value's bucket; null for 0, whose bucket is its own and the first."""
+    return F.when(value > 0, F.ceil(F.log(value) / F.lit(math.log(_GAMMA)))).cast("int")
+
+
+def _middle(bucket: Column) -> Column:
+    return F.when(bucket.isNull(), F.lit(0.0)).otherwise(F.pow(F.lit(_GAMMA), bucket) * (2 / (1 + _GAMMA)))
+
+
+def _fences(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, n and fences of each group. cells: keys, measure, bucket, n."""
+    merged = cells.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+    order = Window.partitionBy(*keys, "measure").orderBy(F.col("bucket").asc_nulls_first())  # as many rows as buckets
+    whole = Window.partitionBy(*keys, "measure")
+    merged = merged.withColumn("upto", F.sum("n").over(order)).withColumn("all", F.sum("n").over(whole))
+    at = lambda measure, p: F.min(F.when((F.col("measure") == measure) & (F.col("upto") >= p * F.col("all")), _middle(F.col("bucket"))))
+    found = merged.groupBy(*keys).agg(F.max("all").alias("n"), *[at(m, p).alias(name) for name, m, p in _QUANTILES])
+    return stored(found.select(*keys, "n", F.struct(*[q[0] for q in _QUANTILES]).alias("fences")), "fences")
 
 
 def _inside(reach: float) -> Column:
@@ -122,22 +144,16 @@ def thresholds(rows: DataFrame, enough: int = 200) -> DataFrame:
     """
     key = [F.coalesce(F.concat(F.lit("="), c), F.lit("")).alias(f"{c}_key") for c in ("lang", "source")]
     good = rows.where(~F.col("base_failed")).select(*key, *SKETCHED)
-    names = [f"{r}_sketch" for r in SKETCHED]
-    fine = good.groupBy("lang_key", "source_key").agg(
-        F.count("*").alias("n"), *[F.kll_sketch_agg_double(F.col(r).cast("double")).alias(f"{r}_sketch") for r in SKETCHED]
-    )
-    fine = stored(fine, "sketches")  # a few KB a group; short plans keep the optimiser quick
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(c).alias(c) for c in names]]
-
-    def fences(df: DataFrame, keys: list[str]) -> DataFrame:
-        return stored(df.select(*keys, "n", F.struct(*_fences(lambda r: F.col(f"{r}_sketch"))).alias("fences")), "fences")
-
-    by_lang = fences(fine.groupBy("lang_key").agg(*merged), ["lang_key"])
-    overall = fences(fine.groupBy(F.lit(1).alias("one")).agg(*merged), ["one"])
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("measure"), _bucket(F.col(r).cast("double")).alias("bucket")) for r in SKETCHED]))
+    cells = good.select("lang_key", "source_key", each.alias("x")).groupBy("lang_key", "source_key", "x.measure", "x.bucket").agg(F.count("*").alias("n"))
+    cells = stored(cells, "sketches")  # at most some thousand rows a group and measure
+    fine = _fences(cells, ["lang_key", "source_key"])
+    by_lang = _fences(cells, ["lang_key"])
+    overall = _fences(cells.withColumn("one", F.lit(1)), ["one"])
     groups = rows.select(*key).distinct().withColumn("one", F.lit(1))  # counts are pruned away here: only the two columns are read
     pick = lambda df, keys, to: df.where(F.col("n") >= enough).select(*keys, F.col("fences").alias(to))
     groups = (
-        groups.join(pick(fences(fine, ["lang_key", "source_key"]), ["lang_key", "source_key"], "f1"), ["lang_key", "source_key"], "left")
+        groups.join(pick(fine, ["lang_key", "source_key"], "f1"), ["lang_key", "source_key"], "left")
         .join(pick(by_lang, ["lang_key"], "f2"), "lang_key", "left")
         .join(overall.select("one", F.col("fences").alias("f3")), "one", "left")
     )

@@ -105,3 +105,17 @@ def test_packing_special_and_long_texts(spark):
     held = {r["doc_id"]: r for r in got.groupBy("doc_id").agg(F.first("doc_tokens").alias("n"), F.sum("length").alias("length")).collect()}
     for doc, text, *_ in rows:
         assert held[doc]["n"] == held[doc]["length"] == len(plain.encode(text, add_special_tokens=False).ids) + 1
+
+
+def test_quality_verdicts_agree_between_partitionings(spark):
+    """The same verdicts however the table lies in partitions, and fences near plain quantiles."""
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    found = [sorted((r["doc_id"], r["kept"]) for r in quality.judge(df.repartition(n, *by)).select("doc_id", "kept").collect()) for n, by in ((2, ()), (7, ("doc_id",)), (13, ("source",)))]
+    assert found[0] == found[1] == found[2] and 0 < sum(k for _, k in found[0]) < len(found[0])
+    rows = quality.measured(df).where("not base_failed").toPandas()
+    bounds = quality.thresholds(quality.measured(df)).collect()
+    for b in bounds[:20]:
+        mine = rows[(rows["lang"] == b["lang_key"][1:]) & (rows["source"] == b["source_key"][1:])]
+        if len(mine) >= 200:
+            assert b["fences"]["word_low"] == pytest.approx(np.quantile(mine["mean_word"], 0.25, method="inverted_cdf"), rel=0.003)
+            assert b["fences"]["words_mid"] == pytest.approx(np.quantile(mine["n_words"], 0.5, method="inverted_cdf"), rel=0.003)
