@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomspan.operators import alternates, models, repair, splits, strands
+from loomspan.operators import alternates, genes, models, repair, selection, splits, strands
 from loomspan.operators.intervals import overlap_pairs
 
 from .adapters import ctes, evidence, genome_hits, scaffold_genes, sequences, stranded_introns, transcripts
@@ -142,3 +142,16 @@ def strand_partitions(spark, sf):
     """WIN-09: the segments with the partitions of about 250,000 bases a strand that they fall to."""
     introns = stranded_introns(spark, sf)
     return strands.partitions(strands.segments(introns, _sizes(introns)), _sizes(introns)).withColumnRenamed("end", "stop")
+
+
+@query("sel05_selected_models")
+def selected_models(spark, sf):
+    """SEL-04 to SEL-06: models that a drop rule lets through, suspected joins last, chosen by coding and transcript overlap, alternates marked."""
+    xs = transcripts(spark, sf)
+    spans = genes.spans(xs)
+    kept = genes.drop_rule([("cds_len", 300, ""), ("n_exons", 2, ""), ("exon_len", 100, "+")])
+    checked = join_check(spark, sf).select("gid", (F.col("score") < 0).alias("last"))
+    weighted = genes.weighted_sum({"cds_len": 1.0, "n_exons": 20.0, "score": 2.0})
+    totals = spans.where(kept).select("gid", weighted.alias("total")).join(checked, "gid", "left")
+    held = xs.join(totals.select("gid"), "gid", "left_semi")
+    return selection.select_models(held, totals, alternates=True)
