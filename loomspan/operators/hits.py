@@ -140,11 +140,12 @@ def percent_match(rows: DataFrame) -> DataFrame:
     return union.select("q", "t", (100 * F.col("bases") / F.col("length")).alias("match"))
 
 
-def clusters(edges: DataFrame, inflation: float = 1.5, rounds: int = 12, least: float = 1e-4) -> DataFrame:
+def clusters(edges: DataFrame, inflation: float = 1.5, rounds: int = 100, least: float = 1e-4, settled: float = 1e-4) -> DataFrame:
     """Markov clustering of weighted edges (a, b, w): rows (node, cluster), cluster being its smallest node.
 
     The matrix is a table (i, j, p) with columns j summing to 1; a round squares it by a join, raises entries to
-    inflation and drops those under least. Each round is cut by a checkpoint.
+    inflation and drops those under least. Each round is cut by a checkpoint. Rounds end when every column is settled: its
+    entries are equal, so that its largest is the sum of their squares, or after so many rounds.
     """
     both = edges.select(F.col("a").alias("i"), F.col("b").alias("j"), "w").union(edges.select(F.col("b").alias("i"), F.col("a").alias("j"), "w"))
     loops = both.groupBy("j").agg(F.max("w").alias("w")).select(F.col("j").alias("i"), "j", "w")
@@ -155,6 +156,9 @@ def clusters(edges: DataFrame, inflation: float = 1.5, rounds: int = 12, least:
         right = m.select(F.col("i").alias("k"), "j", F.col("p").alias("pr"))
         squared = left.join(right, "k").groupBy("i", "j").agg(F.sum(F.col("pl") * F.col("pr")).alias("p"))
         m = cut(share(squared.where(F.col("p") > least).withColumn("w", F.pow("p", F.lit(inflation))).select("i", "j", "w")))
+        loose = m.groupBy("j").agg((F.max("p") - F.sum(F.col("p") * F.col("p"))).alias("x")).agg(F.max("x")).first()[0]
+        if loose is None or loose < settled:
+            break
     drawn = m.groupBy("j").agg(F.min_by("i", F.struct(-F.round("p", 6), "i")).alias("attractor"))
     smallest = Window.partitionBy("attractor")
     return drawn.select(F.col("j").alias("node"), F.min("j").over(smallest).alias("cluster"))
