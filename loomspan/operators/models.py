@@ -2,7 +2,8 @@
 
 What a seed may reach is bounded by the longest intron, and saved hits matter to overlapping ones only, so the work is
 dealt by query, scaffold and stretch: hits with no hit of the query nearer than that are apart. The highest score of a query and
-the limit of genes a query are the only things stretches share; both come from aggregates and windows around the walk.
+the limit of genes a query are the only things stretches share; both come from aggregates and windows around the walk. A stretch
+stops at the limit, so its walk costs its hits times a fixed number of genes.
 """
 
 from __future__ import annotations
@@ -19,72 +20,91 @@ SLOP = 5
 
 
 def _overlaps(begin, end, b, e, most: float):
-    """Whether begin..end lies in b..e, or shares more than a part `most` of the larger with it. Scalars or arrays b, e."""
+    """Whether begin..end lies in b..e, or shares more than a part `most` of the larger with it. Scalars or arrays."""
     touch = (begin < e) & (end > b)
     inside = (begin >= b) & (end <= e)
     shared = np.minimum(e - begin, end - b) / np.maximum(e - b + 1, end - begin + 1)
     return touch & (inside | (shared > most))
 
 
-def _near(begin: int, end: int, b: int, e: int, most: float, gap: int) -> bool:
+def _near(begin, end, b: int, e: int, gap: int):
     """Whether begin..end lies beside b..e, less than gap away, without overlapping it."""
-    if begin < e - SLOP and end > b + SLOP:
-        return False
-    return 0 <= begin - e < gap or 0 <= b - end < gap
+    apart = (begin >= e - SLOP) | (end <= b + SLOP)
+    return apart & (((begin >= e) & (begin - e < gap)) | ((b >= end) & (b - end < gap)))
 
 
-def _stitched(longest: int, low: float, query_share: float, place_share: float, gap: int):
-    """The genes of one stretch: seed (row_no of the best hit) and role of each hit that is used."""
+def _stitched(longest: int, low: float, query_share: float, place_share: float, gap: int, most_genes: int):
+    """The hits of one stretch that genes use, with their gene's seed (row_no of its best hit).
+
+    Genes come best seed first, so what follows the first most_genes of a stretch can't be among its query's first ones.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["bits", "row_no"], ascending=[False, True], kind="stable").reset_index(drop=True)
+        # by scaffold place, longer first
+        rows = rows.iloc[np.lexsort((rows["row_no"], -rows["te"], rows["tb"]))].reset_index(drop=True)
         qb, qe, tb, te, bits = (rows[c].to_numpy() for c in ("qb", "qe", "tb", "te", "bits"))
         same = rows.groupby(["strand", "qb", "tb", "te", "bits"], sort=False).ngroup().to_numpy()  # equal hits are used once
-        place = np.lexsort((rows["row_no"].to_numpy(), -te, tb))  # by scaffold place, longer first
-        strands = {s: place[(rows["strand"] == s).to_numpy()[place]] for s in rows["strand"].unique()}
+        strand = rows["strand"].to_numpy()
+        strands = {s: np.flatnonzero(strand == s) for s in set(strand)}
         weak = bits < low * rows["most_bits"].to_numpy()
-        done, saved, out = np.zeros(len(rows), bool), [], []  # done is by number of equal hits
-        for seed in range(len(rows)):
+        widest = (te - tb).max()
+        done, taken = np.zeros(len(rows), bool), np.zeros(len(rows), bool)  # done is by number of equal hits; taken: overlaps a saved hit
+        seeds, used_hits, genes = [], [], 0
+        for seed in np.lexsort((rows["row_no"], -bits)):
             if done[same[seed]]:
                 continue
             done[same[seed]] = True
-            held = np.array(saved, np.int64)
-            taken = lambda i, held=held: bool(len(held)) and bool(_overlaps(tb[i], te[i], tb[held], te[held], place_share).any())
-            if weak[seed] and taken(seed):
+            if weak[seed] and taken[seed]:
                 continue
-            mine = strands[rows["strand"].iloc[seed]]
-            reach = mine[(tb[mine] > tb[seed] - longest) & (te[mine] < te[seed] + longest)]
-            before = reach[te[reach] <= tb[seed] + SLOP]
-            after = reach[(te[reach] > tb[seed] + SLOP) & (tb[reach] >= te[seed] - SLOP)]
-            minus, low_q, high_q, low_t, high_t, members = rows["strand"].iloc[seed] == "-", qb[seed], qe[seed], tb[seed], te[seed], []
-            for i in [*after, *before[::-1]]:
-                if same[i] == same[seed] or _overlaps(qb[i], qe[i], low_q, high_q, query_share):
-                    continue
-                used = done[same[i]] or taken(i)
-                if used and not _near(tb[i], te[i], low_t, high_t, place_share, gap):
-                    continue
-                ahead = te[i] <= tb[seed] + SLOP
-                if ahead != minus:  # lower in the query: before it on the plus strand, after it on the minus strand
-                    if qe[i] - SLOP > low_q:
-                        continue
-                    low_q = min(low_q, qb[i])
-                else:
-                    if qb[i] + SLOP < high_q:
-                        continue
-                    high_q = max(high_q, qe[i])
-                if not used:
+            mine = strands[strand[seed]]
+            mine = mine[np.searchsorted(tb[mine], tb[seed] - longest, "right") :]
+            mine = mine[: np.searchsorted(tb[mine], te[seed] + longest)]
+            mine = mine[(te[mine] < te[seed] + longest) & (same[mine] != same[seed])]
+            ahead = te[mine] <= tb[seed] + SLOP
+            left = np.concatenate([mine[~ahead & (tb[mine] >= te[seed] - SLOP)], mine[ahead][::-1]])
+            lower = (te[left] <= tb[seed] + SLOP) != (strand[seed] == "-")  # in the query: before the seed on the plus strand, after it on the minus strand
+            low_q, high_q, low_t, high_t, members = qb[seed], qe[seed], tb[seed], te[seed], []
+            while True:
+                # the query span only grows: what doesn't lie beside it now never will
+                beside = np.where(lower, qe[left] - SLOP <= low_q, qb[left] + SLOP >= high_q)
+                left, lower = left[beside], lower[beside]
+                used = done[same[left]] | taken[left]
+                fit = ~_overlaps(qb[left], qe[left], low_q, high_q, query_share) & (~used | _near(tb[left], te[left], low_t, high_t, gap))
+                k = int(fit.argmax()) if len(fit) else 0
+                if not len(fit) or not fit[k]:
+                    break
+                i = left[k]
+                low_q, high_q = (min(low_q, qb[i]), high_q) if lower[k] else (low_q, max(high_q, qe[i]))
+                if not used[k]:
                     members.append(i)
-                    low_t, high_t = (tb[i], high_t) if ahead else (low_t, te[i])
+                    low_t, high_t = (tb[i], high_t) if te[i] <= tb[seed] + SLOP else (low_t, te[i])
+                left, lower = left[k + 1 :], lower[k + 1 :]
             done[same[members]] = True
-            saved += [seed, *members]
-            out += [(seed, i) for i in (seed, *members)]
-        seed, hit = (np.array([x[k] for x in out], np.int64) for k in (0, 1))
-        number = rows["row_no"].to_numpy()
-        return pd.DataFrame({"q": rows["q"].iloc[0], "seed": number[seed], "row_no": number[hit]})
+            for i in (seed, *members):
+                seeds.append(seed)
+                used_hits.append(i)
+                touched = slice(np.searchsorted(tb, tb[i] - widest), np.searchsorted(tb, te[i]))
+                taken[touched] |= _overlaps(tb[touched], te[touched], tb[i], te[i], place_share)
+            genes += 1
+            if genes == most_genes:
+                break
+        out = rows.iloc[used_hits].drop(columns=["island", "most_bits"])
+        return out.assign(seed=rows["row_no"].to_numpy()[seeds], seed_bits=bits[seeds])
 
     return run
 
 
+def _stretches(hits: DataFrame, longest: int) -> DataFrame:
+    """Adds island: hits of a query and scaffold that lie no further than longest apart share one.
+
+    Hits that begin in one cell are never apart, so cells with their outermost ends tell: a row a cell is ordered, not a row a hit.
+    """
+    rows = hits.withColumn("_cell", F.floor(F.col("tb") / max(1, longest)))
+    cells = rows.groupBy("q", "ref", "_cell").agg(F.min("tb").alias("begin"), F.max("te").alias("end"))
+    cells = islands(cells, ["q", "ref"], gap=longest).select("q", "ref", "_cell", "island")
+    return rows.join(cells, ["q", "ref", "_cell"]).drop("_cell")
+
+
 def stitch(
     hits: DataFrame, longest: int = 200_000, low: float = 0.33, query_share: float = 0.15, place_share: float = 0.05, gap: int = 5_000, most_genes: int = 49,
 ) -> DataFrame:
@@ -96,13 +116,12 @@ def stitch(
     overlaps a saved hit, doesn't join, but if it lies close by it uses up its span of the query.
     """
     most = hits.groupBy("q").agg(F.max("bits").alias("most_bits"))
-    rows = islands(hits.select("q", "ref", "strand", "qb", "qe", "tb", "te", "bits", "row_no"), ["q", "ref"], "tb", "te", longest, block=10 * longest).join(most, "q")
-    q = hits.schema["q"].dataType.simpleString()
-    number = hits.schema["row_no"].dataType.simpleString()
-    used = rows.groupBy("q", "ref", "island").applyInPandas(_stitched(longest, low, query_share, place_share, gap), f"q {q}, seed {number}, row_no {number}")
-    parts = hits.join(used, ["q", "row_no"])
-    genes = parts.where("row_no = seed").select("q", "seed", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("bits"), "row_no")).alias("gene"))
-    return parts.join(genes.where(F.col("gene") <= most_genes), ["q", "seed"]).drop("seed")
+    rows = _stretches(hits, longest).join(most, "q")
+    kinds = {f.name: f.dataType.simpleString() for f in hits.schema.fields}
+    schema = ", ".join(f"`{n}` {k}" for n, k in (kinds | {"seed": kinds["row_no"], "seed_bits": kinds["bits"]}).items())
+    parts = rows.select(*hits.columns, "most_bits", "island").groupBy("q", "ref", "island").applyInPandas(_stitched(longest, low, query_share, place_share, gap, most_genes), schema)
+    gene = F.dense_rank().over(Window.partitionBy("q").orderBy(F.desc("seed_bits"), "seed"))
+    return parts.withColumn("gene", gene).where(F.col("gene") <= most_genes).drop("seed", "seed_bits")
 
 
 def gene_models(parts: DataFrame, low: float = 0.33, least_bits: float = 1) -> DataFrame:

@@ -207,3 +207,17 @@ def test_islands_dealt_by_block(spark):
     for gap in (0, 7):
         plain = Counter(tuple(r) for r in intervals.islands(df, ["ref"], gap=gap).select("ref", "begin", "end", "island").collect())
         assert Counter(tuple(r) for r in intervals.islands(df, ["ref"], gap=gap, block=100).select("ref", "begin", "end", "island").collect()) == plain
+
+
+def test_a_crowded_stretch_stops_at_the_limit_of_genes(spark):
+    """Thousands of hits of one query in one stretch: the walk ends with the last gene that counts, and its genes are the first ones."""
+    draw = random.Random(11)
+    rows = [(1, "c1", draw.choice("+-"), q := draw.randrange(1, 460), q + draw.randrange(5, 50), t := draw.randrange(1, 900_000), t + draw.randrange(20, 150), 10, 9, draw.randrange(40, 100), n) for n in range(6000)]
+    df = spark.createDataFrame(rows, "q long, ref string, strand string, qb long, qe long, tb long, te long, aln long, ident long, bits long, row_no long")
+    frame = df.toPandas().assign(island=1, most_bits=100)
+    few, more = (models._stitched(200_000, 0.33, 0.15, 0.05, 5_000, k)(frame) for k in (7, 60))
+    assert few["seed"].nunique() == 7
+    assert few["row_no"].tolist() == more["row_no"].tolist()[: len(few)]
+    got = models.stitch(df, most_genes=7)
+    assert sorted(got.columns) == sorted([*df.columns, "gene"])
+    assert sorted(r.row_no for r in got.collect()) == sorted(few["row_no"])
