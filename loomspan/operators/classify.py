@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspan.session import cut
+
 
 def duplicates(sequences: DataFrame) -> DataFrame:
     """One row a distinct sequence: key (its digest), first id and copies. Only digests are shuffled."""
@@ -26,19 +30,66 @@ def reassigned(rows: DataFrame, gain: int = 5) -> DataFrame:
     return folded.select("key", F.col("best.id").alias("id"), F.col("best.pcds").alias("pcds"))
 
 
-def fragments(sequences: DataFrame, k: int = 24) -> DataFrame:
+def _hashes(seq: str, w: int) -> np.ndarray:
+    """Mixed hashes of all runs of w letters."""
+    codes = np.frombuffer(seq.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    out = np.zeros(max(0, len(codes) - w + 1), np.uint64)
+    for j in range(w if len(out) else 0):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[j : j + len(out)]
+    out = (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return out ^ (out >> np.uint64(29))
+
+
+def _words(k: int, bits: int | None = None, sketch=None):
+    """Runs of k letters: id, word (a hash) and place (from 0). With a sketch (words by their top bits) those alone that it holds."""
+
+    def run(batches):
+        held = None if sketch is None else sketch.value
+        for batch in batches:
+            ids, words, places = [], [], []
+            for id_, seq in zip(batch["id"], batch["seq"]):
+                h = _hashes(seq, k)
+                at = np.arange(len(h))
+                if held is not None:
+                    slot = h >> np.uint64(64 - bits)
+                    at = np.flatnonzero((held[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
+                ids += [id_] * len(at)
+                words.append(h[at].view(np.int64))
+                places.append(at)
+            if ids:
+                yield pd.DataFrame({"id": ids, "word": np.concatenate(words), "place": np.concatenate(places)})
+
+    return run
+
+
+def fragments(sequences: DataFrame, k: int = 24, bits: int = 25) -> DataFrame:
     """(id, holder): sequences that a longer one holds whole, with the smallest such id.
 
-    A sequence's first k letters seed it; places of seeds in longer sequences come from a join on those letters, and
-    the rest is compared there. Sequences shorter than k take no part.
+    A sequence is sought by its first k letters. Of the runs of k letters of all sequences those alone are shuffled whose hash is in
+    a bitmap of the beginnings' hashes, of a fixed size (2**bits bits; beginnings that share a bit cost rows, not results). They join by hash, and
+    the digest of the letters there decides. Equal sequences are sought and tried once. Sequences shorter than k take no part.
     """
-    rows = sequences.where(F.length("seq") >= k)
-    seeds = rows.select("id", F.length("seq").alias("n"), F.substring("seq", 1, k).alias("word"), F.col("seq").alias("short"))
-    every = F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))  # one pass over the letters
-    words = rows.select(F.col("id").alias("holder"), F.length("seq").alias("m"), F.explode(F.array_distinct(every)).alias("word"))
-    found = seeds.select("id", "n", "word").join(words, "word").where("m > n").select("id", "holder")
-    pairs = found.join(rows.select("id", F.col("seq").alias("short")), "id").join(rows.select(F.col("id").alias("holder"), F.col("seq").alias("long")), "holder")
-    return pairs.where(F.contains("long", "short")).groupBy("id").agg(F.min("holder").alias("holder"))
+    digest = lambda c: F.sha2(c, 256)
+    rows = sequences.where((F.length("seq") >= k) & F.col("id").isNotNull()).select("id", "seq")
+    keys = rows.select("id", digest("seq").alias("key"), F.length("seq").alias("n"), F.substring("seq", 1, k).alias("head"), F.col("seq").substr(F.length("seq") - k + 1, F.lit(k)).alias("tail"))
+    first = keys.groupBy("key", "n", "head", "tail").agg(F.min("id").alias("id"))
+    kind = sequences.schema["id"].dataType.simpleString()
+    first = cut(first)
+    schema = f"id {kind}, word long, place int"
+    seeds = cut(first.select("id", F.col("head").alias("seq")).mapInPandas(_words(k), schema).select("id", "word").join(first.select("id", "key", "n", "tail"), "id").select("key", "n", "tail", "word"))
+    slots = seeds.select(F.shiftrightunsigned("word", 64 - bits).alias("slot")).selectExpr("cast(shiftright(slot, 3) as int) as byte", "shiftleft(1, cast(slot & 7 as int)) as bit")
+    found = slots.groupBy("byte").agg(F.bit_or("bit").cast("int").alias("bits")).toPandas()
+    bitmap = np.zeros(1 << (bits - 3), np.uint8)
+    bitmap[found["byte"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint8)
+    sketch = sequences.sparkSession.sparkContext.broadcast(bitmap)
+
+    held = rows.withColumn("key", digest("seq")).join(first.select("id", "key"), ["id", "key"], "left_semi").select("id", "seq")
+    tried = held.mapInPandas(_words(k, bits, sketch), schema).join(seeds, "word").select("id", "key", "n", "tail", (F.col("place") + 1).alias("at"))
+    # most of those that begin alike are too short or end otherwise: a digest is worked out for the rest
+    holders = tried.join(held.withColumn("m", F.length("seq")), "id").where("m > n and at + n - 1 <= m")
+    holders = holders.where(F.col("seq").substr(F.col("at") + F.col("n") - k, F.lit(k)) == F.col("tail")).where(digest(F.col("seq").substr(F.col("at"), F.col("n"))) == F.col("key"))
+    holders = holders.groupBy("key").agg(F.min("id").alias("holder"))
+    return keys.select("id", "key").join(holders, "key").groupBy("id").agg(F.min("holder").alias("holder"))
 
 
 # Least percent identity of each class, and the alignment share below which there is none.

@@ -6,6 +6,7 @@ them needs one shuffle by that key and no global order.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,11 +96,18 @@ def genome_hits(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_LETTERS = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_TO_BASES, _NO_LETTERS = bytes.maketrans(_LETTERS, b"ACGT" * 13), bytes(set(range(256)) - set(_LETTERS))
+
+
+def _bases(texts: pd.Series) -> pd.Series:
+    # one pass over the bytes; translate() and regexp_replace() look at each character as a string
+    return pd.Series([t if t is None else t.encode("utf-8", "surrogatepass").translate(_TO_BASES, _NO_LETTERS).decode("ascii") for t in texts], dtype=object)
+
+
 def sequences(spark: SparkSession, sf: str) -> DataFrame:
     """Nucleotide sequences from texts: letters stand for bases, all else goes. id, seq, source."""
-    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    bases = F.regexp_replace(F.translate("text", letters, "ACGT" * 13), "[^ACGT]+", "")
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), bases.alias("seq"), "source")
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.pandas_udf(_bases, "string")("text").alias("seq"), "source")
 
 
 def scaffold_genes(spark: SparkSession, sf: str) -> DataFrame:

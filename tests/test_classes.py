@@ -141,3 +141,26 @@ def test_corrected_clusters_against_a_walk(spark):
     got = {(r["cluster"], r["id"]): r["main"] for r in classes.corrected_clusters(df).collect()}
     assert got == want
     assert classes.corrected_clusters(df.limit(0)).collect() == []
+
+
+def test_fragments_shuffle_few_words(spark):
+    """Of the words of all texts those alone leave a task that some text begins with; the sketch costs rows, never results."""
+    import numpy as np
+    import pandas as pd
+
+    from loomspan.operators import classify
+
+    draw = random.Random(4)
+    texts = ["".join(draw.choice("ACGT") for _ in range(draw.randrange(20, 900))) for _ in range(60)]
+    texts += [t[a : a + n] for t in texts[:30] for a, n in ((0, 24), (7, 40), (len(t) // 2, 400))] + [texts[3], texts[5] + "é" + texts[7], "A" * 300, "A" * 24]
+    rows = [(n, t) for n, t in enumerate(texts)] + [(None, "A" * 30)]
+    want = {}
+    for n, t in rows[:-1]:
+        held = [m for m, u in rows[:-1] if len(u) > len(t) >= 24 and t in u]
+        if held:
+            want[n] = min(held)
+    df = spark.createDataFrame(rows, "id long, seq string")
+    for bits in (25, 4):
+        assert {r["id"]: r["holder"] for r in classify.fragments(df, bits=bits).collect()} == want
+    sketch = type("Held", (), {"value": np.zeros(1 << 13, np.uint8)})
+    assert sum(map(len, classify._words(24, 16, sketch)(iter([pd.DataFrame({"id": [1], "seq": [texts[0]]})])))) == 0
