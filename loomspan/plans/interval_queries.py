@@ -71,8 +71,9 @@ def difference(spark, sf):
 @query("agg01_evidence_ids", _with_spans() + "SELECT fid, array_to_string(list_sort(list(DISTINCT CAST(id AS VARCHAR))), ',') AS ids, count(DISTINCT id) AS n FROM clipped GROUP BY fid")
 def evidence_ids(spark, sf):
     """AGG-01: sorted distinct evidence ids of each feature."""
-    ids = F.array_sort(F.collect_set(F.col("b_id").cast("string")))
-    return _pairs(spark, sf).groupBy(F.col("p_fid").alias("fid")).agg(F.array_join(ids, ",").alias("ids"), F.count_distinct("b_id").alias("n"))
+    # the set tells its size; a distinct count beside it would have each pair expanded and shuffled again
+    sets = _pairs(spark, sf).groupBy(F.col("p_fid").alias("fid")).agg(F.collect_set(F.col("b_id").cast("string")).alias("ids"))
+    return sets.select("fid", F.array_join(F.array_sort("ids"), ",").alias("ids"), F.size("ids").cast("long").alias("n"))
 
 
 @query("agg10_merge", ctes("evidence") + """, marked AS (SELECT *, CASE WHEN max(e) OVER w IS NULL OR b > max(e) OVER w + 1 THEN 1 ELSE 0 END AS new FROM evidence

@@ -197,3 +197,10 @@ def test_clusters_read_their_edges_once(spark):
     got = {most: sorted(map(tuple, hits.clusters(edges, inflation=2.0, most=most).collect())) for most in (1000, 3)}
     assert got[1000] == got[3] == [(base + n, base + n // 3 * 3) for base in (0, 50) for n in range(6)]
     assert ran.value <= 4  # a checkpoint runs its plan twice
+
+
+def test_evidence_ids_in_one_aggregate(spark, small):
+    from loomspan.plans.catalog import QUERIES
+
+    plan = QUERIES["agg01_evidence_ids"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and plan.count("Aggregate") == 1
