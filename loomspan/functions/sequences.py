@@ -21,7 +21,6 @@ CODONS = {"".join(c): a for c, a in zip(product(BASES, repeat=3), AMINO)}
 PARTIAL = {pair: CODONS[pair + "A"] for pair in map("".join, product(BASES, repeat=2)) if len({CODONS[pair + b] for b in BASES}) == 1}
 #: One codon an amino acid, the first of its sort order.
 BACK = {a: min(c for c, x in CODONS.items() if x == a) for a in sorted(set(AMINO))}
-_STOPS = {c for c, a in CODONS.items() if a == "*"}
 
 
 def reverse_complement(seq: Column) -> Column:
@@ -71,29 +70,43 @@ def sizes(seq: Column) -> list[Column]:
 _ORF = "array<struct<strand: string, frame: int, begin: int, end: int, complete: string, aa: int, xs: int>>"
 
 
+#: Where codons of interest begin: a stop (T) or the start (A). One character is taken, so that overlapping ones are found.
+_MARKS = re.compile("T(?=A[AG]|GA)|A(?=TG)")
+_TURNED = str.maketrans("ACGT", "TGCA")
+
+
 def _frames(seq: str, least: int, strands: str = "+-") -> list[tuple]:
     """Reading frames of the strands: from a start (or the sequence's head) to a stop (or its tail)."""
     out = []
     for strand in strands:
-        s = seq if strand == "+" else seq[::-1].translate(str.maketrans("ACGT", "TGCA"))
+        s = seq if strand == "+" else seq[::-1].translate(_TURNED)
+        unknown = "N" in s
+        # a frame's stops, and the first start since the stop before; one pass over the bases, steps at starts and stops alone
+        ends, starts, first = ([], [], []), ([], [], []), [None, None, None]
+        for m in _MARKS.finditer(s):
+            at = m.start()
+            k = at % 3
+            if s[at] == "T":
+                ends[k].append(at)
+                starts[k].append(first[k])
+                first[k] = None
+            elif first[k] is None:
+                first[k] = at
         for frame in range(3):
-            head, start = True, frame
-            codons = [s[i : i + 3] for i in range(frame, len(s) - 2, 3)]
-            i = 0
-            while i < len(codons):
-                stop = next((k for k in range(i, len(codons)) if codons[k] in _STOPS), None)
-                last = stop if stop is not None else len(codons) - 1
-                first_m = next((k for k in range(i, last + 1) if codons[k] == "ATG"), None)
-                for begin, whole in ((first_m, True), (i if head and first_m != i else None, False)):
-                    if begin is None:
+            size = frame + max(0, len(s) - frame) // 3 * 3  # where its whole codons end
+            i, head = frame, True
+            for end, start in zip([*ends[frame], None], [*starts[frame], first[frame]]):
+                stop = size if end is None else end
+                if i >= size:
+                    break
+                last = stop if end is None else stop + 3
+                for begin, whole in ((start, True), (i if head and start != i else None, False)):
+                    if begin is None or (stop - begin) // 3 < least:
                         continue
-                    aa = last - begin + 1 - (stop is not None)
-                    if aa >= least:
-                        kind = ("complete" if stop is not None else "partial3") if whole else ("partial5" if stop is not None else "partial")
-                        start = frame + 3 * begin
-                        xs = sum("N" in c for c in codons[begin : last + 1])
-                        out.append((strand, frame + 1, start + 1, frame + 3 * (last + 1), kind, aa, xs))
-                head, i = False, last + 1
+                    kind = ("partial3" if end is None else "complete") if whole else ("partial" if end is None else "partial5")
+                    xs = sum("N" in s[c : c + 3] for c in range(begin, last, 3)) if unknown and s.find("N", begin, last) >= 0 else 0
+                    out.append((strand, frame + 1, begin + 1, last, kind, (stop - begin) // 3, xs))
+                i, head = last, False
     return out
 
 

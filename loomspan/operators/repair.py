@@ -6,11 +6,13 @@ needs one gene at a time: a row holds its exons' bases and a flank on either sid
 
 from __future__ import annotations
 
+from itertools import chain
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspan.functions.sequences import CODONS, _frames, reverse_complement
+from loomspan.functions.sequences import _MARKS, CODONS, _frames, reverse_complement
 
 from .genes import joined_exons
 
@@ -59,8 +61,56 @@ def best_orf(seq: str) -> tuple:
 
     Of equal ones a complete one, then the earlier. begin and end from 0, open; without a frame all is 0.
     """
-    found = [(aa - 3 * xs, kind == "complete", begin - 1, end, kind, aa) for _, _, begin, end, kind, aa, xs in _frames(seq, 1, "+")]
-    return max(found, key=lambda f: (f[0], f[1], -f[2], -f[3]), default=(0, False, 0, 0, "", 0))
+    none = (0, False, 0, 0, "", 0)
+    if "N" in seq:
+        found = [(aa - 3 * xs, kind == "complete", begin - 1, end, kind, aa) for _, _, begin, end, kind, aa, xs in _frames(seq, 1, "+")]
+        return max(found, key=lambda f: (f[0], f[1], -f[2], -f[3]), default=none)
+    # without unknown bases the longest is looked for as the marks come: no list of all frames
+    best, longest = none, 1
+    heads, starts = [True] * 3, [None] * 3
+    size = len(seq)
+    marks = [(m.start(), m.group() == "T") for m in _MARKS.finditer(seq)]
+    for at, stop in chain(marks, ((size - (size - k) % 3, None) for k in range(3))):
+        k = at % 3
+        if stop is False:
+            if starts[k] is None:
+                starts[k] = at
+            continue
+        head, start = heads[k], starts[k]
+        heads[k], starts[k] = False, None
+        low = k if head else start
+        if low is None or at - low < 3 * longest:
+            continue
+        last = at + 3 if stop else at
+        for begin, kind in ((start, "complete" if stop else "partial3"), (k if head and start != k else None, "partial5" if stop else "partial")):
+            if begin is not None and at - begin >= 3 * longest:
+                aa = (at - begin) // 3
+                new = (aa, kind == "complete", begin, last, kind, aa)
+                if (aa, new[1], -begin, -last) > (best[0], best[1], -best[2], -best[3]):
+                    best, longest = new, aa
+    return best
+
+
+def most_amino(seq: str) -> int:
+    """best_orf's first part alone."""
+    if "N" in seq:
+        return best_orf(seq)[0]
+    most, begins, size = 0, [0, 1, 2], len(seq)
+    for m in _MARKS.finditer(seq):
+        at = m.start()
+        k = at % 3
+        begin = begins[k]
+        if begin is None:
+            if seq[at] == "A":
+                begins[k] = at
+        elif seq[at] == "T":
+            if at - begin > most:
+                most = at - begin
+            begins[k] = None
+    for k in range(3):
+        if begins[k] is not None:
+            most = max(most, size - (size - k) % 3 - begins[k])
+    return most // 3
 
 
 def protein(seq: str) -> str:
@@ -88,8 +138,9 @@ def mended(seqs: list[str], before: str, after: str) -> dict:
     # move the edges of exons by a base or two where the frame gains by it, one exon after the other
     moved, grown = [], ""
     for k, part in enumerate(parts):
-        steps = (0, 1, 2) if grown and len(part) > 3 else (0,)
-        _, j = max((best_orf(grown + part[j:])[0], -j) for j in steps)
+        j = 0
+        if grown and len(part) > 3:
+            _, j = max((most_amino(grown + part[j:]), -j) for j in (0, 1, 2))
         moved.append(-j)
         grown += part[-j:]
     if any(moved):
@@ -144,7 +195,8 @@ def _shifted(rows: DataFrame) -> DataFrame:
     """Exons with their edges moved: one row an exon, in order of transcription, with the transcript offset before it."""
     minus = F.col("m.strand") == "-"
     ordered = F.when(minus, F.reverse("xs")).otherwise(F.col("xs"))
-    rows = rows.select("gid", "ref", "m.*", ordered.alias("xs")).select("*", F.posexplode("xs").alias("k", "x"))
+    # a plain explode has rows without exons filtered out before it, and the genes mended twice for that
+    rows = rows.select("gid", "ref", "m.*", ordered.alias("xs")).select("*", F.posexplode_outer("xs").alias("k", "x"))
     head, tail = F.get("heads", F.col("k")), F.get("tails", F.col("k"))
     minus = F.col("strand") == "-"
     rows = rows.select("*", (F.col("x.begin") + F.when(minus, tail).otherwise(head)).alias("begin"), (F.col("x.end") - F.when(minus, head).otherwise(tail)).alias("end"))
@@ -162,7 +214,7 @@ def repair(exons: DataFrame, scaffolds: DataFrame, least_intron: int = 10, block
     into the flank if the protein it had stays in it (open); genes of unknown strand take the one with the better frame (strand).
     Genes whose scaffold is missing have no row; letters other than ACGT count as unknown.
     """
-    joined = joined_exons(exons, least_intron)
+    joined = joined_exons(exons.where("gid is not null"), least_intron)  # said here, so that all uses below share one shuffle
     span = F.struct("begin", "end", "parts")
     genes = joined.groupBy("gid", "ref", "strand").agg(F.sort_array(F.collect_list(span)).alias("xs"), F.max("parts").alias("parts"))
     ends = F.array(
