@@ -12,15 +12,18 @@ from .intervals import running
 _FIELDS = ["q", "t", "qb", "qe", "tb", "te", "bits", "ident", "aln", "evalue"]
 
 
-def _clash(begin: int, end: int, b: np.ndarray, e: np.ndarray, slop: int) -> np.ndarray:
-    """Whether begin..end overlaps spans b..e other than by going on to the right or left of them, but for slop."""
+def _free(begin: np.ndarray, end: np.ndarray, slop: np.ndarray, b: int, e: int) -> np.ndarray:
+    """Which of the spans begin..end don't overlap b..e, or do so only by going on to the right or left of it, but for their slop."""
     apart = (end < b) | (begin > e)
     right, left = (end > e) & (begin >= e - slop), (begin < b) & (end <= b + slop)
-    return ~(apart | right | left)
+    return apart | right | left
 
 
 def _parts(least: int, share: float, kinds: tuple):
-    """Rows sorted by q, t and row_no: a pair's hits join unless they clash with joined ones on query or target."""
+    """Rows sorted by q, t and row_no: a pair's hits join unless they clash with joined ones on query or target.
+
+    The first hit left joins and takes those that clash with it out, so that a pair costs a look at its hits for each one that joins.
+    """
     names = ["q", "t", "parts", "bits", "ident", "align", "first_evalue", "spans"]
 
     def run(batches):
@@ -32,18 +35,24 @@ def _parts(least: int, share: float, kinds: tuple):
 
         for batch in batches:
             out = []
-            for q, t, qb, qe, tb, te, bits, ident, aln, evalue in zip(*[batch[c].tolist() for c in _FIELDS]):
-                qb, qe, tb, te = min(qb, qe), max(qb, qe), min(tb, te), max(tb, te)
-                if (q, t) != now:
+            q, t, qb, qe, tb, te, bits, ident, aln, evalue = (batch[c].to_numpy() for c in _FIELDS)
+            qb, qe, tb, te = np.minimum(qb, qe), np.maximum(qb, qe), np.minimum(tb, te), np.maximum(tb, te)
+            slop_q, slop_t = (np.maximum(least, (share * (1 + e - b)).astype(np.int64)) for b, e in ((qb, qe), (tb, te)))
+            heads = np.flatnonzero(np.concatenate([[True], (q[1:] != q[:-1]) | (t[1:] != t[:-1])])) if len(q) else []
+            for lo, hi in zip(heads, [*heads[1:], len(q)]):
+                if (pair := (q[lo].item(), t[lo].item())) != now:
                     if now is not None:
                         out.append(row())
-                    now, held, sums, first = (q, t), [(qb, qe, tb, te)], (bits, ident, aln), evalue
-                    continue
-                spans = np.array(held)
-                slop = [max(least, int(share * (1 + e - b))) for b, e in ((qb, qe), (tb, te))]
-                if not (_clash(qb, qe, spans[:, 0], spans[:, 1], slop[0]) | _clash(tb, te, spans[:, 2], spans[:, 3], slop[1])).any():
-                    held.append((qb, qe, tb, te))
-                    sums = tuple(x + y for x, y in zip(sums, (bits, ident, aln)))
+                    now, held, sums, first = pair, [], (0.0, 0.0, 0.0), evalue[lo].item()
+                rows = np.arange(lo, hi)
+                free = lambda r, h: r[_free(qb[r], qe[r], slop_q[r], h[0], h[1]) & _free(tb[r], te[r], slop_t[r], h[2], h[3])]
+                for h in held:  # of the batch before
+                    rows = free(rows, h)
+                while len(rows):
+                    k = rows[0]
+                    held.append(tuple(x[k].item() for x in (qb, qe, tb, te)))
+                    sums = tuple(x + y[k].item() for x, y in zip(sums, (bits, ident, aln)))
+                    rows = free(rows[1:], held[-1])
             yield pd.DataFrame(out, columns=names).astype(dict(zip(("q", "t"), kinds)))
         if now is not None:
             yield pd.DataFrame([row()], columns=names)

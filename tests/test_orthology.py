@@ -130,3 +130,42 @@ def test_alignment_patterns_against_a_walk(spark):
             assert r["c"] is None or r["c"]["t_tn"] is None
         else:
             assert {k: v for k, v in r["c"].asDict().items() if v} == {k: v for k, v in want.items() if v}, r["id"]
+
+
+def test_hits_of_a_pair_are_not_walked_one_by_one():
+    import random
+
+    import pandas as pd
+
+    from loomspan.operators.orthology import _FIELDS, _parts
+
+    from .test_frames import _steps
+
+    run = _parts(6, 0.02, ("int64", "int64"))
+    same = pd.DataFrame([(1, 1, 10, 90, 10, 90, 5.0, 4.0, 80.0, 0.1)] * 50_000, columns=_FIELDS)
+    assert _steps(lambda: list(run(iter([same])))) < 50_000  # less than one a hit
+
+    rng = random.Random(5)
+    rows = []
+    for q in range(6):
+        for t in range(5):
+            for _ in range(rng.choice([1, 2, 60])):
+                b, c = rng.randrange(600), rng.randrange(900)
+                rows.append((q, t, b, b + rng.randrange(90), c + rng.randrange(-40, 90), c, float(rng.randrange(99)), 1.0, 2.0, rng.random()))
+
+    def clash(b, e, x, y, slop):
+        return not (e < x or b > y or (e > y and b >= y - slop) or (b < x and e <= x + slop))
+
+    want = {}
+    for q, t, *at, bits, ident, aln, evalue in rows:
+        qb, qe, tb, te = min(at[:2]), max(at[:2]), min(at[2:]), max(at[2:])
+        held, sums, _ = want.setdefault((q, t), ([], [0.0] * 3, evalue))
+        slop = [max(6, int(0.02 * (1 + e - b))) for b, e in ((qb, qe), (tb, te))]
+        if not any(clash(qb, qe, w, x, slop[0]) or clash(tb, te, y, z, slop[1]) for w, x, y, z in held):
+            held.append((qb, qe, tb, te))
+            sums[:] = [x + y for x, y in zip(sums, (bits, ident, aln))]
+    want = [(*k, len(h), *s, first, ".".join(f"{i}:{a}-{b}:{c}-{d}" for i, (a, b, c, d) in enumerate(h, 1))) for k, (h, s, first) in want.items()]
+    table = pd.DataFrame(rows, columns=_FIELDS)
+    for size in (len(rows), 7, 1):  # a pair may lie in several batches
+        got = pd.concat(run(table[i : i + size] for i in range(0, len(rows), size)))
+        assert list(got.itertuples(index=False, name=None)) == want
