@@ -104,16 +104,20 @@ def union_bases(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return spans.groupBy(*keys).agg(F.sum(F.col("end") - F.col("begin") + 1).alias("union_bases"))
 
 
+def covered(build: DataFrame, block: int = 1_000_000) -> DataFrame:
+    """The bases of each ref that any span covers, as disjoint spans: ref, begin, end. Probes meet few of these, however deep spans lie."""
+    return merged(build.where("end >= begin").select("ref", "begin", "end"), ["ref"], block=block).select("ref", "begin", "end")
+
+
 def difference(probe: DataFrame, build: DataFrame, key: str, size: int = BIN) -> DataFrame:
     """Pieces of each probe outside all build spans: piece number, pieces, begin, end and length."""
-    pairs = overlap_pairs(probe, build, size)
-    clipped = pairs.select(F.col(f"p_{key}").alias(key), F.greatest("p_begin", "b_begin").alias("begin"), F.least("p_end", "b_end").alias("end"))
-    cuts = merged(clipped, [key])
-    edges = probe.select(key, (F.col("begin") - 1).alias("end"), F.col("begin"), F.col("end").alias("stop"))
-    points = cuts.select(key, F.col("begin").alias("from"), "end").unionByName(edges.select(key, F.col("begin").alias("from"), "end"))
+    pairs = overlap_pairs(probe, covered(build), size)
+    cuts = pairs.select(F.col(f"p_{key}").alias(key), F.greatest("p_begin", "b_begin").alias("begin"), F.least("p_end", "b_end").alias("end"))
+    # a probe's own row stands before its cuts and brings its end
+    edges = probe.select(key, F.col("begin").alias("from"), (F.col("begin") - 1).alias("end"), F.col("end").alias("stop"))
+    points = cuts.select(key, F.col("begin").alias("from"), "end", F.lit(None).cast("long").alias("stop")).unionByName(edges)
     order = Window.partitionBy(key).orderBy("end", "from")
-    stops = probe.select(key, F.col("end").alias("stop"))
-    rows = points.join(stops, key).withColumn("next", F.lead("from").over(order))
+    rows = points.withColumn("next", F.lead("from").over(order)).withColumn("stop", F.max("stop").over(order))
     rows = rows.select(key, (F.col("end") + 1).alias("begin"), F.coalesce(F.col("next") - 1, F.col("stop")).alias("end")).where("begin <= end")
     number = Window.partitionBy(key).orderBy("begin")
     return rows.select(
