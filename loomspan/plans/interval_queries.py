@@ -54,9 +54,11 @@ def _pairs(spark, sf):
 JOIN (SELECT fid, CAST(sum(e - b + 1) AS BIGINT) AS bases FROM spans GROUP BY fid) s USING (fid)""")
 def overlap_base_per_feature(spark, sf):
     """AGG-02: largest single overlap and union of overlaps of each feature."""
-    pairs = _pairs(spark, sf)
-    best = pairs.groupBy("p_fid").agg(F.max("overlap").alias("best"))
-    return best.join(iv.union_bases(pairs, ["p_fid"]), "p_fid").select(F.col("p_fid").alias("fid"), "best", F.col("union_bases").alias("bases"))
+    feats, ev = features(spark, sf), evidence(spark, sf)
+    best = iv.overlap_pairs(feats, ev).groupBy("p_fid").agg(F.max("overlap").alias("best"))
+    # the union is summed over disjoint evidence, so pairs are neither kept nor sorted
+    bases = iv.overlap_pairs(feats, iv.covered(ev)).groupBy("p_fid").agg(F.sum("overlap").alias("bases"))
+    return best.join(bases, "p_fid").select(F.col("p_fid").alias("fid"), "best", "bases")
 
 
 @query("join08_difference", _with_spans() + """SELECT fid, row_number() OVER (PARTITION BY fid ORDER BY b) AS piece, count(*) OVER (PARTITION BY fid) AS pieces, b AS begin, e AS stop, e - b + 1 AS length FROM (
@@ -98,11 +100,11 @@ SELECT p.n AS features, t.n AS with_evidence, round(f.hit / p.bases, 6) AS base_
 def base_accuracy(spark, sf):
     """AGG-19: share of feature bases with evidence, of features touched and of evidence found."""
     feats, ev = features(spark, sf), evidence(spark, sf)
-    pairs = iv.overlap_pairs(feats, ev)
-    hit = iv.union_bases(pairs, ["p_fid"]).agg(F.coalesce(F.sum("union_bases"), F.lit(0)).alias("hit"))
-    touched = pairs.agg(F.count_distinct("p_fid").alias("with_evidence"), F.count_distinct("b_id").alias("ev"))
+    # each side meets the other's disjoint spans: what is touched and how much of it, without all pairs of the two
+    found = iv.overlap_pairs(feats, iv.covered(ev)).groupBy("p_fid").agg(F.sum("overlap").alias("bases")).agg(F.struct(F.coalesce(F.sum("bases"), F.lit(0)).alias("hit"), F.count("*").alias("with_evidence")).alias("found"))
+    touched = iv.overlap_pairs(ev, iv.covered(feats)).groupBy("p_id").count().agg(F.count("p_id").alias("ev"))
     whole = feats.agg(F.count("*").alias("features"), F.sum(F.col("end") - F.col("begin") + 1).alias("bases"))
-    rows = whole.select("*", hit.scalar().alias("hit"), touched.select("with_evidence").scalar().alias("with_evidence"), touched.select("ev").scalar().alias("ev"), ev.agg(F.count("*")).scalar().alias("known"))
+    rows = whole.withColumn("found", found.scalar()).select("*", "found.*", touched.scalar().alias("ev"), ev.agg(F.count("*")).scalar().alias("known"))
     share = lambda a, b, to: F.round(F.col(a) / F.col(b), 6).alias(to)
     return rows.select("features", "with_evidence", share("hit", "bases", "base_overlap"), share("with_evidence", "features", "specificity"), share("ev", "known", "sensitivity"))
 

@@ -204,3 +204,21 @@ def test_evidence_ids_in_one_aggregate(spark, small):
 
     plan = QUERIES["agg01_evidence_ids"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan and plan.count("Aggregate") == 1
+
+
+def test_bases_covered_are_summed_over_disjoint_evidence(spark, small):
+    from loomspan.plans.catalog import QUERIES
+
+    plan = lambda name: QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan("overlap_base_per_feature").splitlines() if "Window" in line and "p_fid" in line]
+    assert not [line for line in plan("join08_difference").splitlines() if "Aggregate" in line and "fid" in line]
+    assert "Expand" not in plan("agg19_base_accuracy")
+
+
+def test_difference_with_deep_and_touching_builds(spark):
+    from loomspan.operators import intervals
+
+    probe = spark.createDataFrame([(1, "a", 10, 50), (2, "a", 2000, 5000), (3, "b", 1, 9), (4, "a", 12, 14)], "fid long, ref string, begin long, end long")
+    build = spark.createDataFrame([("a", 12, 14)] * 50 + [("a", 15, 20), ("a", 30, 29), ("a", 2500, 2600), ("a", 2600, 4100), ("a", 48, 99)], "ref string, begin long, end long")
+    rows = intervals.difference(probe, build, "fid").select("fid", "piece", "pieces", "begin", "end", "length").collect()
+    assert sorted(map(tuple, rows)) == [(1, 1, 2, 10, 11, 2), (1, 2, 2, 21, 47, 27), (2, 1, 2, 2000, 2499, 500), (2, 2, 2, 4101, 5000, 900), (3, 1, 1, 1, 9, 9)]
