@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from itertools import product
 
 import pandas as pd
@@ -148,16 +149,26 @@ def quality_score(grade: Column, pcds: Column) -> Column:
     return base + F.when(grade.endswith("utrbad"), -2).when(grade.endswith("utrpoor"), -1).when(pcds >= 70, 1).otherwise(0)
 
 
+def _words(seqs: pd.Series) -> pd.DataFrame:
+    found = [Counter(s[i : i + 6] for i in range(0, len(s) - 5, 3)) for s in seqs]
+    return pd.DataFrame({"hexamer": [list(c) for c in found], "n": [list(c.values()) for c in found]})
+
+
+def hexamer_counts(rows: DataFrame, key: str) -> DataFrame:
+    """(key, hexamer, n): in-frame six-base words of each row, counted within it; rows of one key are not put together."""
+    words = F.pandas_udf(_words, "hexamer array<string>, n array<bigint>").asNondeterministic()
+    held = rows.where("seq is not null").select(key, words("seq").alias("x"))
+    return held.select(key, F.explode(F.arrays_zip("x.hexamer", "x.n")).alias("x")).select(key, "x.hexamer", "x.n")
+
+
 def hexamers(rows: DataFrame, key: str) -> DataFrame:
     """(key, hexamer, n): in-frame six-base words."""
-    each = codons(F.col("seq"))
-    words = F.zip_with(F.slice(each, 1, F.size(each) - 1), F.slice(each, 2, F.size(each) - 1), lambda a, b: F.concat(a, b))
-    return rows.where(F.length("seq") >= 6).select(key, F.explode(words).alias("hexamer")).groupBy(key, "hexamer").agg(F.count("*").alias("n"))
+    return hexamer_counts(rows, key).groupBy(key, "hexamer").agg(F.sum("n").alias("n"))
 
 
 def hexamer_scores(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Mean log ratio of the known hexamers of each sequence. table: hexamer, ratio (at most 4,096 rows)."""
-    known = hexamers(rows, key).join(table, "hexamer")
+    known = hexamer_counts(rows, key).join(F.broadcast(table), "hexamer")
     return known.groupBy(key).agg(F.round(F.sum(F.col("n") * F.col("ratio")) / F.sum("n"), 6).alias("score"))
 
 

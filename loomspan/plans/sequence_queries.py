@@ -71,7 +71,7 @@ SELECT id, round(sum(ratio) / count(*), 6) AS score FROM h JOIN t USING (hexamer
 def hexamer_score(spark, sf):
     """SEQ-10: log ratios of in-frame hexamers, the table taken from even against odd ids."""
     rows = sequences(spark, sf)
-    counts = sq.hexamers(rows, "id")
+    counts = sq.hexamer_counts(rows, "id")
     n = lambda bit: F.sum(F.when(F.col("id") % 2 == bit, F.col("n")).otherwise(0)) + 1
     ratios = counts.groupBy("hexamer").agg((F.log(n(0)) - F.log(n(1))).alias("ratio"))
     return sq.hexamer_scores(rows, ratios, "id")

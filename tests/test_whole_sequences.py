@@ -81,3 +81,14 @@ def test_duplicates_and_fragments_differ_late(spark, folder):
     held = {i: min(j for j, t in seqs.items() if len(t) > len(s) and s in t) for i, s in seqs.items() if any(len(t) > len(s) and s in t for t in seqs.values())}
     assert held[3] == 1
     assert {i: r["holder"] for i, r in by_id(spark, folder, "cls04_fragments").items()} == held
+
+
+def test_hexamers_are_counted_where_their_sequence_lies(spark, small):
+    from loomspan.functions.sequences import hexamers
+    from loomspan.plans.catalog import QUERIES
+
+    plan = QUERIES["seq10_hexamer_score"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 2  # the table by word, the scores by id: no word of a sequence is dealt
+    rows = spark.createDataFrame([(1, "ACGTTTACGTTTA"), (1, "ACGTTT"), (2, "ACGTNa"), (3, "ACGTT"), (4, None)], "id long, seq string")
+    assert sorted(map(tuple, hexamers(rows, "id").collect())) == [(1, "ACGTTT", 3), (1, "TTTACG", 1), (2, "ACGTNa", 1)]
