@@ -4,7 +4,9 @@ The tree is fitted on a bounded sample; every vector is then sent down it to one
 through a priority queue of nodes, best centroid first, and lists leaves in that order. How many leaves it
 visits is calibrated: for a bounded set of calibration queries the true neighbours are found over all rows,
 and visits widen until the wanted share of them lies in visited leaves. Leaves are cut into bounded chunks by
-a hash, so that a leaf with a third of all rows is shared among tasks; each (query, chunk) keeps its best k.
+a hash, so that a leaf with a third of all rows is shared among tasks, and chunks are dealt to shards of bounded
+size. A query travels to a shard once, with the leaves it visits there, and keeps its best k of the shard;
+queries go in blocks of bounded size, so that neither side of a task grows with the table.
 
 Defined results: vectors that are null, all zero, hold a null or non-finite part, or have a length other than
 the most frequent one take no part; equal scores rank by smaller vec_id; repeated rows count one by one; a
@@ -24,6 +26,9 @@ from .common import stored
 
 _NODE_ITERATIONS = 8
 
+#: Least number of shards that rows are dealt to, so that small tables keep all cores busy.
+_SHARDS = 24
+
 
 def usable(vectors: DataFrame) -> DataFrame:
     """Rows (vec_id, v) with v an array of doubles of the most frequent length."""
@@ -81,6 +86,11 @@ def assign(tree: list, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def _leaves(tree: list) -> int:
+    """Number of leaves."""
+    return sum(_leaves(x) for x in tree[1]) if isinstance(tree, list) else 1
+
+
 def best_bins(tree: list, q: np.ndarray, visits: int) -> list[int]:
     """The first leaves that a best-bin-first walk reaches, nodes ranked by inner product with their centre."""
     queue, out, order = [(0.0, 0, tree)], [], 1
@@ -95,15 +105,22 @@ def best_bins(tree: list, q: np.ndarray, visits: int) -> list[int]:
     return out
 
 
-def _best(query_ids, queries, ids, vectors, k):
-    """The best k rows for each query, its own row apart: (query_id, vec_id, score), ties to the smaller id."""
+def _best(query_ids, queries, ids, vectors, k, leaves=None, visited=None):
+    """The best k rows for each query, its own row apart: (query_id, vec_id, score), ties to the smaller id.
+
+    leaves: of the rows; visited: for each query the leaves it looks at, all where there are none.
+    """
     found = []
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
+    names, leaf = np.unique(leaves[order], return_inverse=True) if leaves is not None else (None, None)
     for a in range(0, len(query_ids), 256):
         scores = queries[a : a + 256] @ vectors.T
-        for qid, q, row in zip(query_ids[a : a + 256], queries[a : a + 256], scores):
-            row = np.where(ids == qid, -np.inf, row)
+        for at, (qid, q, row) in enumerate(zip(query_ids[a : a + 256], queries[a : a + 256], scores), a):
+            out = ids == qid
+            if leaf is not None:
+                out |= ~np.isin(names, visited[at])[leaf]
+            row = np.where(out, -np.inf, row)
             n = min(k, len(row))
             # blocked products differ in the last bits: take all near the k-th, then settle by plain sums
             edge = np.partition(row, len(row) - n)[len(row) - n]
@@ -136,8 +153,34 @@ def _truth(rows: DataFrame, queries: pd.DataFrame, k: int) -> DataFrame:
     return _ranked(rows.mapInPandas(run, _FOUND + ", leaf long").drop("leaf"), k)
 
 
+def _sent(tree: list, first: np.ndarray, pieces: np.ndarray, visits: int, shards: int):
+    """For mapInPandas over (vec_id, v): a row for each shard that a query visits, with the leaves it visits there.
+
+    Leaf i is cut into pieces[i] chunks, numbered from first[i]; chunk n lies in shard n mod shards. A query's rows go out before
+    the next one's are made but for a few, so that a frame holds few vectors.
+    """
+
+    def frames(batches):
+        for b in batches:
+            for a in range(0, len(b), 64):
+                out = []
+                for vec_id, v in zip(b["vec_id"][a : a + 64], b["v"][a : a + 64]):
+                    leaves = np.asarray(best_bins(tree, np.asarray(v), visits))
+                    leaves = leaves[pieces[leaves] > 0]
+                    spread = np.minimum(pieces[leaves], shards)  # more chunks than shards come round again
+                    leaf = np.repeat(leaves, spread)
+                    shard = (first[leaf] + np.arange(len(leaf)) - np.repeat(np.cumsum(spread) - spread, spread)) % shards
+                    order = np.argsort(shard, kind="stable")
+                    found, at = np.unique(shard[order], return_index=True)
+                    out += [(s, vec_id, v, x) for s, x in zip(found, np.split(leaf[order], at[1:]))]
+                yield pd.DataFrame(out, columns=["shard", "query_id", "q", "leaves"]).astype({"shard": "int64", "query_id": "int64"})
+
+    return frames
+
+
 def search(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = 0.97, sample_rows: int = 20_000,
-           branch: int = 8, leaf_rows: int = 120, calibration: int = 100, chunk_rows: int = 2_000) -> DataFrame:
+           branch: int = 8, leaf_rows: int = 120, calibration: int = 100, chunk_rows: int = 2_000,
+           shard_rows: int = 16_000, block_queries: int = 8_000) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): each query's k nearest found. Queries: vec_id divisible by every.
 
     recall is the calibrated aim. The tree's sample and the calibration set are the rows whose ids hash lowest.
@@ -168,22 +211,26 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = 0.9
         needed += [place[leaf] for leaf in truth.loc[truth["query_id"] == qid, "leaf"]]
     visits = int(np.sort(needed)[max(0, int(np.ceil(recall * len(needed))) - 1)]) if needed else 1
 
-    def walk(batches):
-        for b in batches:
-            lists = [best_bins(tree, np.asarray(q), visits) for q in b["v"]]
-            yield b.assign(leaf=lists).explode("leaf").astype({"leaf": "int64"}) if len(b) else b.assign(leaf=pd.Series([], dtype="int64"))
-
-    chunks = leaved.groupBy("leaf").agg(F.ceil(F.count("*") / chunk_rows).alias("chunks"))
-    chunks = stored(chunks, "chunks")
-    dealt = leaved.join(F.broadcast(chunks), "leaf")  # one row a leaf; leaves are bounded by the sample
-    dealt = dealt.select("leaf", F.pmod(F.xxhash64("vec_id"), "chunks").alias("chunk"), "vec_id", "v")
-    asks = queries.mapInPandas(walk, "vec_id long, v array<double>, leaf long").join(F.broadcast(chunks), "leaf")
-    asks = asks.select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    # one row a leaf: leaves are bounded by the sample
+    counts = leaved.groupBy("leaf").agg(F.count("*").alias("n")).toPandas()
+    pieces = np.zeros(max(counts["leaf"].max() + 1, _leaves(tree)), np.int64)
+    pieces[counts["leaf"]] = -(-counts["n"] // chunk_rows)
+    first = np.cumsum(pieces) - pieces
+    shards = int(max(_SHARDS, -(-counts["n"].sum() // shard_rows)))
+    blocks = -(-queries.count() // block_queries)
+    places = counts.assign(first=first[counts["leaf"]], pieces=pieces[counts["leaf"]])[["leaf", "first", "pieces"]]
+    dealt = leaved.join(F.broadcast(spark.createDataFrame(places, "leaf long, first long, pieces long")), "leaf")
+    shard = (F.col("first") + F.pmod(F.xxhash64("vec_id"), "pieces")) % shards
+    every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")
+    dealt = dealt.select(shard.alias("shard"), every_block, "leaf", "vec_id", "v")
+    asks = queries.mapInPandas(_sent(tree, first, pieces, visits, shards), "shard long, query_id long, q array<double>, leaves array<long>")
+    asks = asks.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(7)), F.lit(blocks).cast("long")))
 
     def score(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(held):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return _best(asked["query_id"].to_numpy(), np.stack(asked["q"].to_list()), held["vec_id"].to_numpy(), np.stack(held["v"].to_list()), k)
+        both = [np.stack(x.to_list()) for x in (asked["q"], held["v"])]
+        return _best(asked["query_id"].to_numpy(), both[0], held["vec_id"].to_numpy(), both[1], k, held["leaf"].to_numpy(), asked["leaves"].to_list())
 
-    found = asks.groupBy("leaf", "chunk").cogroup(dealt.groupBy("leaf", "chunk")).applyInPandas(score, _FOUND)
+    found = asks.groupBy("shard", "block").cogroup(dealt.groupBy("shard", "block")).applyInPandas(score, _FOUND)
     return _ranked(found, k)
