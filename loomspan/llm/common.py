@@ -2,43 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspan.operators import graphs
+from loomspan.session import stored
 
 #: Words are maximal runs of anything but these six ASCII space characters.
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where none is set on one machine (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="loomspan-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark).rstrip('/')}/loomspan/{name}-{uuid.uuid4().hex}"
-    tidy = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # the table is whole: its shuffle files can go
-    before = spark.conf.get(tidy, "false")
-    spark.conf.set(tidy, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(tidy, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def dropped(table: DataFrame) -> None:
     """Delete the files of a stored table that nothing reads any more; what was made of it must be stored."""
     spark = table.sparkSession

@@ -5,7 +5,8 @@ over a main's alternates, longest chain first, that looks at the chains accepted
 transitive and a dropped sub-chain lies in an accepted chain, so "part of an accepted chain" is "part of any other chain that
 isn't too short", and of one chain's transcripts the first accepted one makes those after it duplicates. Containment is found
 on an index of suffixes: among the sorted suffixes of a main's chains those that begin with a chain follow it at once, so one
-look at the next row tells. No two chains are paired, and the index is dealt by main and first intron.
+look at the next row tells. No two chains are paired, and the index is dealt by main and first intron; it holds the suffixes
+alone whose first intron begins a chain of their main.
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .genes import introns, similar_genes, spans
+from loomspan.session import stored
+
+from .genes import compared_genes, introns, spans
 
 
 def shared_introns(exons: DataFrame) -> DataFrame:
@@ -22,41 +25,68 @@ def shared_introns(exons: DataFrame) -> DataFrame:
     return found.withColumn("intron", F.concat_ws("_", "begin", "end"))
 
 
+def sited_exons(exons: DataFrame, places: DataFrame) -> DataFrame:
+    """splice_sites with the exons' begin and end. Introns are listed by their ends first, so that exons meet one row for each of their own.
+
+    An intron can't abut both ends of an exon, so what the two ends bring is told apart without a look at the exon's other rows.
+    """
+    held = F.struct("intron", "support")
+    # lists are made behind the shuffle alone: few rows share a site, so lists made before it save none
+    by_end = places.select("ref", "strand", (F.col("end") + 1).alias("begin"), held.alias("x")).repartition("ref", "strand", "begin")
+    by_begin = places.select("ref", "strand", (F.col("begin") - 1).alias("end"), held.alias("x")).repartition("ref", "strand", "end")
+    left = by_end.groupBy("ref", "strand", "begin").agg(F.collect_list("x").alias("l"))
+    right = by_begin.groupBy("ref", "strand", "end").agg(F.collect_list("x").alias("r"))
+    rows = exons.select("gid", "exon_no", "ref", "strand", "begin", "end").join(left, ["ref", "strand", "begin"], "left").join(right, ["ref", "strand", "end"], "left")
+    none = F.array().cast(left.schema["l"].dataType)
+    both = F.concat(F.coalesce("l", none), F.coalesce("r", none))
+    score = F.aggregate("x", F.lit(0).cast("long"), lambda a, x: a + x["support"])
+    rows = rows.where("l is not null or r is not null").select("gid", "exon_no", "begin", "end", both.alias("x"))
+    return rows.select("gid", "exon_no", "begin", "end", F.sort_array(F.array_distinct("x.intron")).alias("introns"), score.alias("score"))
+
+
 def splice_sites(exons: DataFrame, places: DataFrame) -> DataFrame:
     """gid, exon_no, introns (sorted names) and score: the introns whose ends abut an exon on its strand, and their support summed."""
-    side = lambda name, at: F.struct(F.lit(name).alias("side"), at.alias("at"))
-    ends = exons.select("gid", "exon_no", "ref", "strand", F.explode(F.array(side("L", F.col("begin") - 1), side("R", F.col("end") + 1))).alias("x"))
-    sites = places.select("ref", "strand", "intron", "support", F.explode(F.array(side("L", F.col("end")), side("R", F.col("begin")))).alias("x"))
-    rows = ends.select("gid", "exon_no", "ref", "strand", "x.*").join(sites.select("ref", "strand", "intron", "support", "x.*"), ["ref", "strand", "side", "at"])
-    return rows.groupBy("gid", "exon_no").agg(F.sort_array(F.collect_set("intron")).alias("introns"), F.sum("support").alias("score"))
-
-
-def chains(exons: DataFrame, sites: DataFrame) -> DataFrame:
-    """gid, chain, length of its plain form, n (exons with introns less one), ids, and first and last, its end exons (key, begin, end)."""
-    key = F.array_join(F.transform("introns", lambda x: F.concat(F.lit("<"), x, F.lit(">"))), ",")
-    rows = exons.join(sites.where(F.size("introns") > 0), ["gid", "exon_no"]).select("gid", F.struct("begin", "end", key.alias("key"), "introns").alias("x"))
-    rows = rows.groupBy("gid").agg(F.sort_array(F.collect_list("x")).alias("x"))
-    chain = F.array_join("x.key", ";")
-    plain = F.length(F.regexp_replace(chain, "[<>]", "")) + F.size("x") - 1  # exons are parted by two characters
+    return sited_exons(exons, places).select("gid", "exon_no", "introns", "score")
+
+
+def _keyed(exons: DataFrame, sites: DataFrame) -> DataFrame:
+    """gid, begin, end, key (an exon's introns) and score of exons with introns. sites may hold the exons' begin and end already."""
+    rows = sites
+    if not {"begin", "end"} <= set(sites.columns):
+        rows = exons.select("gid", "exon_no", "begin", "end").join(sites.where(F.size("introns") > 0), ["gid", "exon_no"])
+    return rows.select("gid", "begin", "end", F.concat(F.lit("<"), F.array_join("introns", ">,<"), F.lit(">")).alias("key"), "score")
+
+
+def chains(keyed: DataFrame) -> DataFrame:
+    """gid, chain, length of its plain form, n (exons with introns less one), and first and last, its end exons (key, begin, end). keyed: _keyed."""
+    rows = keyed.select("gid", "begin", "end", "key").repartition("gid").groupBy("gid").agg(F.sort_array(F.collect_list(F.struct("begin", "end", "key"))).alias("x"))
+    rows = rows.select("gid", F.array_join("x.key", ";").alias("chain"), "x")
+    plain = F.length(F.translate("chain", "<>", "")) + F.size("x") - 1  # exons are parted by two characters
     end = lambda at: F.struct(*[F.element_at("x", at)[c].alias(c) for c in ("key", "begin", "end")])
-    return rows.select("gid", chain.alias("chain"), plain.alias("length"), (F.size("x") - 1).alias("n"), F.array_distinct(F.flatten("x.introns")).alias("ids"), end(1).alias("first"), end(-1).alias("last"))
+    return rows.select("gid", "chain", plain.alias("length"), (F.size("x") - 1).alias("n"), end(1).alias("first"), end(-1).alias("last"))
+
+
+def _ids(chain: str) -> Column:
+    """The introns of a chain."""
+    return F.array_distinct(F.split(F.translate(chain, ";<>", ","), ","))
 
 
 def contained(rows: DataFrame, key: str) -> DataFrame:
     """(key, chain) of the chains that are part of another chain of the same key, introns whole."""
     distinct = rows.select(key, "chain").distinct()
+    begun = distinct.groupBy(key).agg(F.collect_set(F.substring_index(F.col("chain"), ">", 1)).alias("begun"))
     many = F.length("chain") - F.length(F.replace("chain", F.lit("<"), F.lit("")))
-    tails = distinct.withColumn("k", F.explode(F.sequence(F.lit(1), many))).withColumn("many", many)
+    tails = distinct.join(begun, key).select(key, "chain", many.alias("many"), "begun", F.posexplode(F.split("chain", "<")).alias("at", "part"))
+    tails = tails.where((F.col("at") > 0) & F.array_contains("begun", F.concat(F.lit("<"), F.substring_index("part", ">", 1)))).withColumn("k", F.col("many") - F.col("at") + 1)
     tails = tails.select(key, "chain", F.expr("concat('<', substring_index(chain, '<', -k))").alias("tail"), (F.col("k") == F.col("many")).alias("whole"))
     tails = tails.withColumn("head", F.substring_index("tail", ">", 1))
     after = F.lead("tail").over(Window.partitionBy(key, "head").orderBy("tail", F.col("whole").desc()))
     return tails.withColumn("after", after).where("whole and startswith(after, tail)").select(key, "chain")
 
 
-def usual_ends(exons: DataFrame, sites: DataFrame) -> DataFrame:
-    """Per exon key (its introns): the two ends of most support, in order, and the outermost ends seen."""
-    key = F.array_join(F.transform("introns", lambda x: F.concat(F.lit("<"), x, F.lit(">"))), ",")
-    rows = exons.select("gid", "exon_no", "begin", "end").join(sites.where(F.size("introns") > 0), ["gid", "exon_no"]).select(key.alias("key"), "score", F.explode(F.array("begin", "end")).alias("at"))
+def usual_ends(keyed: DataFrame) -> DataFrame:
+    """Per exon key (its introns): the two ends of most support, in order, and the outermost ends seen. keyed: _keyed."""
+    rows = keyed.groupBy("key", "begin", "end").agg(F.sum("score").alias("score")).select("key", "score", F.explode(F.array("begin", "end")).alias("at"))
     sums = rows.groupBy("key", "at").agg(F.sum("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "at"))
     out = sums.withColumn("place", place).groupBy("key").agg(
@@ -79,7 +109,7 @@ def pick(
 ) -> DataFrame:
     """Verdict of each alternate of each main: main, gid, place in the main's order, n, verdict and number.
 
-    exons: gid, exon_no, ref, strand, begin, end, kind. sites: splice_sites. mains: gid of main genes; all other transcripts
+    exons: gid, exon_no, ref, strand, begin, end, kind. sites: splice_sites or sited_exons. mains: gid of main genes; all other transcripts
     are alternates of the mains they share enough coding and exon bases with (percent of the larger), if enough of them is
     coding, also by the main's share. Verdicts: okay; okaltend: part of an accepted chain, but an end exon is the longest of
     its kind; oknewlocus: no intron of the main's; dropdup: an accepted transcript has the chain; dropshort: fewer exons than a
@@ -89,17 +119,21 @@ def pick(
     exons = exons.select("gid", "exon_no", "ref", "strand", "begin", "end", "kind").withColumn("score", F.lit(0))
     main_exons = exons.join(mains.select("gid"), "gid", "left_semi")
     other_exons = exons.join(mains.select("gid"), "gid", "left_anti")
-    same = similar_genes(other_exons, main_exons).where((F.col("cds_pct") >= least_cds) & (F.col("exon_pct") >= least_exon))
-    coding = spans(exons).select("gid", F.floor(0.5 + 100 * F.col("cds_len") / F.col("exon_len")).alias("pcds"))
-    pairs = same.select(F.col("other").alias("main"), "gid").join(coding, "gid").join(coding.select(F.col("gid").alias("main"), F.col("pcds").alias("main_pcds")), "main")
-    held = chains(exons, sites)
-    mine = held.select(F.col("gid").alias("main"), F.col("n").alias("main_n"), F.col("ids").alias("main_ids"))
+    sizes = stored(spans(exons).select("gid", "exon_len", "cds_len"), "sizes")
+    same = compared_genes(other_exons, main_exons, sizes=sizes).where((F.col("cds_pct") >= least_cds) & (F.col("exon_pct") >= least_exon))
+    coding = lambda p: F.floor(0.5 + 100 * F.col(f"{p}_cds") / F.col(f"{p}_exon"))
+    pairs = same.select(F.col("other").alias("main"), "gid", coding("p").alias("pcds"), coding("b").alias("main_pcds"))
+    keyed = stored(_keyed(exons, sites), "keyed")
+    held = stored(chains(keyed), "chains")
+    mine = held.select(F.col("gid").alias("main"), F.col("n").alias("main_n"), F.col("chain").alias("main_chain"))
     fit = (F.col("pcds") >= least_coding) & (F.col("pcds") >= coding_to_main * F.col("main_pcds"))
-    members = pairs.where(fit).select("main", "gid", F.lit(False).alias("is_main"))
+    pairs = stored(pairs.select("main", "gid", fit.alias("fit")), "pairs")
+    members = pairs.where("fit").select("main", "gid", F.lit(False).alias("is_main"))
     members = members.union(pairs.select("main").distinct().select("main", F.col("main").alias("gid"), F.lit(True)))
     rows = members.join(held, "gid").join(mine, "main")
+    rows = rows.withColumn("common", F.arrays_overlap(_ids("chain"), _ids("main_chain"))).drop("main_chain")
 
-    ends = usual_ends(exons, sites)
+    ends = usual_ends(keyed)
     for end, side in (("first", "f"), ("last", "l")):
         named = ends.select(F.col("key").alias(f"{side}_key"), *[F.col(c).alias(f"{side}_{c}") for c in ("low", "high", "leftmost", "rightmost")])
         rows = rows.join(named, F.col(f"{end}.key") == F.col(f"{side}_key"), "left")
@@ -107,7 +141,7 @@ def pick(
     rows = rows.join(inside, ["main", "chain"], "left")
 
     short = F.col("n") < F.greatest(F.lit(1), F.floor(least_chain * F.col("main_n")))
-    strange = ~F.col("is_main") & (F.col("n") > 0) & ~F.arrays_overlap("ids", "main_ids")
+    strange = ~F.col("is_main") & (F.col("n") > 0) & ~F.col("common")
     own = (
         F.when(short, F.when(strange, "oknewlocus").otherwise("dropshort"))
         .when(F.col("inside") & ~F.col("is_main"), F.when(_longer("first", "f") | _longer("last", "l"), "okaltend").otherwise("dropsubchain"))

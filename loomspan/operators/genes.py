@@ -84,28 +84,35 @@ def best_evidence(pairs: DataFrame) -> DataFrame:
     return sums.groupBy("gid").agg(F.max_by("id", F.struct("bases", -F.col("id"))).alias("best"), F.max("bases").alias("best_bases"), F.sum("bases").alias("bases"))
 
 
-def similar_genes(exons: DataFrame, against: DataFrame | None = None, strand: str | None = "same") -> DataFrame:
-    """Pairs of genes on one ref with shared exon and CDS bases and their percent of the larger gene.
-
-    Exon overlaps are summed by (gene, gene), so genes that share no exon never meet.
-    """
+def compared_genes(exons: DataFrame, against: DataFrame | None = None, strand: str | None = "same", sizes: DataFrame | None = None) -> DataFrame:
+    """similar_genes with both genes' lengths: p_exon, p_cds, b_exon and b_cds. sizes: spans of all genes, where they are at hand."""
     rows = exons.select("gid", "ref", "strand", "begin", "end", "kind")
     both = overlap_pairs(rows, rows if against is None else against.select(*rows.columns), strand=strand)
     both = both.where("p_gid < b_gid") if against is None else both
     coding = (F.col("p_kind") == "CDS") & (F.col("b_kind") == "CDS")
     shared = both.groupBy("p_gid", "b_gid").agg(F.sum("overlap").alias("exon_shared"), F.sum(F.when(coding, F.col("overlap")).otherwise(0)).alias("cds_shared"))
 
-    def sizes(df: DataFrame, side: str) -> DataFrame:
-        return spans(df).select(F.col("gid").alias(f"{side}_gid"), F.col("exon_len").alias(f"{side}_exon"), F.col("cds_len").alias(f"{side}_cds"))
+    def lengths(df: DataFrame, side: str) -> DataFrame:
+        rows = spans(df) if sizes is None else sizes
+        return rows.select(F.col("gid").alias(f"{side}_gid"), F.col("exon_len").alias(f"{side}_exon"), F.col("cds_len").alias(f"{side}_cds"))
 
-    out = shared.join(sizes(exons, "p"), "p_gid").join(sizes(exons if against is None else against, "b"), "b_gid")
+    out = shared.join(lengths(exons, "p"), "p_gid").join(lengths(exons if against is None else against, "b"), "b_gid")
     percent = lambda part, whole: F.floor(100 * F.col(part) / F.greatest(F.lit(1), F.greatest(*whole)) + 0.5).cast("long")
     return out.select(
         F.col("p_gid").alias("gid"), F.col("b_gid").alias("other"), "exon_shared", "cds_shared",
         percent("cds_shared", ("p_cds", "b_cds")).alias("cds_pct"), percent("exon_shared", ("p_exon", "b_exon")).alias("exon_pct"),
+        "p_exon", "p_cds", "b_exon", "b_cds",
     )
 
 
+def similar_genes(exons: DataFrame, against: DataFrame | None = None, strand: str | None = "same") -> DataFrame:
+    """Pairs of genes on one ref with shared exon and CDS bases and their percent of the larger gene.
+
+    Exon overlaps are summed by (gene, gene), so genes that share no exon never meet.
+    """
+    return compared_genes(exons, against, strand).drop("p_exon", "p_cds", "b_exon", "b_cds")
+
+
 def fingerprint(exons: DataFrame, kinds: tuple | None = None) -> DataFrame:
     """gid, ref, strand and the model: its sorted spans as text. Equal models have equal text."""
     rows = exons if kinds is None else exons.where(F.col("kind").isin(*kinds))

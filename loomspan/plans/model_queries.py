@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loomspan.operators import alternates, genes, models, repair, selection, splits, strands
 from loomspan.operators.intervals import overlap_pairs
+from loomspan.session import stored
 
 from .adapters import ctes, evidence, genome_hits, scaffold_genes, sequences, stranded_introns, transcripts
 from .registry import query
@@ -43,8 +44,8 @@ _ALTERNATES = ctes(
 @query("sel08_alternates", _ALTERNATES)
 def pick_alternates(spark, sf):
     """SEL-08: isoforms of every main gene, kept or dropped by their intron chains."""
-    xs = transcripts(spark, sf)
-    sites = alternates.splice_sites(xs, alternates.shared_introns(xs))
+    xs = stored(transcripts(spark, sf), "transcripts")
+    sites = alternates.sited_exons(xs, stored(alternates.shared_introns(xs), "introns"))
     return alternates.pick(xs, sites, xs.where(F.col("gid") % 5 == 0).select("gid").distinct())
 
 
@@ -98,8 +99,12 @@ _SPLITS = ctes(
 @query("agg23_join_check", _SPLITS)
 def join_check(spark, sf):
     """AGG-23: codes of joins and splits of all transcripts, from introns that two or more of them have and from evidence spans."""
-    xs = transcripts(spark, sf)
+    return _join_check(spark, sf, stored(transcripts(spark, sf), "transcripts"))
+
+
+def _join_check(spark, sf, xs):
     places = alternates.shared_introns(xs).where("support > 1").withColumn("support", F.when(F.col("support") % 7 == 6, -F.col("support")).otherwise(F.col("support")))
+    places = stored(places, "introns")
     found = overlap_pairs(xs.select("gid", "exon_no", "ref", "begin", "end", "strand"), evidence(spark, sf), strand="same")
     ids = found.select(F.col("p_gid").alias("gid"), F.col("p_exon_no").alias("exon_no"), F.col("b_id").cast("string").alias("id"))
     return splits.join_check(xs, ids, alternates.splice_sites(xs, places))
@@ -147,10 +152,10 @@ def strand_partitions(spark, sf):
 @query("sel05_selected_models")
 def selected_models(spark, sf):
     """SEL-04 to SEL-06: models that a drop rule lets through, suspected joins last, chosen by coding and transcript overlap, alternates marked."""
-    xs = transcripts(spark, sf)
+    xs = stored(transcripts(spark, sf), "transcripts")
     spans = genes.spans(xs)
     kept = genes.drop_rule([("cds_len", 300, ""), ("n_exons", 2, ""), ("exon_len", 100, "+")])
-    checked = join_check(spark, sf).select("gid", (F.col("score") < 0).alias("last"))
+    checked = _join_check(spark, sf, xs).select("gid", (F.col("score") < 0).alias("last"))
     weighted = genes.weighted_sum({"cds_len": 1.0, "n_exons": 20.0, "score": 2.0})
     totals = spans.where(kept).select("gid", weighted.alias("total")).join(checked, "gid", "left")
     held = xs.join(totals.select("gid"), "gid", "left_semi")
