@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspan.session import stored
+
 # Scores of the codes, from a good model to a wrong join.
 SCORES = {"N0": 0, "C1": 99, "J2": -99, "C1T1": 69, "IJ4": -9, "ER2": -2, "EP3": -1, "EM4": 9}
 
@@ -35,13 +37,15 @@ def intron_quality(rows: DataFrame) -> DataFrame:
 
 
 def _exons(exons: DataFrame, sites: DataFrame) -> DataFrame:
-    """Exons numbered in place order, with their introns, support and whether one of them is the exon's before as well."""
+    """Exons numbered in place order, with their support, whether one of their introns is the exon's before as well, and the run of those (null without introns)."""
     place = Window.partitionBy("gid").orderBy("begin", "end", "exon_no")
     sites = sites.select("gid", "exon_no", F.when(F.size("introns") > 0, F.col("introns")).alias("introns"), F.col("score").alias("value"))
     rows = exons.select("gid", "exon_no", "begin", "end").join(sites, ["gid", "exon_no"], "left").withColumn("x", F.row_number().over(place))
     rows = rows.withColumn("nx", F.count("*").over(Window.partitionBy("gid")))
     joined = F.coalesce(F.arrays_overlap("introns", F.lag("introns").over(place)), F.lit(False))
-    return rows.withColumn("joined", joined).withColumn("value", F.when(F.col("introns").isNotNull(), F.col("value")))
+    rows = rows.withColumn("joined", joined).withColumn("value", F.when(F.col("introns").isNotNull(), F.col("value")))
+    begun = F.sum((F.col("introns").isNotNull() & ~F.col("joined")).cast("int")).over(place)
+    return rows.select("gid", "exon_no", "x", "nx", "value", "joined", F.when(F.col("introns").isNotNull(), begun).alias("run"))
 
 
 def _codes(quality: Column) -> Column:
@@ -66,16 +70,19 @@ def join_check(exons: DataFrame, evidence: DataFrame, sites: DataFrame) -> DataF
     C1 complete; C1T1 but for one end; J2 falls into chains: a wrong join; IJ4 falls apart by introns alone; EM4 misses an end, or its
     introns run through; EP3 poor evidence; ER2 other faults; N0 none.
     """
-    rows = _exons(exons, sites)
-    held = rows.where("introns is not null")
-    run = F.sum((~F.col("joined")).cast("int")).over(Window.partitionBy("gid").orderBy("x"))
-    held = held.withColumn("run", run)
+    rows = stored(_exons(exons, sites), "exons")
+    # an exon's row and its links are dealt by gene once, and all that follows is told from there
+    none = F.lit(None)
+    both = rows.select("gid", "exon_no", "x", "run", none.cast("string").alias("id"))
+    both = both.unionByName(evidence.select("gid", "exon_no", none.cast("int").alias("x"), none.cast("int").alias("run"), F.col("id").cast("string").alias("id"))).repartition("gid")
+    # each list holds what one exon has, and no id twice
+    held = both.groupBy("gid", "exon_no").agg(F.max("x").alias("x"), F.max("run").alias("run"), F.collect_set("id").alias("ids")).where("x is not null")
     # an intron's chain sorts after evidence ids of the same size, by its first exon
-    by_intron = held.select("gid", "x", F.struct(F.lit(1).alias("kind"), F.lpad(F.col("run").cast("string"), 6, "0").alias("id")).alias("chain"))
-    by_id = rows.select("gid", "exon_no", "x").join(evidence.select("gid", "exon_no", "id").distinct(), ["gid", "exon_no"]).select("gid", "x", F.struct(F.lit(0).alias("kind"), F.col("id").cast("string").alias("id")).alias("chain"))
-    links = by_id.union(by_intron)
-    size = links.groupBy("gid", "chain").agg(F.count("*").alias("held"))
-    best = links.join(size, ["gid", "chain"]).groupBy("gid", "x").agg(F.min(F.struct((-F.col("held")).alias("minus"), "chain")).alias("best"))
+    chain = lambda kind, id: F.struct(F.lit(kind).alias("kind"), id.alias("id"))
+    by_intron = F.filter(F.array(F.when(F.col("run").isNotNull(), chain(1, F.lpad(F.col("run").cast("string"), 6, "0")))), lambda c: c.isNotNull())
+    links = held.select("gid", "x", F.explode(F.concat(F.transform("ids", lambda i: chain(0, i)), by_intron)).alias("chain"))
+    links = links.withColumn("held", F.count("*").over(Window.partitionBy("gid", "chain")))
+    best = links.groupBy("gid", "x").agg(F.min(F.struct((-F.col("held")).alias("minus"), "chain")).alias("best"))
     groups = best.groupBy("gid", F.col("best.chain").alias("chain")).agg(F.sort_array(F.collect_list("x")).alias("xs"), F.count("*").alias("n"))
     order = Window.partitionBy("gid").orderBy(F.desc("n"), "chain")
     groups = groups.withColumn("rank", F.row_number().over(order)).withColumn("before", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)))
