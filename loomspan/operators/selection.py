@@ -46,7 +46,7 @@ def select_models(
 ) -> DataFrame:
     """gid, total, last, kept, alternate, coding and bases (taken from it by kept models) of every model in totals.
 
-    exons: gid, exon_no, ref, strand, begin, end, kind ('CDS' or not). totals: gid, total, last (true for models to be looked at
+    exons: gid, exon_no, ref, strand, begin, end, kind ('CDS' or not); those of other models are passed over. totals: gid, total, last (true for models to be looked at
     after all others: suspected joins). Models go by total, then place, then gid. One is dropped if kept ones cover more than a share
     `trivial` of its coding bases, or else if they cover 30 bases or more of its transcript and more than `utr_most` of its
     untranslated bases; this second test spares models with hardly any of these (under utr_share of the transcript), and those

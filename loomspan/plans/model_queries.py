@@ -158,5 +158,4 @@ def selected_models(spark, sf):
     checked = _join_check(spark, sf, xs).select("gid", (F.col("score") < 0).alias("last"))
     weighted = genes.weighted_sum({"cds_len": 1.0, "n_exons": 20.0, "score": 2.0})
     totals = spans.where(kept).select("gid", weighted.alias("total")).join(checked, "gid", "left")
-    held = xs.join(totals.select("gid"), "gid", "left_semi")
-    return selection.select_models(held, totals, alternates=True)
+    return selection.select_models(xs, totals, alternates=True)
