@@ -83,10 +83,12 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
-def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = 1 << 20):
-    """Slices of a batch of about limit bytes of text, one row at least."""
-    column = batch.column(batch.schema.get_field_index(text))
-    size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))])
+def chunks(batch: pa.RecordBatch, *texts: str, limit: int = 1 << 20):
+    """Slices of a batch of about limit bytes of its texts together (the columns named, else text), one row at least."""
+    size = np.zeros(batch.num_rows + 1, np.int64)
+    for text in texts or ("text",):
+        column = batch.column(batch.schema.get_field_index(text))
+        size[1:] += np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < batch.num_rows:
         to = max(at + 1, int(np.searchsorted(size, size[at] + limit, "right")) - 1)

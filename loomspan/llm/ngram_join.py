@@ -28,6 +28,10 @@ from .grams import Words, chunks, mix
 
 #: log2 of the sketch's counters: fixed, 2 MB, whatever the corpus holds.
 SKETCH_BITS = 18
+#: Bytes of text that a task works on at once: it takes a hundred times as much for the hashes of its bytes and n-grams.
+CHUNK = 1 << 18
+#: Arrow batches are bounded in bytes, too: a task has one in the executor, and one or two at its worker.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def _sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,7 +66,7 @@ def _surveyed(docs: DataFrame, n: int) -> DataFrame:
     def run(batches):
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, limit=CHUNK):
                 row, grams, size = _sets(part.column(1), n)
                 counts += np.bincount((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
                 s1, s2 = _per_row(grams, row, len(size)), _per_row(mix(grams ^ np.uint64(0x5851F42D4C957F2D)), row, len(size))
@@ -81,7 +85,7 @@ def _ordered(docs: DataFrame, n: int, counts: np.ndarray, percent: int) -> DataF
     def run(batches):
         counts = shared.value
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, limit=CHUNK):
                 row, grams, size = _sets(part.column(1), n)
                 order = np.lexsort((grams, counts[(grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], row))
                 row, grams = row[order], grams[order]
@@ -107,7 +111,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFram
 
     def run(batches):
         for batch in batches:
-            for part in chunks(batch, "text_a"):
+            for part in chunks(batch, "text_a", "text_b", limit=CHUNK):
                 (row_a, grams_a, size_a), (row_b, grams_b, size_b) = (_sets(part.column(c), n) for c in (2, 3))
                 row, grams = np.concatenate([row_a, row_b]), np.concatenate([grams_a, grams_b])
                 order = np.lexsort((grams, row))
@@ -135,7 +139,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id: documents link when 100 * overlap >= percent * union of n-gram sets."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    survey = stored(_surveyed(rows, n), "survey")
+    survey = stored(_surveyed(rows, n), "survey", BATCHES)
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     for at, count in survey.where("sketched").groupBy("doc_id").agg(F.sum("size")).toPandas().itertuples(index=False):
         counts[int(at)] = count
@@ -150,11 +154,11 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     entries = entries.select(
         "gram", "doc_id", "size", "at", F.count("*").over(column).alias("rows"), F.min(F.struct("at", "doc_id", "size")).over(column).alias("head")
     )
-    entries = stored(entries.where("rows > 1").drop("rows"), "blocks")
+    entries = stored(entries.where("rows > 1").drop("rows"), "blocks", BATCHES)
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
-        found = stored(_linked(pairs, rows, n, percent).distinct(), "links")
+        found = stored(_linked(pairs, rows, n, percent).distinct(), "links", BATCHES)
         dropped(pairs)
         return found
 

@@ -62,17 +62,20 @@ def scratch_dir(spark: SparkSession) -> str:
     return found
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, name: str, settings: dict[str, str] | None = None) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors. settings: in force meanwhile."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/loomspan/{name}-{uuid.uuid4().hex}"
-    tidy = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # the table is whole: its shuffle files can go
-    before = spark.conf.get(tidy, "false")
-    spark.conf.set(tidy, "true")
+    tidy = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}  # the table is whole: its shuffle files can go
+    settings = tidy | (settings or {})
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(tidy, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
