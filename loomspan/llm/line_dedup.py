@@ -3,12 +3,12 @@
 A line is the set of its words. Words are ordered from rare to frequent by a fixed-size count sketch over all
 documents, ties by hash. Lines with equal sets collapse into the earliest. Of each set the first words of that
 order are kept, as many as the threshold demands (prefix filter); lines that share one are candidates unless their
-sizes, the word's places (length and positional filters) or 128 parity bits of their words, which bound from below
+sizes, the word's places (length and positional filters, applied to a block's entries before they are paired) or 128 parity bits of their words, which bound from below
 how many words only one of them holds, rule them out. Jaccard is verified on whole sets.
 
 A line is removed when an earlier one (by doc_id, then line number) reaches the threshold, removed itself or not.
 Candidates are verified in two passes, so that a large group of near copies costs its size and not its square:
-first against one earliest line of a block, then, for lines still unmatched, against all that share a block.
+first against one earliest line of about its size in a block, then, for lines still unmatched, against all that share a block.
 
 Defined results: a null text has no lines; blank lines stay and match nothing; all others take part, however
 short (equal sets collapse, so a frequent short line costs one entry a block); repeated rows of one doc_id don't
@@ -105,20 +105,19 @@ def _exploded(classes: DataFrame) -> DataFrame:
 _PAIR = ("a_doc_id", "a_line_no", "b_doc_id", "b_line_no")
 
 
-def _needed(a: Column, b: Column, percent: int) -> Column:
-    """Prefix words that lines of sizes a and b must share: the prefix that ends first has all of its shared ones in both."""
-    return F.ceil(percent * (a + b) / (100 + percent)) - F.ceil(percent * F.greatest(a, b) / 100) + 1
-
-
 def _blocks(classes: DataFrame, percent: int) -> DataFrame:
-    """Prefix entries of words that lines of fitting sizes share, each with its block's earliest line if that may match."""
-    # one order for all three, so that one pass of a window works them out; shuffled first, as heads are built behind the shuffle then
-    column = Window.partitionBy("word").orderBy("size")
-    whole = column.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    head = F.min(F.struct("doc_id", "line_no", "size", "at", "even", "odd")).over(whole)
-    rows = _exploded(classes).repartition("word").select("*", F.lag("size").over(column).alias("below"), F.lead("size").over(column).alias("above"), head.alias("head"))
-    size, below, above = F.col("size"), F.col("below"), F.col("above")
-    rows = rows.where(F.coalesce(100 * below >= percent * size, F.lit(False)) | F.coalesce(percent * above <= 100 * size, F.lit(False)))
+    """Prefix entries that another of their word may match, each with the earliest of its word and about its size if that may match."""
+    # reach: percent times the largest size of a line that may match by sizes and places. A partner of at most the entry's
+    # size reaches it, and one of at least its size is reached by it, so that pairs that fit keep both their entries
+    reach = (100 + percent) * (F.col("size") - F.col("at")) - percent * F.col("size")
+    rows = _exploded(classes).repartition("word").withColumn("about", F.floor(F.log2("size") * 6)).withColumn("reach", reach)
+    # both windows follow the one order of word, about and size
+    column = Window.partitionBy("word").orderBy("about", "size")
+    before = F.max("reach").over(column.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.select("*", before.alias("before"), F.lead("size").over(column).alias("above"))
+    rows = rows.where(F.coalesce(F.col("before") >= percent * F.col("size"), F.lit(False)) | F.coalesce(percent * F.col("above") <= F.col("reach"), F.lit(False)))
+    group = Window.partitionBy("word", "about").orderBy("size").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("head", F.min(F.struct("doc_id", "line_no", "size", "at", "even", "odd")).over(group))
     earlier = F.struct("head.doc_id", "head.line_no") < F.struct("e.doc_id", "e.line_no")
     fits = earlier & _bounded("head", "e", percent)
     heads = [F.when(fits, F.col(f"head.{c}")).alias(f"head_{c}") for c in ("doc_id", "line_no")]
@@ -137,7 +136,7 @@ _NEVER = -(1 << 63)
 
 
 def _all_pairs(entries: DataFrame, matched: DataFrame, percent: int) -> DataFrame:
-    """Pairs of an unmatched line and an earlier one whose accumulated words and last places still allow the threshold."""
+    """Pairs of an unmatched line and an earlier one that sizes, places of a shared word and parity bits allow."""
     entries = entries.drop("head_doc_id", "head_line_no")
     key = ["doc_id", "line_no"]
     # until is the doc_id of a line that still needs a match, else before all ids; only entries that a bitmap can't
@@ -148,16 +147,9 @@ def _all_pairs(entries: DataFrame, matched: DataFrame, percent: int) -> DataFram
     rows = settled.unionByName(entries.where(~maybe).withColumn("until", F.col("doc_id")))
     # both sides read both ids, so that one shuffle serves them: until is doc_id or less
     early = F.struct(F.greatest("x.doc_id", "x.until"), "x.line_no") < F.struct(F.least("y.doc_id", "y.until"), "y.line_no")
-    size_a, size_b = F.col("x.size"), F.col("y.size")
-    near = (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) & _alike("x", "y", percent)
-    rows = rows.alias("x").join(rows.alias("y"), (F.col("x.word") == F.col("y.word")) & early & near)
+    rows = rows.alias("x").join(rows.alias("y"), (F.col("x.word") == F.col("y.word")) & early & _bounded("x", "y", percent))
     ends = [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in (("x", "a"), ("y", "b")) for c in key]
-    held = [F.col(f"{x}.{c}").alias(f"{k}_{c}") for x, k in (("x", "a"), ("y", "b")) for c in ("size", "at")]
-    rows = rows.select(*ends, *held).groupBy(*_PAIR).agg(
-        F.count("*").alias("shared"), F.first("a_size").alias("a"), F.first("b_size").alias("b"), F.min("a_at").alias("a_at"), F.min("b_at").alias("b_at")
-    )
-    positional = (100 + percent) * F.least(F.col("a") - F.col("a_at"), F.col("b") - F.col("b_at")) >= percent * (F.col("a") + F.col("b"))
-    return rows.where(positional & (F.col("shared") >= _needed(F.col("a"), F.col("b"), percent))).select(*_PAIR)
+    return rows.select(*ends).distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
