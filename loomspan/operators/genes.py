@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomspan.session import cut
 
-from .intervals import islands, overlap_pairs
+from .intervals import overlap_pairs
 
 
 def _in_place():
@@ -32,8 +32,18 @@ def spans(exons: DataFrame) -> DataFrame:
 
 def joined_exons(exons: DataFrame, least: int) -> DataFrame:
     """Exons of a gene less than least bases apart become one."""
-    rows = islands(exons, ["gid", "ref", "strand"], gap=least - 1).groupBy("gid", "ref", "strand", "island")
-    return rows.agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.count("*").alias("parts")).withColumnRenamed("island", "exon_no")
+    # the row that ends an island tells all of it by running values: one sort serves the windows, and no table of islands is built in a task
+    order = Window.partitionBy("gid", "ref", "strand").orderBy("begin", "end")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = before.isNull() | F.coalesce(F.col("begin") > before + least, F.lit(False))
+    rows = exons.select("gid", "ref", "strand", "begin", "end").withColumns({"new": new, "n": F.row_number().over(order)})
+    island, first = F.sum(F.col("new").cast("long")).over(so_far), F.max(F.when(F.col("new"), F.col("n"))).over(so_far)
+    rows = rows.withColumns({"island": island, "parts": F.col("n") - first + 1, "last": F.coalesce(F.lead("new").over(order), F.lit(True))})
+    # numbers of islands rise, so the largest pair belongs to the one at hand
+    most = lambda c: F.max(F.struct("island", c.alias("x"))).over(so_far)["x"]
+    rows = rows.select("gid", "ref", "strand", "island", (-most(-F.col("begin"))).alias("begin"), most(F.col("end")).alias("end"), F.col("parts").cast("long").alias("parts"), "last")
+    return rows.where("last").drop("last").withColumnRenamed("island", "exon_no")
 
 
 def distances(genes: DataFrame) -> DataFrame:
